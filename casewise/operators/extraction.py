@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casewise.functions.text import fill, let
 from casewise.operators.metrics import vote_agreement
@@ -104,8 +105,8 @@ def respond(prompts: DataFrame, responder: Callable[[list[str]], list[str]], bat
                     errors += [str(problem)] * len(texts)
             yield frame.assign(raw=raw, error=errors)
 
-    schema = prompts.schema.add("raw", "string").add("error", "string")
-    return prompts.mapInPandas(run, schema)
+    added = [T.StructField("raw", T.StringType()), T.StructField("error", T.StringType())]
+    return prompts.mapInPandas(run, T.StructType(prompts.schema.fields + added))
 
 
 def first_rows(df: DataFrame, n: int, by: str) -> DataFrame:
@@ -136,15 +137,16 @@ def parse_responses(responses: DataFrame, id_col: str, raw: str = "raw", error:
 def consistency_check(
     calls: DataFrame,
     responder: Callable[[list[str]], list[str]],
-    n_records: int = 10,
+    n_records: int | None = 10,
     n_repeats: int = 3,
     id_col: str = "call_id",
     question: str = "question",
     answer: str = "answer",
 ) -> DataFrame:
-    """Ask each of the first calls several times and report how often the values agree."""
+    """Ask each of the first calls (None: all) several times; how often do the values agree?"""
     repeats = F.explode(F.sequence(F.lit(1), F.lit(n_repeats))).alias("repeat")
-    asked = first_rows(calls, n_records, id_col).select(
+    rows = calls if n_records is None else first_rows(calls, n_records, id_col)
+    asked = rows.select(
         id_col, prompt(F.col(question), F.col(answer)).alias("prompt"), repeats
     )
     votes = parse_responses(respond(asked, responder), id_col, "raw", "error")

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casewise.functions.numeric import sparse_dot
 from casewise.functions.text import fill
@@ -68,7 +69,8 @@ def entailment_scores(
                 scores += [1.0 - float(p) for p in entail]
             yield frame.assign(mismatch_score=scores)
 
-    return pairs.mapInPandas(run, pairs.schema.add("mismatch_score", "double")).drop("_premise", "_hypothesis")
+    schema = T.StructType([*pairs.schema.fields, T.StructField("mismatch_score", T.DoubleType())])
+    return pairs.mapInPandas(run, schema).drop("_premise", "_hypothesis")
 
 
 def flag(scored: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
