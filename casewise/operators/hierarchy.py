@@ -8,6 +8,7 @@ is a per-row expression in one pass, without routing rows to separate jobs.
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -23,6 +24,8 @@ from casewise.operators.metrics import scores
 
 UNKNOWN = "UNKNOWN"
 MAX_CLASSES = 1_000
+#: training rows worth a task of their own in each optimisation step
+ROWS_PER_TASK = 20_000
 
 
 @dataclass
@@ -66,7 +69,7 @@ class LinearLevel:
 
 
 def fit_level(
-    docs: DataFrame, label: str, max_features: int, min_df: int, C: float, max_iter: int = 100, parallelism: int = 4
+    docs: DataFrame, label: str, max_features: int, min_df: int, C: float, max_iter: int = 100, parallelism: int = 8
 ) -> LinearLevel:
     """L2: fit one classifier on ``terms`` and ``label``.
 
@@ -85,6 +88,9 @@ def fit_level(
     if len(classes) < 2:
         return LinearLevel(model, classes * 2, [[0.0] * size], [0.0])
     vectors = model.weights(docs).select(F.col(label).alias("y"), tfidf.as_vector(F.col("vec"), size).alias("features"))
+    n_tasks = math.ceil(total / ROWS_PER_TASK)
+    if n_tasks < vectors.rdd.getNumPartitions():
+        vectors = vectors.repartition(n_tasks)  # few rows: each step costs a task, not their number
     vectors = vectors.persist()
     balanced = {c: total / (len(classes) * n) for c, n in counts.items()}
     targets = classes[1:] if len(classes) == 2 else classes

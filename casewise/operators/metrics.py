@@ -113,7 +113,7 @@ def align_audit(gold: DataFrame, extracted: DataFrame, id_col: str) -> DataFrame
         F.sum(g).alias("n_gold"),
         F.sum(e).alias("n_extracted"),
         F.sum(g * e).alias("n_matched"),
-        (F.sum(g) - F.sum(g * e)).alias("n_dropped"),
+        F.sum(F.when(e == 0, g).otherwise(0)).alias("n_dropped"),
     )
 
 
