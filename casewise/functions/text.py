@@ -7,6 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: the characters that count as white space.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 #: Unicode letters, digits and underscore, two or more: the same class in Java and RE2.
 WORD = r"[\p{L}\p{N}_]{2,}"
 
@@ -18,7 +23,7 @@ def let(value: Column, body) -> Column:
 
 def strip(c: Column) -> Column:
     """trim every kind of white space at both ends."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.trim(c, F.lit(WHITE_SPACE))
 
 
 def has_script(c: Column, ranges: Sequence[tuple[int, int]]) -> Column:
@@ -101,7 +106,7 @@ def term_counts(terms: Column) -> Column:
 def truncate(c: Column, n: int = 140) -> Column:
     """null becomes "", longer texts are cut at ``n``, right-stripped and marked."""
     text = F.coalesce(c, F.lit(""))
-    cut = F.regexp_replace(F.substring(text, 1, n), r"(?U)\s+$", "")
+    cut = F.rtrim(F.substring(text, 1, n), F.lit(WHITE_SPACE))
     return F.when(F.length(text) > n, F.concat(cut, F.lit("…"))).otherwise(text)
 
 

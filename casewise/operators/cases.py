@@ -8,23 +8,45 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _first_key(log: DataFrame) -> Column:
+    """The order of events inside a case as one comparable value.
+
+    For integer ids it is a number, time * 2e19 + id, which a hash aggregate can keep; other
+    ids need a struct, for which Spark sorts the rows of each task.
+    """
+    if log.schema["ord"].dataType.typeName() in ("long", "integer", "short", "byte"):
+        micros = F.unix_micros(F.col("ts").cast("timestamp")).cast("decimal(19,0)")
+        return micros * F.lit("20000000000000000000").cast("decimal(20,0)") + F.col("ord").cast("decimal(19,0)")
+    return F.struct("ts", "ord")
+
+
 def case_metrics(log: DataFrame, keys: Sequence[str] = ("case_id",), attributes: Sequence[str] = ("crop", "state")) -> DataFrame:
     """A1, A2 and JN1 in one pass: counts, repeats, loop rate, whole days, first attributes.
 
     A repeat is an event whose activity occurred earlier in its case, so there are
     ``events - distinct activities`` of them. Days are whole 24-hour periods.
+
+    Events are first reduced to one row per case, activity and attribute values, with
+    numeric buffers only, so the first aggregate is a hash aggregate that combines before
+    the shuffle; the second one sees a few rows per case.
     """
-    first = F.min(F.struct("ts", "ord", *attributes)) if attributes else F.lit(None)
-    out = log.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_events"),
-        (F.count(F.lit(1)) - F.count_distinct("activity")).alias("n_repeats"),
+    groups = log.groupBy(*keys, "activity", *attributes).agg(
+        F.count(F.lit(1)).alias("n"),
         F.min("ts").alias("first_ts"),
         F.max("ts").alias("last_ts"),
-        *([first.alias("first")] if attributes else []),
+        *([F.min(_first_key(log)).alias("first_key")] if attributes else []),
+    )
+    first = F.min_by(F.struct(*attributes), "first_key").alias("first") if attributes else None
+    out = groups.groupBy(*keys).agg(
+        F.sum("n").alias("n_events"),
+        (F.sum("n") - F.count_distinct("activity")).alias("n_repeats"),
+        F.min("first_ts").alias("first_ts"),
+        F.max("last_ts").alias("last_ts"),
+        *([first] if attributes else []),
     )
     return out.select(
         *keys,

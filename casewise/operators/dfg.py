@@ -15,14 +15,21 @@ from casewise.operators.event_log import (
     plain_labels,
     sequence_events,
 )
+from casewise.session import durable
 
 
 def transitions(log: DataFrame, hot_events: int = HOT_CASE_EVENTS) -> DataFrame:
-    """Counts per (activity, next activity or null at the case end, is first of its case)."""
+    """Counts per (activity, next activity or null at the case end, is first of its case).
+
+    The table is materialised: it is tiny next to the log, and all that reads it would
+    otherwise push its own filters down and order the log again.
+    """
     ordered = sequence_events(log.select("case_id", "activity", "ts", "ord"), hot_events=hot_events)
-    return ordered.groupBy(
-        "activity", "next_activity", (F.col("step") == 1).alias("is_start")
-    ).agg(F.count(F.lit(1)).alias("n"))
+    return durable(
+        ordered.groupBy("activity", "next_activity", (F.col("step") == 1).alias("is_start")).agg(
+            F.count(F.lit(1)).alias("n")
+        )
+    )
 
 
 def edge_counts(steps: DataFrame) -> DataFrame:

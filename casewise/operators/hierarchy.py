@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.ml.classification import LinearSVC
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -162,6 +163,14 @@ class HierarchicalClassifier:
             F.col(category).alias("category"),
             F.col(query_type).alias("query_type"),
         ).where(F.col("category").isNotNull())
+        # tokenised once for all levels; a lost part is computed again from the input
+        docs = docs.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return self._fit(docs)
+        finally:
+            docs.unpersist()
+
+    def _fit(self, docs: DataFrame) -> HierarchicalClassifier:
         self.category = fit_level(docs, "category", 6000, 2, self.C, self.max_iter)
         self.levels, self.fallbacks = {}, {}
         # one row per category, and fit_level has bounded the categories

@@ -66,6 +66,11 @@ def literal_doubles(values: Sequence[float]) -> Column:
     return F.from_json(F.lit(json.dumps(list(values))), "array<double>")
 
 
+def idf(n_docs: int, df: int) -> float:
+    """The smooth idf of one term."""
+    return math.log((1 + n_docs) / (1 + df)) + 1
+
+
 @dataclass
 class TfidfModel:
     """A fitted vocabulary: terms in index order, their idf, and the tf scaling."""
@@ -122,9 +127,17 @@ def fit(
     """Fit on a ``terms`` column."""
     if max_features > MAX_VOCABULARY:
         raise ValueError(f"a vocabulary is limited to {MAX_VOCABULARY} terms")
-    rows = vocabulary(docs, max_features, min_df, terms).collect()  # at most max_features rows
-    rows.sort(key=lambda r: r["term"])
-    return TfidfModel([r["term"] for r in rows], [r["idf"] for r in rows], sublinear)
+    stats = term_statistics(docs, terms)
+    # the document count sorts first, so one job brings it with at most max_features terms
+    rows = (
+        stats.where(F.col("term").isNull() | (F.col("df") >= min_df))
+        .orderBy(F.col("term").isNotNull(), F.desc("cf"), "term")
+        .limit(max_features + 1)
+        .collect()
+    )
+    n_docs = rows[0]["df"] if rows else 0
+    kept = sorted((r["term"], r["df"]) for r in rows[1:])
+    return TfidfModel([t for t, _ in kept], [idf(n_docs, df) for _, df in kept], sublinear)
 
 
 def as_vector(vec: Column, size: int) -> Column:
@@ -140,8 +153,3 @@ def as_vector(vec: Column, size: int) -> Column:
         )
     )
     return F.from_json(text, T.StructType([T.StructField("v", VectorUDT())]))["v"]
-
-
-def idf(n_docs: int, df: int) -> float:
-    """The idf of one term, for checks."""
-    return math.log((1 + n_docs) / (1 + df)) + 1

@@ -29,7 +29,7 @@ def calls(spark):
 
 @pytest.fixture(scope="module")
 def model(calls):
-    return HierarchicalClassifier(max_iter=20).fit(calls)
+    return HierarchicalClassifier(max_iter=10).fit(calls)
 
 
 def test_L3_plan(calls, rows):
@@ -66,7 +66,7 @@ def test_S6_save_and_load(spark, calls, model, tmp_path, rows):
 
 
 def test_L6_L7_train_job(spark, calls, tmp_path):
-    fitted, scores = jobs.train_job(calls, str(tmp_path / "m"), str(tmp_path / "s"), max_iter=20)
+    fitted, scores = jobs.train_job(calls, str(tmp_path / "m"), str(tmp_path / "s"), max_iter=10)
     found = {r["level"]: r for r in scores.collect()}
     assert found["category"]["n"] == 15 and found["category"]["accuracy"] > 0.8
     assert "Rare/Other" in fitted.category.classes and "Fodder" not in fitted.category.classes
