@@ -116,8 +116,8 @@ def percent(c: Column, digits: int = 0) -> Column:
 
 
 def number(c: Column, digits: int = 2) -> Column:
-    """F8: fixed-point text of a number, halves to even."""
-    return F.format_string(f"%.{digits}f", F.bround(c, digits))
+    """F8: fixed-point text of a number, halves to even; null stays null."""
+    return F.when(c.isNotNull(), F.format_string(f"%.{digits}f", F.bround(c, digits)))
 
 
 def plural(n: Column, word: str) -> Column:

@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from casewise.functions.numeric import sigmoid, softmax_at
 from casewise.functions.text import let
 from casewise.operators import tfidf
-from casewise.operators.metrics import scores
+from casewise.operators.metrics import per_class, summary
+from casewise.session import durable
 
 UNKNOWN = "UNKNOWN"
 MAX_CLASSES = 1_000
@@ -260,11 +261,22 @@ def evaluate_against_gold(
     model: HierarchicalClassifier, gold: DataFrame, text: str = "question", category: str = "category",
     query_type: str = "query_type",
 ) -> DataFrame:
-    """One row with accuracy and macro-F1 of both levels."""
-    labelled = model.predict(gold, text)
-    parts = []
-    for name, truth, predicted in (("category", category, "pred_category"), ("query_type", query_type, "pred_query_type")):
-        parts.append(scores(labelled, truth, predicted).select(F.lit(name).alias("level"), "n", "accuracy", "macro_f1"))
+    """Accuracy and macro-F1 of both levels, from one labelling of the rows."""
+    pairs = F.array(
+        F.struct(F.lit("category").alias("level"), F.col(category).alias("truth"), F.col("pred_category").alias("guess")),
+        F.struct(F.lit("query_type").alias("level"), F.col(query_type).alias("truth"), F.col("pred_query_type").alias("guess")),
+    )
+    counts = durable(
+        model.predict(gold, text).select(F.inline(pairs))
+        .groupBy("level", F.col("truth").alias("true_label"), F.col("guess").alias("pred_label"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    parts = [
+        summary(per_class(counts.where(F.col("level") == level).drop("level"))).select(
+            F.lit(level).alias("level"), "n", "accuracy", "macro_f1"
+        )
+        for level in ("category", "query_type")
+    ]
     return parts[0].unionByName(parts[1])
 
 

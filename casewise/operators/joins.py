@@ -13,15 +13,26 @@ from casewise.session import durable
 BROADCAST_ROWS = 200_000
 
 
+def split_join(df: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """A shuffled join in which a key with a large part of the rows is shared out.
+
+    AQE splits a hot partition only when both inputs of the join are plain shuffles, which an
+    aggregated table on its own key is not. The hash of the key as a second join key makes
+    Spark shuffle both sides for this join.
+    """
+    hashed = F.xxhash64(*on)
+    left, right = df.withColumn("_on", hashed), table.withColumn("_on", hashed)
+    return left.join(right, ["_on", *on], how).drop("_on")
+
+
 def lookup(
     df: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left", max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Join ``table`` to ``df``, broadcasting it only after counting it.
 
-    The table is materialised once, so counting it costs no second computation. Beyond the
-    bound both sides are plain shuffles, which lets AQE split the partition of a hot key.
+    The table is materialised once, so counting it costs no second computation.
     """
     table = durable(table)
     if table.count() <= max_rows:
         return df.join(F.broadcast(table), list(on), how)
-    return df.join(table.repartition(*on), list(on), how)
+    return split_join(df, table, on, how)

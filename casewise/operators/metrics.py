@@ -49,12 +49,17 @@ def per_class(pairs: DataFrame) -> DataFrame:
 
 def scores(df: DataFrame, truth: str, predicted: str) -> DataFrame:
     """One row with accuracy, macro and weighted averages."""
+    return summary(per_class(confusion(df, truth, predicted)))
+
+
+def summary(report: DataFrame) -> DataFrame:
+    """M7: the averages over a ``per_class`` report."""
     support = F.sum("support")
 
     def weighted(name):
         return (F.sum(F.col(name) * F.col("support")) / support).alias(f"weighted_{name}")
 
-    return per_class(confusion(df, truth, predicted)).agg(
+    return report.agg(
         support.alias("n"),
         (F.sum("n_correct") / support).alias("accuracy"),
         F.avg("precision").alias("macro_precision"),

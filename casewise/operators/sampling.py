@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casewise.operators.joins import lookup
+from casewise.session import durable
+
+#: Spark keeps at most this many rows per group before a shuffle (windowGroupLimitThreshold)
+GROUP_LIMIT = 1_000
 
 GOLD_COLUMNS = ("state", "district", "crop", "season", "question", "answer", "category", "query_type")
 
@@ -51,6 +55,30 @@ def take_by_hash(df: DataFrame, quotas: DataFrame, stratum: str, id_col: str, se
     return sure.unionByName(edge).select(*df.columns, "taken")
 
 
+def lowest_per_stratum(df: DataFrame, k: int, stratum: str, id_col: str, seed: int) -> DataFrame:
+    """The ``k`` rows of each stratum that are drawn first, with ``_draw`` and ``_place``.
+
+    Up to the optimizer's group limit, every task keeps its own ``k`` rows per stratum before
+    the shuffle; a larger ``k`` is cut by the hash histogram first.
+    """
+    keyed = df.withColumn("_draw", draw_key(id_col, seed))
+    if k > GROUP_LIMIT:
+        quotas = df.groupBy(stratum).agg(F.lit(k).alias("quota"))
+        keyed = take_by_hash(keyed, quotas, stratum, id_col, seed).where("taken").drop("taken")
+        chunks = F.substring("_draw", 1, 4)
+        before = Window.partitionBy(stratum).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = keyed.groupBy(stratum, chunks.alias("_chunk")).agg(F.count(F.lit(1)).alias("_n")).select(
+            stratum, "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
+        )
+        inside = Window.partitionBy(stratum, "_chunk").orderBy("_draw", id_col)
+        ranked = keyed.withColumn("_chunk", chunks).withColumn("_place", F.row_number().over(inside))
+        return ranked.join(offsets, [stratum, "_chunk"]).withColumn(
+            "_place", F.col("_place") + F.col("_offset")
+        ).drop("_chunk", "_offset")
+    order = Window.partitionBy(stratum).orderBy("_draw", id_col)
+    return keyed.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= k)
+
+
 def sample_gold(
     calls: DataFrame,
     n: int = 100,
@@ -64,19 +92,23 @@ def sample_gold(
 
     With more categories than ``n`` the sample has one row of each and so exceeds ``n``.
     Labels are copied to ``*_verified`` as a starting point; signal and notes are empty.
+
+    A stratum can give no more than its share and the whole top-up, so that many of its rows
+    are enough to choose from, and the sample needs one read of the table.
     """
-    sizes = calls.where(F.col(stratum).isNotNull()).groupBy(stratum).agg(F.count(F.lit(1)).alias("size"))
-    n_strata = sizes.count()
-    per_stratum = max(1, n // max(1, n_strata))
-    quotas = sizes.select(stratum, F.least("size", F.lit(per_stratum)).alias("quota"))
-    short = n - (quotas.agg(F.sum("quota")).first()[0] or 0)
-
-    drawn = take_by_hash(calls.where(F.col(stratum).isNotNull()), quotas, stratum, id_col, seed)
-    sample = drawn.where("taken").drop("taken")
+    named = calls.where(F.col(stratum).isNotNull())
+    sizes = durable(named.groupBy(stratum).agg(F.count(F.lit(1)).alias("size")))
+    per_stratum = max(1, n // max(1, sizes.count()))
+    short = max(0, n - (sizes.agg(F.sum(F.least("size", F.lit(per_stratum)))).first()[0] or 0))
+    drawn = durable(lowest_per_stratum(named, per_stratum + short, stratum, id_col, seed))
+    sample = drawn.where(F.col("_place") <= per_stratum)
     if short > 0:
-        rest = drawn.where(~F.col("taken")).drop("taken").unionByName(calls.where(F.col(stratum).isNull()))
-        # n is what people will label by hand, so the ordered limit is small
-        sample = sample.unionByName(rest.orderBy(draw_key(id_col, seed), id_col).limit(short))
+        # rows without a category belong to no stratum but can be drawn for the top-up
+        unnamed = calls.where(F.col(stratum).isNull()).withColumns(
+            {"_draw": draw_key(id_col, seed), "_place": F.lit(None).cast("int")}
+        )
+        rest = drawn.where(F.col("_place") > per_stratum).unionByName(unnamed)
+        sample = sample.unionByName(rest.orderBy("_draw", id_col).limit(short))
     return sample.select(
         id_col,
         *columns,

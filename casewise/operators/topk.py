@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 MAX_QUERIES = 5_000
 BLOCK_ROWS = 20_000
+MAX_TASKS = 10_000
 DIGITS = 9
 #: products held at a time while a batch is scored
 WORK = 4_000_000
@@ -159,7 +160,8 @@ def top_k(corpus: DataFrame, queries: DataFrame, k: int, dense: bool = False, sk
             found = _k_best(make(shared.value), batches, k, skip_self)
             yield from pa.Table.from_pandas(found, schema, preserve_index=False).to_batches()
 
-        local = corpus.mapInArrow(run, fields)
+        # every task hands on k rows per query, so there should not be very many tasks
+        local = corpus.coalesce(MAX_TASKS).mapInArrow(run, fields)
     else:
         n_queries, n_corpus = queries.count(), corpus.count()
         q_blocks = math.ceil(n_queries / MAX_QUERIES)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from casewise.operators.event_log import HOT_CASE_EVENTS, sequence_events
+from casewise.operators.joins import split_join
 from casewise.session import durable
 
 ARROW = " -> "
@@ -141,8 +142,7 @@ def filter_top_variants(log: DataFrame, variants: DataFrame, k: int) -> DataFram
         .orderBy(F.desc("n"), "variant").limit(k).select("variant")
     )
     cases = variants.join(F.broadcast(top), "variant", "left_semi").select("case_id")
-    # a bare shuffle on both sides lets AQE split the partition of a very large case
-    return log.join(cases.repartition("case_id"), "case_id", "left_semi")
+    return split_join(log, cases, ["case_id"], "left_semi")
 
 
 def variant_coverage(counts: DataFrame, k: int) -> DataFrame:

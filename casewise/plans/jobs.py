@@ -26,7 +26,9 @@ def clean_calls(
         out = cleaning.filter_to_advisory(out)
     if not keep_scripts:
         out = cleaning.filter_scripts(out)
-    return labels.merge_near_duplicate_labels(cleaning.scope(out, **scope_filters), "query_type")
+    # labels are counted and then replaced: without this the rows would be de-duplicated twice
+    out = durable(cleaning.scope(out, **scope_filters))
+    return labels.merge_near_duplicate_labels(out, "query_type")
 
 
 def discovery_log(log: DataFrame, n_activities: int = 8, k_variants: int | None = 15) -> DataFrame:
@@ -44,7 +46,7 @@ def event_log_job(
     log = build_event_log(
         drop_segment(calls, "crop", enabled=drop_others), activity_col=activity_col, ord_col=ord_col
     )
-    log = durable(log)
+    log = durable(log.select("case_id", "activity", "ts", "ord", "state", "crop", "season"))
     metrics_table = durable(cases.case_metrics(log))
     variant_table = durable(variants.variant_analysis(log))
     edges, nodes = dfg.discover_dfg(log)

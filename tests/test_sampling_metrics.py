@@ -28,6 +28,13 @@ def test_U6_more_categories_than_n(spark):
     assert sampling.sample_gold(calls(spark, {x: 2 for x in "abcdef"}), n=4).count() == 6
 
 
+def test_U6_large_samples_take_the_histogram(spark, rows, monkeypatch):
+    df = calls(spark, {"a": 300, "b": 40, "c": 3})
+    small = rows(sampling.sample_gold(df, n=90), "call_id")
+    monkeypatch.setattr(sampling, "GROUP_LIMIT", 10)
+    assert rows(sampling.sample_gold(df, n=90), "call_id") == small and len(small) == 90
+
+
 def test_U6_same_rows_however_partitioned(spark, rows):
     df = calls(spark, {"a": 300, "b": 40})
     once, again = (sampling.sample_gold(d, n=20) for d in (df, df.repartition(9)))

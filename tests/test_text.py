@@ -84,6 +84,7 @@ def test_F7_F8_F9_display(spark):
     assert one(spark, text.truncate(F.lit("abcde"), 5)) == "abcde"
     assert [one(spark, text.percent(F.lit(x))) for x in (0.625, 0.615, 1.0)] == ["62%", "62%", "100%"]
     assert one(spark, text.number(F.lit(0.285))) == "0.28"
+    assert one(spark, text.percent(F.lit(None).cast("double"))) is None
     assert one(spark, text.plural(F.lit(1), "step")) == "1 step"
 
 
