@@ -42,12 +42,16 @@ def real_answer(column: str = "answer") -> Column:
     return F.coalesce(~F.lower(column).isin(*JUNK_ANSWERS), F.lit(False))
 
 
-def parse_date(calls: DataFrame, column: str = "created_on") -> DataFrame:
-    """P4, DT1: text to timestamp, null where it cannot be read."""
+def parse_date(calls: DataFrame, column: str = "created_on", formats: Sequence[str] = ()) -> DataFrame:
+    """P4, DT1: text to timestamp, null where it cannot be read.
+
+    ISO dates and times are understood; ``formats`` adds others, tried in order.
+    """
     kind = calls.schema[column].dataType.simpleString()
     if kind.startswith("timestamp"):
         return calls
-    return calls.withColumn(column, F.try_to_timestamp(F.col(column)).cast("timestamp_ntz"))
+    readings = [F.try_to_timestamp(F.col(column)), *[F.try_to_timestamp(F.col(column), F.lit(f)) for f in formats]]
+    return calls.withColumn(column, F.coalesce(*readings).cast("timestamp_ntz"))
 
 
 def drop_duplicates(calls: DataFrame, keys: Sequence[str] = DEDUPE_KEYS, ord_col: str = "call_id") -> DataFrame:
@@ -66,10 +70,11 @@ def drop_duplicates(calls: DataFrame, keys: Sequence[str] = DEDUPE_KEYS, ord_col
     )
 
 
-def basic_clean(calls: DataFrame, ord_col: str = "call_id") -> DataFrame:
+def basic_clean(calls: DataFrame, ord_col: str = "call_id", date_formats: Sequence[str] = ()) -> DataFrame:
     """P1-P4 and U4."""
     kept = strip_columns(calls).where(long_enough("question")).where(long_enough("answer")).where(real_answer())
-    return drop_duplicates(parse_date(kept).where(F.col("created_on").isNotNull()), ord_col=ord_col)
+    dated = parse_date(kept, formats=date_formats).where(F.col("created_on").isNotNull())
+    return drop_duplicates(dated, ord_col=ord_col)
 
 
 def advisory(column: str = "query_type", deny: Sequence[str] = NON_ADVISORY) -> Column:

@@ -91,7 +91,7 @@ def fit_level(
         return LinearLevel(model, classes * 2, [[0.0] * size], [0.0])
     vectors = model.weights(docs).select(F.col(label).alias("y"), tfidf.as_vector(F.col("vec"), size).alias("features"))
     n_tasks = math.ceil(total / ROWS_PER_TASK)
-    if n_tasks < vectors.rdd.getNumPartitions():
+    if n_tasks < docs.sparkSession.sparkContext.defaultParallelism:
         vectors = vectors.repartition(n_tasks)  # few rows: each step costs a task, not their number
     vectors = vectors.persist()
     balanced = {c: total / (len(classes) * n) for c, n in counts.items()}

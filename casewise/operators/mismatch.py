@@ -15,7 +15,8 @@ from casewise.operators import tfidf
 
 MAX_FEATURES = 5000
 THRESHOLD = 0.5
-HYPOTHESIS = "This response addresses the concern: {question}"
+# Fixed value: scores depend on the wording.
+HYPOTHESIS = "This response addresses the farmer's concern: {question}"
 
 
 def lexical_scores(
@@ -100,8 +101,11 @@ def mismatch_by_segment(scored: DataFrame, segment: str) -> DataFrame:
 
 
 def loop_and_mismatch(cases: DataFrame, scored: DataFrame, segment: str = "crop", min_calls: int = 5) -> DataFrame:
-    """JN3, P11: per segment with enough calls, its loop rate next to its mismatch rate."""
+    """JN3, P11: per segment with enough calls, its loop rate next to its mismatch rate.
+
+    ``cases`` has one row per case.
+    """
     loops = cases.groupBy(segment).agg(
-        F.avg("loop_rate").alias("loop_rate"), F.count_distinct("case_id").alias("n_cases")
+        F.avg("loop_rate").alias("loop_rate"), F.count("case_id").alias("n_cases")
     )
     return loops.join(mismatch_by_segment(scored, segment), segment).where(F.col("n_calls") >= min_calls)

@@ -8,18 +8,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casewise.operators import tfidf
-from casewise.operators.topk import MAX_QUERIES, top_k
+from casewise.operators.joins import BROADCAST_ROWS
+from casewise.operators.topk import top_k
+from casewise.session import durable
 
 MAX_FEATURES = 8000
 PAYLOAD = ("question", "answer", "crop", "category")
 
 
-def _with_payload(best: DataFrame, corpus: DataFrame, id_col: str, payload: Sequence[str], small: bool) -> DataFrame:
-    """Look the shown columns up for the found rows only."""
+def _with_payload(best: DataFrame, corpus: DataFrame, id_col: str, payload: Sequence[str]) -> DataFrame:
+    """Look the shown columns up for the found rows only, broadcasting those if they are few."""
     found = best.withColumnRenamed("id", id_col)
     if not payload:
         return found
-    found = F.broadcast(found) if small else found
+    found = durable(found)
+    if found.count() <= BROADCAST_ROWS:
+        found = F.broadcast(found)
     return corpus.select(id_col, *payload).join(found, id_col).select(
         "query_id", id_col, *payload, "similarity", "rank"
     )
@@ -58,8 +62,7 @@ class TfidfRetriever:
         """Per query the k most similar rows; terms the corpus does not have are ignored."""
         asked = self._vectors(queries.select(F.col(query_id).alias("id"), self._terms(text_col)))
         best = top_k(self.index, asked, k)
-        small = queries.limit(MAX_QUERIES + 1).count() <= MAX_QUERIES
-        return _with_payload(best, self.corpus, self.id_col, payload, small)
+        return _with_payload(best, self.corpus, self.id_col, payload)
 
 
 class EmbeddingRetriever:
@@ -67,7 +70,8 @@ class EmbeddingRetriever:
 
     def fit(self, corpus: DataFrame, vector_col: str = "embedding", id_col: str = "call_id") -> EmbeddingRetriever:
         self.corpus, self.id_col = corpus, id_col
-        self.index = corpus.select(F.col(id_col).alias("id"), F.col(vector_col).alias("values"))
+        named = corpus.select(F.col(id_col).alias("id"), F.col(vector_col).alias("values"))
+        self.index = named.where(F.col("values").isNotNull())
         return self
 
     def query(
@@ -76,8 +80,7 @@ class EmbeddingRetriever:
     ) -> DataFrame:
         asked = queries.select(F.col(query_id).alias("id"), F.col(vector_col).alias("values"))
         best = top_k(self.index, asked, k, dense=True)
-        small = queries.limit(MAX_QUERIES + 1).count() <= MAX_QUERIES
-        return _with_payload(best, self.corpus, self.id_col, payload, small)
+        return _with_payload(best, self.corpus, self.id_col, payload)
 
 
 def build_retriever(corpus: DataFrame, backend: str = "tfidf", **options) -> TfidfRetriever | EmbeddingRetriever:

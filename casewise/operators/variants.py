@@ -12,7 +12,7 @@ from casewise.session import durable
 ARROW = " -> "
 
 
-def _first_and_season(attributes):
+def _first_row(attributes):
     return F.min(F.struct("ts", "ord", *attributes)).alias("first")
 
 
@@ -28,9 +28,12 @@ def variant_analysis(log: DataFrame, hot_events: int = HOT_CASE_EVENTS) -> DataF
         return _text_variants(log)
     hot = F.broadcast(sizes.select("case_id"))  # at most total/hot_events cases
     large = log.join(hot, "case_id", "left_semi")
-    attributes = large.groupBy("case_id").agg(
-        _first_and_season(["crop", "state"]), F.mode("season", True).alias("season")
+    seasons = (
+        large.where(F.col("season").isNotNull())
+        .groupBy("case_id", "season").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("case_id").agg(F.min_by("season", F.struct(-F.col("n"), "season")).alias("season"))
     )
+    attributes = large.groupBy("case_id").agg(_first_row(["crop", "state"])).join(seasons, "case_id", "left")
     parts = variant_parts(large, hot_events)
     digests = parts.groupBy("case_id").agg(
         F.sum("n_steps").alias("n_steps"),
@@ -56,7 +59,7 @@ def _text_variants(log: DataFrame) -> DataFrame:
         log.groupBy("case_id")
         .agg(
             ordered.alias("events"),
-            _first_and_season(["crop", "state"]),
+            _first_row(["crop", "state"]),
             F.mode("season", True).alias("season"),
         )
         .select(

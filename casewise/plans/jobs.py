@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,10 +20,11 @@ def clean_calls(
     keep_scripts: bool = False,
     keep_all_query_types: bool = False,
     ord_col: str = "call_id",
+    date_formats: Sequence[str] = (),
     **scope_filters,
 ) -> DataFrame:
     """The cleaning job: clean, filter, scope, merge near-duplicate query types."""
-    out = cleaning.basic_clean(calls, ord_col)
+    out = cleaning.basic_clean(calls, ord_col, date_formats)
     if not keep_all_query_types:
         out = cleaning.filter_to_advisory(out)
     if not keep_scripts:

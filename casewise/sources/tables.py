@@ -41,6 +41,7 @@ def load_calls(
     headers: Mapping[str, str] | None = None,
     fmt: str = "csv",
     missing_as_null: bool = True,
+    multi_line: bool = True,
 ) -> DataFrame:
     """A raw call table with the columns used here, or an error naming what is missing.
 
@@ -48,10 +49,14 @@ def load_calls(
     the answer's header has to be given unless it is already ``answer``. Headers are stripped
     of blanks. CSV columns are read as text: quoted line breaks and doubled quotes are
     understood, and the usual missing-value texts become null.
+
+    A CSV file that may hold line breaks inside quotes cannot be split, so each such file is
+    one task: load large exports as many files, without ``multi_line`` where no text has line
+    breaks, or as parquet.
     """
     reader = spark.read
     if fmt == "csv":
-        raw = reader.options(header=True, multiLine=True, quote='"', escape='"').csv(path)
+        raw = reader.options(header=True, multiLine=multi_line, quote='"', escape='"').csv(path)
     else:
         raw = reader.format(fmt).load(path)
     names = {**HEADERS, **(headers or {})}
@@ -102,7 +107,7 @@ def write_metrics(df: DataFrame, path: str) -> None:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give per-row text work as many tasks as there are cores.
+    """Give per-row text work on a table, as read, as many tasks as there are cores.
 
     Only a table whose files yield fewer tasks than that is repartitioned; a large table,
     which has more splits than cores, is returned as it is.

@@ -169,7 +169,7 @@ def question_answers(spark: SparkSession, sf: str) -> DataFrame:
     The pair is found by an equality on (conversation, turn), which a conversation of any
     length shares out over all tasks.
     """
-    turns = table(spark, sf, "conversations")
+    turns = spread(table(spark, sf, "conversations"))
     asked = turns.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("question"))
     replied = turns.where(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer")

@@ -101,8 +101,7 @@ scored AS (
 
 
 def _scored(spark, sf):
-    pairs = spread(question_answers(spark, sf))
-    return mismatch.find_mismatches(pairs, "lexical", 0.9, stop_words=STOP)
+    return mismatch.find_mismatches(question_answers(spark, sf), "lexical", 0.9, stop_words=STOP)
 
 
 @query(

@@ -56,6 +56,14 @@ def test_U4_plan_limits_groups_before_the_shuffle(calls):
     assert plan.count("WindowGroupLimit") == 2
 
 
+def test_P4_other_date_formats(spark):
+    df = spark.createDataFrame([("2024-03-01T10:00:00",), ("01/02/2024",), ("x",), (None,)], "created_on string")
+    plain = [r[0] is not None for r in cleaning.parse_date(df).collect()]
+    assert plain == [True, False, False, False]
+    found = [str(r[0]) for r in cleaning.parse_date(df, formats=["dd/MM/yyyy"]).collect()]
+    assert found == ["2024-03-01 10:00:00", "2024-02-01 00:00:00", "None", "None"]
+
+
 def test_P5_P6_filters_keep_nulls(calls):
     clean = cleaning.basic_clean(calls)
     assert ids(cleaning.filter_to_advisory(clean)) == [1, 5, 7, 11, 12, 13, 14]

@@ -152,7 +152,7 @@ def test_X5_mismatch(spark):
 def test_X9_X10_scorer_and_threshold(spark):
     df = spark.createDataFrame([(1, "q", "yes"), (2, "q", "half"), (3, "q", None)], "id int, question string, answer string")
     probabilities = {"yes": 0.9, "half": 0.5, "": 0.0}
-    seen = "This response addresses the concern: q"
+    seen = "This response addresses the farmer's concern: q"
 
     def scorer(premises, hypotheses):
         assert set(hypotheses) == {seen}
