@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 def _first_key(log: DataFrame) -> Column:
     """The order of events inside a case as one comparable value.
 
-    For integer ids it is a number, time * 2e19 + id, which a hash aggregate can keep; other
-    ids need a struct, for which Spark sorts the rows of each task.
+    For integer ids it is a number, time * 2e19 + id, which a hash aggregate can keep. Other
+    ids, and zones in which local times do not map to instants in order, need a struct, for
+    which Spark sorts the rows of each task.
     """
-    if log.schema["ord"].dataType.typeName() in ("long", "integer", "short", "byte"):
+    steady = log.sparkSession.conf.get("spark.sql.session.timeZone") in ("UTC", "Etc/UTC", "GMT", "Z")
+    if steady and log.schema["ord"].dataType.typeName() in ("long", "integer", "short", "byte"):
         micros = F.unix_micros(F.col("ts").cast("timestamp")).cast("decimal(19,0)")
         return micros * F.lit("20000000000000000000").cast("decimal(20,0)") + F.col("ord").cast("decimal(19,0)")
     return F.struct("ts", "ord")
@@ -53,7 +55,7 @@ def case_metrics(log: DataFrame, keys: Sequence[str] = ("case_id",), attributes:
         "n_events",
         "n_repeats",
         (F.col("n_repeats") / F.col("n_events")).alias("loop_rate"),
-        F.timestamp_diff("DAY", F.col("first_ts"), F.col("last_ts")).alias("duration_days"),
+        F.extract(F.lit("DAY"), F.col("last_ts") - F.col("first_ts")).alias("duration_days"),
         *[F.col(f"first.{a}").alias(a) for a in attributes],
     )
 

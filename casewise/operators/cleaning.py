@@ -50,8 +50,8 @@ def parse_date(calls: DataFrame, column: str = "created_on", formats: Sequence[s
     kind = calls.schema[column].dataType.simpleString()
     if kind.startswith("timestamp"):
         return calls
-    readings = [F.try_to_timestamp(F.col(column)), *[F.try_to_timestamp(F.col(column), F.lit(f)) for f in formats]]
-    return calls.withColumn(column, F.coalesce(*readings).cast("timestamp_ntz"))
+    readings = [F.try_to_timestamp(F.col(column), F.lit(f)).cast("timestamp_ntz") for f in formats]
+    return calls.withColumn(column, F.coalesce(F.col(column).try_cast("timestamp_ntz"), *readings))
 
 
 def drop_duplicates(calls: DataFrame, keys: Sequence[str] = DEDUPE_KEYS, ord_col: str = "call_id") -> DataFrame:

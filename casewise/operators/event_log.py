@@ -7,6 +7,7 @@ depend on how the input happened to be partitioned.
 
 from __future__ import annotations
 
+import datetime as dt
 import math
 from collections.abc import Mapping, Sequence
 
@@ -73,8 +74,8 @@ def event_log_rejects(calls: DataFrame, required: Sequence[str]) -> DataFrame:
 
 
 def _gap_flag(gap_days: float) -> Column:
-    elapsed = F.timestamp_diff("MICROSECOND", F.col("prev_ts"), F.col("ts"))
-    return (F.col("prev_ts").isNotNull() & (elapsed > int(gap_days * 86_400_000_000))).cast("long")
+    paused = F.col("ts") - F.col("prev_ts") > F.lit(dt.timedelta(days=gap_days))
+    return F.coalesce(paused, F.lit(False)).cast("long")
 
 
 def sequence_events(

@@ -28,6 +28,7 @@ UNKNOWN = "UNKNOWN"
 MAX_CLASSES = 1_000
 #: training rows worth a task of their own in each optimisation step
 ROWS_PER_TASK = 20_000
+PARALLEL_FITS = 8
 
 
 @dataclass
@@ -71,7 +72,7 @@ class LinearLevel:
 
 
 def fit_level(
-    docs: DataFrame, label: str, max_features: int, min_df: int, C: float, max_iter: int = 100, parallelism: int = 8
+    docs: DataFrame, label: str, max_features: int, min_df: int, C: float, max_iter: int = 100, parallelism: int = PARALLEL_FITS
 ) -> LinearLevel:
     """L2: fit one classifier on ``terms`` and ``label``.
 
@@ -173,19 +174,23 @@ class HierarchicalClassifier:
 
     def _fit(self, docs: DataFrame) -> HierarchicalClassifier:
         self.category = fit_level(docs, "category", 6000, 2, self.C, self.max_iter)
-        self.levels, self.fallbacks = {}, {}
         # one row per category, and fit_level has bounded the categories
-        for row in level2_plan(docs, "category", "query_type", self.min_class_count).collect():
-            if row["decision"] != "train":
-                self.fallbacks[row["category"]] = row["fallback_label"]
-                continue
-            own = docs.where(F.col("category") == row["category"])
+        plan = level2_plan(docs, "category", "query_type", self.min_class_count).orderBy("category").collect()
+        self.fallbacks = {r["category"]: r["fallback_label"] for r in plan if r["decision"] != "train"}
+
+        def fit_category(name: str) -> LinearLevel:
+            own = docs.where(F.col("category") == name)
             kept = (
                 own.groupBy("query_type").agg(F.count(F.lit(1)).alias("n"))
-                .where(F.col("n") >= self.min_class_count).select("query_type").limit(MAX_CLASSES)
+                .where(F.col("n") >= self.min_class_count).select("query_type").limit(MAX_CLASSES + 1)
             )
             own = own.join(F.broadcast(kept), "query_type", "left_semi")
-            self.levels[row["category"]] = fit_level(own, "query_type", 3000, 1, self.C, self.max_iter)
+            return fit_level(own, "query_type", 3000, 1, self.C, self.max_iter)
+
+        # the fits are independent and often small, so several run side by side
+        names = [r["category"] for r in plan if r["decision"] == "train"]
+        with ThreadPoolExecutor(PARALLEL_FITS) as pool:
+            self.levels = dict(zip(names, pool.map(fit_category, names)))
         return self
 
     def predict(self, df: DataFrame, text: str = "question") -> DataFrame:

@@ -30,19 +30,24 @@ def local_session(cores: int | str = "*", memory: str = "8g", shuffle_partitions
     )
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables: the cluster's ``spark.checkpoint.dir``.
 
-    The folder is the cluster's ``spark.checkpoint.dir``. Only a local session without one
-    gets a folder of its own; a cluster without one is an error, because a folder on one
-    machine would be lost with it.
+    Only a local session without one gets a folder of its own; a cluster without one is an
+    error, because a folder on one machine would be lost with it.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="casewise-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared folder and cut its lineage."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()

@@ -50,6 +50,22 @@ def test_A1_A2_loop_and_whole_days(log, rows):
     assert found == [("D1_Banana", 4, 2, 0.5, 3), ("D2_Banana", 1, 0, 0.0, 0), ("D2_Mango", 1, 0, 0.0, 0)]
 
 
+@pytest.mark.parametrize("zone", ["America/New_York", "UTC"])
+def test_N7_days_do_not_depend_on_the_session_zone(spark, rows, zone):
+    data = [("c", "a", at("2024-03-09 02:30"), 1, "x", "y"), ("c", "b", at("2024-03-10 02:30"), 2, "z", "y"),
+            ("d", "a", at("2024-11-02 12:00"), 3, "x", "y"), ("d", "a", at("2024-11-03 11:30"), 4, "x", "y")]
+    log = spark.createDataFrame(data, "case_id string, activity string, ts timestamp_ntz, ord bigint, crop string, state string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        found = rows(cases.case_metrics(log), "case_id", "duration_days", "crop")
+        assert found == [("c", 1, "x"), ("d", 0, "x")]
+        gaps = event_log.sequence_events(log, {"s": 0.99})
+        assert rows(gaps, "ord", "s") == [(1, 0), (2, 1), (3, 0), (4, 0)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_A3_sequence_and_modal_season(log, rows):
     found = rows(variants.variant_analysis(log), "case_id", "variant", "season")
     assert found[0] == ("D1_Banana", "Weather -> Plant Protection -> Plant Protection -> Weather", "KHARIF")
