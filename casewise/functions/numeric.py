@@ -40,6 +40,11 @@ def winner(a: Column, b: Column, a_name: str, b_name: str) -> Column:
     return F.when(a > b, a_name).when(a < b, b_name).otherwise("Tie")
 
 
+def pearson(x: str, y: str) -> Column:
+    """Correlation as an aggregate; null where a side does not vary, also in ANSI mode."""
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def correlation_verdict(corr: Column) -> Column:
     """Together, weak, opposite; undefined without a correlation."""
     return (

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from casewise.functions.numeric import correlation_verdict
+from casewise.functions.numeric import correlation_verdict, pearson
 from casewise.functions.text import number, percent, plural, truncate
 from casewise.operators import dfg, variants as variant_ops
 from casewise.operators.hierarchy import HierarchicalClassifier
@@ -83,7 +83,7 @@ def loop_vs_mismatch(cases: DataFrame, scored: DataFrame, segment: str = "crop",
     """One row: supported segments, correlation of the two rates, verdict."""
     pairs = loop_and_mismatch(cases, scored, segment, min_calls)
     return pairs.agg(
-        F.count(F.lit(1)).alias("n_segments"), F.corr("loop_rate", "mismatch_rate").alias("correlation")
+        F.count(F.lit(1)).alias("n_segments"), pearson("loop_rate", "mismatch_rate").alias("correlation")
     ).withColumn("verdict", correlation_verdict(F.col("correlation")))
 
 

@@ -155,7 +155,7 @@ def loop_and_mismatch(spark, sf):
 @query(
     "loop_vs_mismatch_corr",
     f"""{RATES}, c AS (SELECT count(*) AS n_segments, corr(loop_rate, mismatch_rate) AS r FROM pairs)
-        SELECT n_segments, round(r, 6) AS correlation, CASE WHEN r IS NULL OR isnan(r) THEN 'undefined'
+        SELECT n_segments, CASE WHEN NOT isnan(r) THEN round(r, 6) END AS correlation, CASE WHEN r IS NULL OR isnan(r) THEN 'undefined'
           WHEN r >= 0.3 THEN 'together' WHEN r <= -0.3 THEN 'opposite' ELSE 'weak' END AS verdict FROM c""",
 )
 def loop_vs_mismatch_corr(spark, sf):

@@ -105,6 +105,12 @@ def test_A13_verdict_has_no_gap_at_the_bounds(spark):
     assert found == ["together", "weak", "opposite", "undefined", "undefined"]
 
 
+def test_A13_correlation_without_variance_is_null(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 3.0), (2.0, 4.0, 3.0), (3.0, 7.0, 3.0)], "a double, b double, c double")
+    row = df.agg(numeric.pearson("a", "b").alias("ab"), numeric.pearson("a", "c").alias("ac")).first()
+    assert row["ab"] == pytest.approx(np.corrcoef([1, 2, 3], [2, 4, 7])[0, 1]) and row["ac"] is None
+
+
 @pytest.mark.parametrize("options", [{}, {"max_features": 7}, {"min_df": 2, "sublinear": True}])
 def test_X3_X4_tfidf(docs, options):
     terms = docs.withColumn("terms", tfidf.text_terms(F.col("text")))
