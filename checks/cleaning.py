@@ -224,7 +224,7 @@ def class_report(spark, sf):
 
 @query(
     "confusion_metrics",
-    f"""WITH {GUESSES} SELECT sum(support) AS n, round(sum(n_correct) / sum(support), 6) AS accuracy,
+    f"""WITH {GUESSES} SELECT CAST(sum(support) AS BIGINT) AS n, round(sum(n_correct) / sum(support), 6) AS accuracy,
         round(avg(precision), 6) AS macro_precision, round(avg(recall), 6) AS macro_recall, round(avg(f1), 6) AS macro_f1,
         round(sum(precision * support) / sum(support), 6) AS weighted_precision,
         round(sum(recall * support) / sum(support), 6) AS weighted_recall,
@@ -250,7 +250,7 @@ def class_weights(spark, sf):
          SELECT source AS category, CAST(n_chars % 40 AS VARCHAR) AS label, count(*) AS n FROM documents GROUP BY ALL),
        plans AS (
          SELECT category, count(*) FILTER (WHERE n >= 3) AS n_classes,
-           coalesce(sum(n) FILTER (WHERE n >= 3), 0) AS n_rows,
+           CAST(coalesce(sum(n) FILTER (WHERE n >= 3), 0) AS BIGINT) AS n_rows,
            first(label ORDER BY n DESC, label) FILTER (WHERE n >= 3) AS top FROM sizes GROUP BY 1)
        SELECT category, n_classes, n_rows,
          CASE WHEN n_classes >= 2 AND n_rows >= 4 THEN 'train' WHEN n_rows > 0 THEN 'fallback' ELSE 'none' END AS decision,
@@ -269,7 +269,7 @@ def level2_plan(spark, sf):
         e AS (SELECT sum(n_correct) / sum(support) AS a, avg(f1) AS f, sum(support) AS n FROM {_class_sql("truth", "guess")}),
         b AS (SELECT sum(n_correct) / sum(support) AS a, avg(f1) AS f FROM {_class_sql("truth", "lower(truth)")}),
         s AS (SELECT sum(n_correct) / sum(support) AS a FROM {_class_sql("source", "'src1'")})
-        SELECT e.n AS n_compared, round(e.a, 6) AS extraction_accuracy, round(e.f, 6) AS extraction_macro_f1,
+        SELECT CAST(e.n AS BIGINT) AS n_compared, round(e.a, 6) AS extraction_accuracy, round(e.f, 6) AS extraction_macro_f1,
           round(s.a, 6) AS signal_accuracy, round(b.a, 6) AS classifier_accuracy, round(b.f, 6) AS classifier_macro_f1,
           CASE WHEN e.a > b.a THEN 'LLM extraction' WHEN e.a < b.a THEN 'Baseline classifier' ELSE 'Tie' END AS winner
         FROM e, b, s""",
@@ -318,7 +318,7 @@ def missing_values(spark, sf):
          UNION ALL SELECT user_id, 'props', props FROM events),
        counts AS (SELECT field, user_id, value, count(*) AS n FROM votes GROUP BY ALL),
        records AS (SELECT field, user_id, max(n) / sum(n) AS agreement, sum(n) AS repeats FROM counts GROUP BY ALL)
-       SELECT field, count(*) AS n_records, max(repeats) AS n_repeats, round(avg(agreement), 6) AS mean_agreement
+       SELECT field, count(*) AS n_records, CAST(max(repeats) AS BIGINT) AS n_repeats, round(avg(agreement), 6) AS mean_agreement
        FROM records GROUP BY 1""",
 )
 def vote_agreement(spark, sf):
@@ -418,7 +418,7 @@ def run_extraction(spark, sf):
 @query(
     "consistency_check",
     """SELECT unnest(['category', 'resolution_signal']) AS field, count(*) AS n_records, 3 AS n_repeats,
-       1.0 AS mean_agreement FROM documents""",
+       CAST(1 AS DOUBLE) AS mean_agreement FROM documents""",
 )
 def consistency_check(spark, sf):
     docs = table(spark, sf, "documents")

@@ -105,7 +105,7 @@ variants AS (
 VARIANT_COUNTS = """
 variant_names AS (SELECT variant, crop, count(*) AS n FROM variants GROUP BY ALL),
 variant_counts AS (
-  SELECT variant, sum(n) AS n_cases,
+  SELECT variant, CAST(sum(n) AS BIGINT) AS n_cases,
          array_to_string(list_slice(list_sort(list(crop)), 1, 3), ', ') AS example_crops,
          (SELECT any_value(n_steps) FROM variants v WHERE v.variant = variant_names.variant) AS n_steps,
          sum(n) * 100.0 / (SELECT count(*) FROM variants) AS pct_of_cases

@@ -295,8 +295,8 @@ def variant_topk_log(spark, sf):
     "variant_coverage",
     f"""WITH {EVENTS_LOG}, {VARIANTS}, counts AS (SELECT variant, count(*) AS n FROM variants GROUP BY 1),
         top AS (SELECT n FROM counts ORDER BY n DESC, variant LIMIT 15)
-        SELECT (SELECT count(*) FROM top) AS n_variants, (SELECT sum(n) FROM top) AS cases_kept,
-          sum(n) AS cases_total, round((SELECT sum(n) FROM top) / sum(n), 6) AS coverage FROM counts""",
+        SELECT (SELECT count(*) FROM top) AS n_variants, CAST((SELECT sum(n) FROM top) AS BIGINT) AS cases_kept,
+          CAST(sum(n) AS BIGINT) AS cases_total, round((SELECT sum(n) FROM top) / sum(n), 6) AS coverage FROM counts""",
 )
 def variant_coverage(spark, sf):
     counts = variants.variant_counts(variants.variant_analysis(events_log(spark, sf)))

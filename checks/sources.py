@@ -62,7 +62,7 @@ def result_tables_csv(spark, sf):
 
 @query(
     "metrics_json",
-    f"""WITH {GUESSES} SELECT sum(support) AS n, round(sum(n_correct) / sum(support), 6) AS accuracy,
+    f"""WITH {GUESSES} SELECT CAST(sum(support) AS BIGINT) AS n, round(sum(n_correct) / sum(support), 6) AS accuracy,
         round(avg(f1), 6) AS macro_f1 FROM {_class_sql("truth", "guess")}""",
 )
 def metrics_json(spark, sf):

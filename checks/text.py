@@ -33,7 +33,7 @@ def grams_sql(name: str, source: str, text: str, keys: str, stop: bool = False)
 def vocabulary_sql(source: str, n_docs: str, max_features: int, min_df: int = 1) -> str:
     return f"""
 vocabulary AS (
-  SELECT term, sum(tf) AS cf, count(*) AS df, ln((1 + {n_docs}) / (1 + count(*))) + 1 AS idf FROM {source} GROUP BY term
+  SELECT term, CAST(sum(tf) AS BIGINT) AS cf, count(*) AS df, ln((1 + {n_docs}) / (1 + count(*))) + 1 AS idf FROM {source} GROUP BY term
   HAVING count(*) >= {min_df} ORDER BY cf DESC, term LIMIT {max_features})"""
 
 
