@@ -304,7 +304,7 @@ def _links(docs: DataFrame, classes: DataFrame, n: int, t: tuple[int, int], tabl
 
     texts = docs.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), "text")
     sets = tables.store(
-        texts.join(chosen, "id").select("key", "text").mapInArrow(whole, "key bigint, grams binary").dropDuplicates(["key"]), "sets"
+        texts.join(chosen.hint("merge"), "id").select("key", "text").mapInArrow(whole, "key bigint, grams binary").dropDuplicates(["key"]), "sets"
     )
     cells = sets.select("grams").mapInArrow(_cell_counts, "slice int, counts binary")
     table = np.zeros(CELLS, np.uint32)
