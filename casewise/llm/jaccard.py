@@ -329,7 +329,7 @@ def _links(docs: DataFrame, classes: DataFrame, n: int, t: tuple[int, int], tabl
         else:
             # whatever is left: each set outside with the sets of other components
             out = tables.store(outside.select("gram", "key", "n", "at", "root", "hub_root"), "outside")
-            other = members.toDF("gram", "key2", "n2", "at2", "root2")
+            other = members.select("gram", *(F.col(c).alias(f"{c}2") for c in ("key", "n", "at", "root")))
             near = split_join(out, other, ["gram"], "inner").where(
                 (F.col("root") != F.col("root2")) & ((F.col("root2") == F.col("hub_root")) | (F.col("key") < F.col("key2")))
                 & _passes(t, F.col("n"), F.col("at"), F.col("n2"), F.col("at2"))
