@@ -75,8 +75,8 @@ def entailment_scores(
 
 
 def flag(scored: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """M6: a score at the threshold counts as a mismatch."""
-    return scored.withColumn("is_mismatch", F.col("mismatch_score") >= threshold)
+    """M6: a score at the threshold counts as a mismatch; scores are compared to nine places, like similarities."""
+    return scored.withColumn("is_mismatch", F.round("mismatch_score", 9) >= threshold)
 
 
 def find_mismatches(calls: DataFrame, backend: str = "lexical", threshold: float = THRESHOLD, **options) -> DataFrame:

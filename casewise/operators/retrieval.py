@@ -78,7 +78,7 @@ class EmbeddingRetriever:
         self, queries: DataFrame, k: int = 5, vector_col: str = "embedding", query_id: str = "query_id",
         payload: Sequence[str] = PAYLOAD,
     ) -> DataFrame:
-        asked = queries.select(F.col(query_id).alias("id"), F.col(vector_col).alias("values"))
+        asked = queries.select(F.col(query_id).alias("id"), F.col(vector_col).alias("values")).where(F.col("values").isNotNull())
         best = top_k(self.index, asked, k, dense=True)
         return _with_payload(best, self.corpus, self.id_col, payload)
 

@@ -29,28 +29,31 @@ def take_by_hash(df: DataFrame, quotas: DataFrame, stratum: str, id_col: str, se
     inside that one range are ranked. A stratum with a third of all rows needs no task to
     see more than its 65,536th part.
     """
-    keyed = df.withColumn("_draw", draw_key(id_col, seed)).withColumn(
+    # a null stratum is a stratum like any other
+    coded = F.coalesce(F.concat(F.lit("="), F.col(stratum).cast("string")), F.lit(""))
+    quotas = quotas.select(coded.alias("_stratum"), "quota")
+    keyed = df.withColumns({"_stratum": coded, "_draw": draw_key(id_col, seed)}).withColumn(
         "_range", F.conv(F.substring("_draw", 1, 4), 16, 10).cast("int")
     )
-    upto = Window.partitionBy(stratum).orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy("_stratum").orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)
     filled = (
-        keyed.groupBy(stratum, "_range").agg(F.count(F.lit(1)).alias("n"))
+        keyed.groupBy("_stratum", "_range").agg(F.count(F.lit(1)).alias("n"))
         .withColumn("upto", F.sum("n").over(upto))
-        .join(quotas.select(stratum, "quota"), stratum)
+        .join(quotas, "_stratum")
         .where(F.col("upto") >= F.col("quota"))
-        .groupBy(stratum)
+        .groupBy("_stratum")
         .agg(
             F.min("_range").alias("_last"),
             F.min_by(F.col("quota") - (F.col("upto") - F.col("n")), "_range").alias("_need"),
         )
     )
     # a stratum with fewer rows than its quota has no last range: all its rows are taken
-    marked = lookup(keyed, filled, [stratum])
+    marked = lookup(keyed, filled, ["_stratum"])
     inside = F.col("_range") == F.col("_last")
     sure = marked.where(~F.coalesce(inside, F.lit(False))).withColumn(
         "taken", F.coalesce(F.col("_range") < F.col("_last"), F.lit(True))
     )
-    ranked = Window.partitionBy(stratum, "_range").orderBy("_draw", id_col)
+    ranked = Window.partitionBy("_stratum", "_range").orderBy("_draw", id_col)
     edge = marked.where(inside).withColumn("taken", F.row_number().over(ranked) <= F.col("_need"))
     return sure.unionByName(edge).select(*df.columns, "taken")
 

@@ -273,7 +273,7 @@ def _labelled(spark, sf):
 @query("hier_predict")
 def hier_predict(spark, sf):
     """Train on the labelled documents and label every document; model results have no SQL."""
-    model = HierarchicalClassifier(max_iter=10).fit(_labelled(spark, sf))
+    model = HierarchicalClassifier().fit(_labelled(spark, sf))
     documents = spread(table(spark, sf, "documents")).select("doc_id", F.col("text").alias("question"))
     return rounded(model.predict(documents).drop("question"), "category_confidence", "query_type_confidence", digits=4)
 
@@ -282,14 +282,14 @@ def hier_predict(spark, sf):
 def hier_scores(spark, sf):
     """Accuracy and macro-F1 of both levels on the rows the model was trained on."""
     rows = durable(_labelled(spark, sf))
-    model = HierarchicalClassifier(max_iter=10).fit(rows)
+    model = HierarchicalClassifier().fit(rows)
     return rounded(evaluate_against_gold(model, rows), "accuracy", "macro_f1", digits=4)
 
 
 @query("answer_queries")
 def answer_queries(spark, sf):
     """Predictions and similar past documents for the benchmark texts."""
-    model = HierarchicalClassifier(max_iter=10).fit(_labelled(spark, sf))
+    model = HierarchicalClassifier().fit(_labelled(spark, sf))
     docs = spread(table(spark, sf, "documents"))
     corpus = docs.select(
         F.col("doc_id").alias("call_id"), F.col("text").alias("question"), F.col("text").alias("answer"),

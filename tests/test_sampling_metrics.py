@@ -109,3 +109,10 @@ def test_L8_winner(spark, base, expected):
     df = spark.createDataFrame([("a", "a", "s", "s", "zz"), ("b", "c", "s", "u", "zz")], "t string, e string, gs string, es string, x string")
     row = jobs.compare_methods(df, "t", "e", "gs", "es", base).first()
     assert row["winner"] == expected and row["n_compared"] == 2 and row["signal_accuracy"] == 0.5
+
+
+def test_U8_null_stratum_gets_its_quota(spark):
+    df = spark.createDataFrame([(i, [None, "a", "b", "c"][i % 4]) for i in range(100)], "call_id int, topic string")
+    quotas = df.groupBy("topic").agg(F.lit(5).alias("quota"))
+    taken = sampling.take_by_hash(df, quotas, "topic", "call_id", 1).where("taken")
+    assert {r["topic"]: r["count"] for r in taken.groupBy("topic").count().collect()} == {None: 5, "a": 5, "b": 5, "c": 5}
