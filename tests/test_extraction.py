@@ -77,7 +77,7 @@ def test_J3_failing_batch_marks_its_rows(calls):
     failed = {i for i, r in found.items() if r["issue"] == "api_error"}
     assert 4 in failed and len(failed) == 2
     assert found[4]["raw_head"] == "no model" and found[4]["parse_error"]
-    assert found[0]["crop"] == "Cotton"
+    assert found[0]["crop"] == GOOD["crop"]
 
 
 def test_J3_T9_first_rows_by_id(calls):
