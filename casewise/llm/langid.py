@@ -108,16 +108,21 @@ def fit(
     labels = sorted({row.label for row in rows})
     if not rows:
         return [], np.zeros((FEATURES + 1, 0), np.float32)
-    sets = np.unpackbits(np.array([np.frombuffer(row.bits, np.uint8) for row in rows]), axis=1)[:, :FEATURES].astype(np.float32)
-    x = normed(sets)
+    # presence stays packed; blocks of texts are unpacked one at a time
+    packed = np.array([np.frombuffer(row.bits, np.uint8) for row in rows])
     own = np.array([labels.index(row.label) for row in rows])
+
+    def unpacked(part: np.ndarray) -> np.ndarray:
+        return normed(np.unpackbits(part, axis=1)[:, :FEATURES].astype(np.float32))
+
     # landmarks: the first texts of each label, in equal numbers
     rank = np.array([int((own[:i] == label).sum()) for i, label in enumerate(own)])
-    marks = x[np.argsort(rank, kind="stable")[:landmarks]]
+    marks = unpacked(packed[np.argsort(rank, kind="stable")[:landmarks]])
     values, vectors = np.linalg.eigh((marks @ marks.T).astype(np.float64))
     kept = values > values.max() * 1e-6
     root = vectors[:, kept] / np.sqrt(values[kept])
-    z = (x @ marks.T) @ root
+    kernel = np.vstack([unpacked(packed[i : i + ROWS]) @ marks.T for i in range(0, len(packed), ROWS)])
+    z = kernel @ root
     z = np.hstack([z, np.ones((len(z), 1))])
     wanted = np.where(own[:, None] == np.arange(len(labels)), 1.0, -1.0)
     share = 1 / np.bincount(own, minlength=len(labels))[own]
