@@ -56,14 +56,18 @@ def added(df: DataFrame, *names: str) -> list[str]:
 
 def pieces(column: pa.Array, most: int = PIECE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, row after the last, UTF-8 bytes, offsets from 0) of runs of rows; null counts as empty."""
-    column = column.fill_null("").cast(pa.large_string())
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    if column.null_count:
+        column = column.fill_null("")
+    if not (pa.types.is_string(column.type) or pa.types.is_large_string(column.type)):
+        column = column.cast(pa.large_string())
     n = len(column)
     if not n:
         return
-    _, raw_offsets, raw = column.buffers()
-    offsets = np.frombuffer(raw_offsets, np.int64, n + 1, column.offset * 8)
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    _, raw_offsets, raw = column.buffers()  # the batch's own memory, not a copy
+    offsets = np.frombuffer(raw_offsets, kind, n + 1, column.offset * np.dtype(kind).itemsize).astype(np.int64)
     data = np.frombuffer(raw, np.uint8) if raw is not None and raw.size else np.zeros(0, np.uint8)
     low = 0
     while low < n:

@@ -32,6 +32,8 @@ from casewise.operators.joins import split_join
 
 #: Cells of the table of n-gram counts, and slices in which tasks send it.
 CELLS, SLICES = 1 << 20, 16
+#: N-grams that a task gathers before it sends them.
+HELD = 1_000_000
 #: Rounds in which sets meet only a central one.
 ROUNDS = 2
 #: Fixed hashes at which the suffix filter cuts sets.
@@ -105,6 +107,7 @@ def _meeting(n: int, t: tuple[int, int], parts: int):
 
     def flush(held):
         grams, keys, sizes = (np.concatenate(x) for x in zip(*held))
+        held.clear()
         _, first = np.unique(keys, return_index=True)  # a class once
         keep = np.zeros(len(keys), bool)
         keep[first] = True
@@ -154,9 +157,9 @@ def _meeting(n: int, t: tuple[int, int], parts: int):
                 if filled.any():
                     held.append((low, class_keys(grams, counts)[filled], sizes[filled]))
                     size += len(low)
-                if size > 2_000_000:
-                    yield from flush(held)
-                    held, size = [], 0
+                if size > HELD:
+                    full, held, size = held, [], 0
+                    yield from flush(full)
         if held:
             yield from flush(held)
 

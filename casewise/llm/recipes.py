@@ -62,12 +62,16 @@ def chunk_ends(length: int, cuts: np.ndarray) -> list[int]:
     return ends
 
 
+def _pieces(column: pa.Array) -> Iterator[list[bytes]]:
+    """Normalised texts, a run of rows at a time."""
+    for _, _, data, offsets in pieces(column):
+        whole, raw = lower(data).tobytes(), offsets.tolist()
+        yield [whole[a:b] for a, b in zip(raw, raw[1:])]
+
+
 def _texts(column: pa.Array) -> Iterator[bytes]:
-    for low, high, data, offsets in pieces(column):
-        small, raw = lower(data), offsets.tolist()
-        whole = small.tobytes()
-        for i in range(high - low):
-            yield whole[raw[i] : raw[i + 1]]
+    for texts in _pieces(column):
+        yield from texts
 
 
 def _chunks(text: bytes) -> Iterator[bytes]:
@@ -83,12 +87,13 @@ def _identity(chunk: bytes) -> int:
 
 
 def _chunk_rows(batches):
-    """Each chunk once for each Arrow batch."""
+    """Each chunk once for each run of rows; equal ones of other runs are merged before the shuffle."""
     for batch in batches:
-        found = {chunk: None for text in _texts(batch.column(0)) for chunk in _chunks(text)}
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([_identity(c) for c in found], pa.int64()), pa.array(list(found), pa.binary())], ["hash", "chunk"]
-        )
+        for texts in _pieces(batch.column(0)):
+            found = {chunk: None for text in texts for chunk in _chunks(text)}
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([_identity(c) for c in found], pa.int64()), pa.array(list(found), pa.binary())], ["hash", "chunk"]
+            )
 
 
 def _recipe_rows(batches):
