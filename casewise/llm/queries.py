@@ -37,7 +37,8 @@ def op1_training_order(spark: SparkSession, sf: str) -> DataFrame:
 def op2_chat(spark: SparkSession, sf: str) -> DataFrame:
     turns = spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", "role", "text")
     hard = r"\### Assistant: </turn> ok"
-    extra = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], turns.schema)
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(hard).alias("text"))
     parts = chat.read_back(chat.format_parts(turns.unionByName(extra)))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), "")
     whole = parts.select(
