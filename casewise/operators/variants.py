@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casewise.operators.event_log import HOT_CASE_EVENTS, sequence_events
@@ -11,66 +11,47 @@ from casewise.session import durable
 
 ARROW = " -> "
 
-
-def _first_row(attributes):
-    return F.min(F.struct("ts", "ord", *attributes)).alias("first")
+#: Activities in the opening of a sequence, by which variants of equal frequency are ordered and shown.
+OPENING_STEPS = 100
 
 
 def variant_analysis(log: DataFrame, hot_events: int = HOT_CASE_EVENTS) -> DataFrame:
-    """A3: per case the activities joined by an arrow, first crop and state, modal season.
+    """A3: per case the key and the opening of its activity sequence, its steps, first crop and state, modal season.
 
-    The season ignores nulls and takes the lowest value on a tie. A case above ``hot_events``
-    events has a text no single row can carry: its ``variant`` is a digest that is equal for
-    equal sequences, and ``variant_parts`` holds the whole sequence.
+    ``variant_key`` stands for the whole sequence: 128 bits that are equal for equal sequences.
+    ``opening`` is its first ``OPENING_STEPS`` activities joined by an arrow; ``sequences`` and
+    ``variant_parts`` give all of it. The key is a sum without order over hashes of (step,
+    activity), so the events of a case of any size are added up by many tasks. The season
+    ignores nulls and takes the lowest value on a tie. ``hot_events`` changes the plan only.
     """
-    sizes = log.groupBy("case_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_events)
-    if sizes.isEmpty():
-        return _text_variants(log)
-    hot = F.broadcast(sizes.select("case_id"))  # at most total/hot_events cases
-    large = log.join(hot, "case_id", "left_semi")
-    seasons = (
-        large.where(F.col("season").isNotNull())
-        .groupBy("case_id", "season").agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("case_id").agg(F.min_by("season", F.struct(-F.col("n"), "season")).alias("season"))
+    used = log.select("case_id", "activity", "ts", "ord", "crop", "state", "season")
+    step = F.col("step").cast("long")
+    opening = F.when(F.col("step") <= OPENING_STEPS, F.struct("step", "activity"))
+    by_season = sequence_events(used, hot_events=hot_events).groupBy("case_id", "season").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.bit_xor(F.xxhash64(step, "activity")).alias("high"),
+        F.bit_xor(F.xxhash64(F.lit("low"), "activity", step)).alias("low"),
+        F.min(F.struct("ts", "ord", "crop", "state")).alias("first"),
+        F.collect_list(opening).alias("opening"),
     )
-    attributes = large.groupBy("case_id").agg(_first_row(["crop", "state"])).join(seasons, "case_id", "left")
-    parts = variant_parts(large, hot_events)
-    digests = parts.groupBy("case_id").agg(
-        F.sum("n_steps").alias("n_steps"),
-        F.sha2(
-            F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("part", F.sha2("text", 256).alias("d")))), lambda p: p.d), "/"),
-            256,
-        ).alias("digest"),
+    modal = F.when(F.col("season").isNotNull(), F.struct(-F.col("n"), "season"))
+    whole = by_season.groupBy("case_id").agg(
+        F.sum("n").alias("n_steps"),
+        F.bit_xor("high").alias("high"),
+        F.bit_xor("low").alias("low"),
+        F.min("first").alias("first"),
+        F.min_by("season", modal).alias("season"),
+        F.sort_array(F.flatten(F.collect_list("opening"))).alias("opening"),
     )
-    digested = digests.join(attributes, "case_id").select(
+    return whole.select(
         "case_id",
-        F.concat(F.lit("sha256:"), "digest").alias("variant"),
-        F.col("n_steps").cast("long").alias("n_steps"),
+        F.lower(F.concat(*(F.lpad(F.hex(part), 16, "0") for part in ("high", "low")))).alias("variant_key"),
+        F.array_join(F.col("opening.activity"), ARROW).alias("opening"),
+        "n_steps",
         F.col("first.crop").alias("crop"),
         F.col("first.state").alias("state"),
         "season",
     )
-    return _text_variants(log.join(hot, "case_id", "left_anti")).unionByName(digested)
-
-
-def _text_variants(log: DataFrame) -> DataFrame:
-    ordered = F.sort_array(F.collect_list(F.struct("ts", "ord", "activity")))
-    return (
-        log.groupBy("case_id")
-        .agg(
-            ordered.alias("events"),
-            _first_row(["crop", "state"]),
-            F.mode("season", True).alias("season"),
-        )
-        .select(
-            "case_id",
-            F.array_join(F.col("events.activity"), ARROW).alias("variant"),
-            F.size("events").cast("long").alias("n_steps"),
-            F.col("first.crop").alias("crop"),
-            F.col("first.state").alias("state"),
-            "season",
-        )
-    )
 
 
 def variant_parts(log: DataFrame, part_events: int = HOT_CASE_EVENTS) -> DataFrame:
@@ -89,35 +70,66 @@ def variant_parts(log: DataFrame, part_events: int = HOT_CASE_EVENTS) -> DataFra
     )
 
 
+def sequences(log: DataFrame, hot_events: int = HOT_CASE_EVENTS) -> DataFrame:
+    """The whole sequence of every case as one text: case_id, variant.
+
+    For cases that are shown: a text is one value, which Spark bounds at 2 GB; longer sequences
+    are read from ``variant_parts``.
+    """
+    parts = variant_parts(log, hot_events).groupBy("case_id").agg(
+        F.sort_array(F.collect_list(F.struct("part", "text"))).alias("parts")
+    )
+    return parts.select("case_id", F.array_join(F.col("parts.text"), ARROW).alias("variant"))
+
+
+def with_sequences(table: DataFrame, log: DataFrame, case_col: str = "example_case") -> DataFrame:
+    """``table`` with ``variant``, the whole sequence of the case in ``case_col``; only these cases are read."""
+    shown = table.select(F.col(case_col).alias("case_id")).distinct()
+    texts = sequences(split_join(log, shown, ["case_id"], "left_semi"))
+    return table.join(texts.withColumnRenamed("case_id", case_col), case_col)
+
+
 def variant_counts(variants: DataFrame) -> DataFrame:
-    """Per variant its cases, three example crops, steps and share of all cases.
+    """Per variant its cases, three example crops, steps, share of all cases, opening and an example case.
 
-    Pre-aggregated on (variant, crop): a variant shared by very many cases reaches the
-    example step as one row per crop.
+    Counts are partial aggregates, and a task passes on three crops of a variant at most, so a
+    variant that very many cases share is no hot key. Reads ``variants`` three times: store it.
     """
-    by_crop = variants.groupBy("variant", "n_steps", "crop").agg(F.count(F.lit(1)).alias("n"))
-    names = Window.partitionBy("variant").orderBy(F.asc_nulls_last("crop"))
-    counts = (
-        by_crop.withColumn("place", F.row_number().over(names))
-        .groupBy("variant")
-        .agg(
-            F.first("n_steps").alias("n_steps"),
-            F.sum("n").alias("n_cases"),
-            F.array_join(
-                F.sort_array(F.collect_list(F.when(F.col("place") <= 3, F.col("crop")))), ", "
-            ).alias("example_crops"),
-        )
+    place = Window.partitionBy("variant_key").orderBy("crop")
+    crops = variants.where(F.col("crop").isNotNull()).select("variant_key", "crop").distinct()
+    examples = (
+        crops.withColumn("place", F.row_number().over(place))
+        .where("place <= 3")
+        .groupBy("variant_key")
+        .agg(F.array_join(F.sort_array(F.collect_list("crop")), ", ").alias("example_crops"))
+    )
+    counts = variants.groupBy("variant_key").agg(
+        F.count(F.lit(1)).alias("n_cases"),
+        F.min("n_steps").alias("n_steps"),
+        F.min("opening").alias("opening"),
+        F.min("case_id").alias("example_case"),
     )
     total = variants.agg(F.count(F.lit(1))).scalar()
-    return counts.select(
-        "variant", "n_cases", "example_crops", "n_steps", (F.col("n_cases") * 100.0 / total).alias("pct_of_cases")
+    return counts.join(examples, "variant_key", "left").select(
+        "variant_key",
+        "n_cases",
+        F.coalesce("example_crops", F.lit("")).alias("example_crops"),
+        "n_steps",
+        (F.col("n_cases") * 100.0 / total).alias("pct_of_cases"),
+        "opening",
+        "example_case",
     )
 
 
+def by_frequency() -> list[Column]:
+    """Most frequent first, ties by the opening, then by the key."""
+    return [F.desc("n_cases"), F.asc("opening"), F.asc("variant_key")]
+
+
 def top_variants(counts: DataFrame, k: int) -> DataFrame:
     """The ``k`` most frequent variants with their rank; the rank is over ``k`` rows."""
-    top = counts.orderBy(F.desc("n_cases"), "variant").limit(k)
-    return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n_cases"), "variant")))
+    top = counts.orderBy(*by_frequency()).limit(k)
+    return top.withColumn("rank", F.row_number().over(Window.orderBy(*by_frequency())))
 
 
 def ranked_variants(counts: DataFrame) -> DataFrame:
@@ -127,7 +139,7 @@ def ranked_variants(counts: DataFrame) -> DataFrame:
     rows in the partitions before it is its rank. The offsets are one row per partition.
     """
     placed = durable(
-        counts.orderBy(F.desc("n_cases"), "variant").withColumn("place", F.monotonically_increasing_id())
+        counts.orderBy(*by_frequency()).withColumn("place", F.monotonically_increasing_id())
     ).withColumn("chunk", F.shiftright("place", 33))
     chunks = placed.groupBy("chunk").agg(F.count(F.lit(1)).alias("n"))
     before = Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
@@ -141,16 +153,16 @@ def ranked_variants(counts: DataFrame) -> DataFrame:
 def filter_top_variants(log: DataFrame, variants: DataFrame, k: int) -> DataFrame:
     """The events of the cases that follow one of the ``k`` most frequent variants."""
     top = (
-        variants.groupBy("variant").agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), "variant").limit(k).select("variant")
+        variants.groupBy("variant_key").agg(F.count(F.lit(1)).alias("n_cases"), F.min("opening").alias("opening"))
+        .orderBy(*by_frequency()).limit(k).select("variant_key")
     )
-    cases = variants.join(F.broadcast(top), "variant", "left_semi").select("case_id")
+    cases = variants.join(F.broadcast(top), "variant_key", "left_semi").select("case_id")
     return split_join(log, cases, ["case_id"], "left_semi")
 
 
 def variant_coverage(counts: DataFrame, k: int) -> DataFrame:
     """Share of the cases that the ``k`` most frequent variants account for."""
-    top = counts.orderBy(F.desc("n_cases"), "variant").limit(k).agg(
+    top = counts.orderBy(F.desc("n_cases"), "variant_key").limit(k).agg(
         F.count(F.lit(1)).alias("n_variants"), F.sum("n_cases").alias("cases_kept")
     )
     total = counts.agg(F.sum("n_cases")).scalar()

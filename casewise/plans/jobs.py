@@ -39,7 +39,7 @@ def discovery_log(log: DataFrame, n_activities: int = 8, k_variants: int | None
     bucketed = bucket_activities(log, n_activities)
     if not k_variants:
         return bucketed
-    return variants.filter_top_variants(bucketed, variants.variant_analysis(bucketed), k_variants)
+    return variants.filter_top_variants(bucketed, durable(variants.variant_analysis(bucketed)), k_variants)
 
 
 def event_log_job(
@@ -52,17 +52,19 @@ def event_log_job(
     log = durable(log.select("case_id", "activity", "ts", "ord", "state", "crop", "season"))
     metrics_table = durable(cases.case_metrics(log))
     variant_table = durable(variants.variant_analysis(log))
+    top = durable(variants.top_variants(variants.variant_counts(variant_table), 5))
     edges, nodes = dfg.discover_dfg(log)
     prepared = discovery_log(log)
     tables = {
         "loop_rate_per_case": metrics_table.select("case_id", "n_events", "n_repeats", "loop_rate", "crop", "state"),
         "case_durations": metrics_table.select("case_id", "duration_days", "n_events", "crop", "state"),
         "variants": variant_table,
+        "variant_parts": variants.variant_parts(log),
         "summary_by_crop": cases.summarize_by_segment(metrics_table),
         "dfg_edges": edges,
         "dfg_nodes": nodes,
         "footprint": dfg.footprint(dfg.transitions(prepared)),
-        "top_variants": cases.value_counts(variant_table, "variant", 5),
+        "top_variants": variants.with_sequences(top, log).select("variant", F.col("n_cases").alias("n"), "variant_key"),
     }
     for name, table in tables.items():
         write_table(table, f"{out_dir}/{name}")

@@ -115,7 +115,7 @@ def variant_explorer(variants: DataFrame, crops: Sequence[str] | None = None, n:
         F.bround("pct_of_cases", 1).alias("pct_of_cases"),
         "n_steps",
         "example_crops",
-        truncate(F.col("variant"), 200).alias("sequence"),
+        truncate(F.col("opening"), 200).alias("sequence"),
         F.concat(F.lit("#"), F.col("rank"), F.lit(" ("), plural(F.col("n_steps"), "step"), F.lit(")")).alias("short_label"),
     )
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from casewise.operators import cases, dfg, event_log, variants, windows
+from casewise.session import durable
 from casewise.plans import jobs
 from checks.common import (
     CASES,
@@ -245,7 +246,9 @@ def footprint(spark, sf):
     f"WITH {EVENTS_LOG}, {VARIANTS} SELECT case_id, variant, n_steps, crop, state, season FROM variants",
 )
 def variant_rows(spark, sf):
-    return variants.variant_analysis(events_log(spark, sf))
+    log = events_log(spark, sf)
+    found = variants.variant_analysis(log).join(variants.sequences(log), "case_id")
+    return found.select("case_id", "variant", "n_steps", "crop", "state", "season")
 
 
 @query(
@@ -265,8 +268,9 @@ def variant_parts(spark, sf):
         round(pct_of_cases, 6) AS pct_of_cases FROM variant_counts""",
 )
 def variant_counts(spark, sf):
-    counts = variants.variant_counts(variants.variant_analysis(events_log(spark, sf)))
-    return rounded(counts, "pct_of_cases")
+    log = events_log(spark, sf)
+    counts = variants.with_sequences(variants.variant_counts(durable(variants.variant_analysis(log))), log)
+    return rounded(counts.select("variant", "n_cases", "example_crops", "n_steps", "pct_of_cases"), "pct_of_cases")
 
 
 @query(
@@ -275,8 +279,9 @@ def variant_counts(spark, sf):
         row_number() OVER (ORDER BY n_cases DESC, variant) AS rank FROM variant_counts""",
 )
 def variant_ranks(spark, sf):
-    counts = variants.variant_counts(variants.variant_analysis(events_log(spark, sf)))
-    return variants.ranked_variants(counts).select("variant", "n_cases", "rank")
+    log = events_log(spark, sf)
+    counts = variants.variant_counts(durable(variants.variant_analysis(log)))
+    return variants.with_sequences(variants.ranked_variants(counts), log).select("variant", "n_cases", "rank")
 
 
 @query(
@@ -288,7 +293,7 @@ def variant_ranks(spark, sf):
 )
 def variant_topk_log(spark, sf):
     log = events_log(spark, sf)
-    return variants.filter_top_variants(log, variants.variant_analysis(log), 15).select("case_id", "ord", "activity")
+    return variants.filter_top_variants(log, durable(variants.variant_analysis(log)), 15).select("case_id", "ord", "activity")
 
 
 @query(
@@ -299,7 +304,7 @@ def variant_topk_log(spark, sf):
           CAST(sum(n) AS BIGINT) AS cases_total, round((SELECT sum(n) FROM top) / sum(n), 6) AS coverage FROM counts""",
 )
 def variant_coverage(spark, sf):
-    counts = variants.variant_counts(variants.variant_analysis(events_log(spark, sf)))
+    counts = variants.variant_counts(durable(variants.variant_analysis(events_log(spark, sf))))
     return rounded(variants.variant_coverage(counts, 15), "coverage")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from casewise.operators import cases, variants
+from casewise.session import durable
 from casewise.plans import reports
 from checks.common import CASES, EVENTS_LOG, ORDERS_LOG, VARIANT_COUNTS, VARIANTS, events_log, orders_log, query, rounded, table
 from checks.process import ACTIVITY_TOTALS
@@ -126,7 +127,7 @@ def headline(spark, sf):
           '#' || rank || ' (' || n_steps || CASE WHEN n_steps = 1 THEN ' step)' ELSE ' steps)' END AS short_label FROM top""",
 )
 def variant_explorer(spark, sf):
-    return reports.variant_explorer(variants.variant_analysis(events_log(spark, sf)))
+    return reports.variant_explorer(durable(variants.variant_analysis(events_log(spark, sf))))
 
 
 @query(

@@ -67,7 +67,7 @@ def test_N7_days_do_not_depend_on_the_session_zone(spark, rows, zone):
 
 
 def test_A3_sequence_and_modal_season(log, rows):
-    found = rows(variants.variant_analysis(log), "case_id", "variant", "season")
+    found = rows(variants.variant_analysis(log).join(variants.sequences(log), "case_id"), "case_id", "variant", "season")
     assert found[0] == ("D1_Banana", "Weather -> Plant Protection -> Plant Protection -> Weather", "KHARIF")
 
 
@@ -148,14 +148,29 @@ def test_hot_case_graph_and_windows(long_log, rows):
     )
 
 
-def test_hot_variant_is_a_digest_with_whole_parts(long_log, rows):
-    plain = {r[0]: r for r in rows(variants.variant_analysis(long_log))}
-    digested = {r[0]: r for r in rows(variants.variant_analysis(long_log, hot_events=100))}
-    assert digested["big"][1].startswith("sha256:")
-    assert digested["big"][2:] == plain["big"][2:]
-    assert {k: v for k, v in digested.items() if k != "big"} == {k: v for k, v in plain.items() if k != "big"}
-    parts = sorted(r for r in rows(variants.variant_parts(long_log, 100), "case_id", "part", "text") if r[0] == "big")
-    assert " -> ".join(p[2] for p in parts) == plain["big"][1]
+def test_variants_do_not_depend_on_what_counts_as_hot(long_log, rows):
+    plain = rows(variants.variant_analysis(long_log))
+    assert plain == rows(variants.variant_analysis(long_log.repartition(5), hot_events=4))
+    texts = rows(variants.sequences(long_log))
+    assert texts == rows(variants.sequences(long_log, hot_events=4))
+    opening = {r[0]: r[2] for r in plain}
+    for case, text in texts:
+        assert opening[case] == " -> ".join(text.split(" -> ")[:variants.OPENING_STEPS])
+    assert len(opening["big"]) < len(dict(texts)["big"])
+
+
+def test_variant_keys_tell_order_and_repeats_apart(spark, rows):
+    log = spark.createDataFrame(
+        [(case, activity, i) for case in ["ab", "ba", "aab", "abb", "ab!", "aa", "a"] for i, activity in enumerate(case.rstrip("!"))],
+        "case_id string, activity string, ord int",
+    ).select("case_id", "activity", F.lit("2024-01-01").cast("timestamp_ntz").alias("ts"), "ord", *(F.lit("x").alias(c) for c in ("crop", "state", "season")))
+    found = dict(rows(variants.variant_analysis(log), "case_id", "variant_key"))
+    assert found["ab"] == found["ab!"] and len(set(found.values())) == 6
+
+
+def test_no_window_over_all_rows_of_a_variant(spark, log):
+    plan = variants.variant_counts(variants.variant_analysis(log))._jdf.queryExecution().toString()
+    assert "WindowGroupLimit" in plan
 
 
 def test_equal_hot_sequences_have_equal_digests(spark, rows):
@@ -165,7 +180,7 @@ def test_equal_hot_sequences_have_equal_digests(spark, rows):
         F.timestamp_add("HOUR", F.floor(F.col("id") / 2).cast("int"), F.lit("2024-01-01").cast("timestamp_ntz")).alias("ts"),
         F.col("id").alias("ord"), F.lit("x").alias("crop"), F.lit("y").alias("state"), F.lit("z").alias("season"),
     )
-    found = rows(variants.variant_analysis(log, hot_events=30), "variant")
+    found = rows(variants.variant_analysis(log, hot_events=30), "variant_key")
     assert len(found) == 2 and len(set(found)) == 1
 
 
@@ -188,10 +203,10 @@ def test_properties_of_the_graph(long_log, rows):
 
 def test_variant_examples_and_share(spark, rows):
     table = spark.createDataFrame(
-        [(i, "a -> b", 2, c) for i, c in enumerate(["z", "x", "y", "w", "x"])] + [(9, "a", 1, None)],
-        "case_id int, variant string, n_steps long, crop string",
+        [(i, "k1", "a -> b", 2, c) for i, c in enumerate(["z", "x", "y", "w", "x"])] + [(9, "k2", "a", 1, None)],
+        "case_id int, variant_key string, opening string, n_steps long, crop string",
     )
     found = {r[0]: r for r in rows(variants.variant_counts(table))}
-    assert found["a"][1:4] == (1, "", 1)
-    assert found["a -> b"][1:4] == (5, "w, x, y", 2)
-    assert found["a -> b"][4] == pytest.approx(83.3333, abs=1e-3)
+    assert found["k2"][1:4] == (1, "", 1)
+    assert found["k1"][1:4] == (5, "w, x, y", 2)
+    assert found["k1"][4] == pytest.approx(83.3333, abs=1e-3)

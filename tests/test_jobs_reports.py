@@ -73,7 +73,11 @@ def test_G5_event_log_job(spark, clean, tmp_path):
     jobs.event_log_job(clean, str(tmp_path), "query_type")
     assert set(os.listdir(tmp_path)) == {
         "loop_rate_per_case", "case_durations", "variants", "summary_by_crop", "dfg_edges", "dfg_nodes", "footprint", "top_variants",
+        "variant_parts",
     }
+    top = spark.read.parquet(str(tmp_path / "top_variants"))
+    shares = spark.read.parquet(str(tmp_path / "variants")).groupBy("variant_key").count()
+    assert top.count() == min(5, shares.count()) and top.join(shares, "variant_key").where("n <> count").count() == 0
     durations = spark.read.parquet(str(tmp_path / "case_durations"))
     summary = spark.read.parquet(str(tmp_path / "summary_by_crop"))
     assert durations.where("crop = 'Others'").count() == 0
