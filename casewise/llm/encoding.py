@@ -44,7 +44,7 @@ def _count_words(batches):
     low = np.arange(256, dtype=np.uint8)
     low[65:91] += 32
     for batch in batches:
-        for _, _, data, offsets in pieces(batch.column(0), 1 << 22):
+        for _, _, data, offsets in pieces(batch.column(0)):
             data = low[data]
             inside = np.zeros(len(data) + 2, bool)
             inside[1:-1] = _WORD_BYTE[data]
@@ -156,7 +156,7 @@ def encoded(
     def run(batches):
         encoder = _encoder(tokenizer, lexicon)
         for batch in batches:
-            for low, high, data, offsets in pieces(batch.column(place), 1 << 21):
+            for low, high, data, offsets in pieces(batch.column(place)):
                 whole, at = data.tobytes(), offsets.tolist()
                 texts = [whole[a:b].decode("utf-8", "replace") for a, b in zip(at, at[1:])]
                 ids, counts = encoder.encode(texts)
