@@ -87,6 +87,8 @@ def filter_to_advisory(calls: DataFrame, column: str = "query_type", deny: Seque
 
 
 def readable(column: str = "answer", scripts: Sequence[tuple[int, int]] = (DEVANAGARI, MALAYALAM)) -> Column:
+    if not scripts:
+        return F.lit(True)
     return ~F.coalesce(has_script(F.col(column), scripts), F.lit(False))
 
 
@@ -140,7 +142,13 @@ def merge_rare(
     )
 
 
-def cleaning_audit(calls: DataFrame, ord_col: str = "call_id", **scope_filters) -> DataFrame:
+def cleaning_audit(
+    calls: DataFrame,
+    ord_col: str = "call_id",
+    deny: Sequence[str] = NON_ADVISORY,
+    scripts: Sequence[tuple[int, int]] = (DEVANAGARI, MALAYALAM),
+    **scope_filters,
+) -> DataFrame:
     """Rows in and out of each cleaning step, from one read of the table.
 
     Each row carries the number of the first text rule it fails. Rows that fail none are
@@ -159,8 +167,8 @@ def cleaning_audit(calls: DataFrame, ord_col: str = "call_id", **scope_filters)
     keys = [F.when(failed.isNull(), h).alias(f"key{i}") for i, h in enumerate(whole)]
     flags = F.struct(
         F.col(ord_col).alias("ord"),
-        advisory().alias("advisory"),
-        readable().alias("readable"),
+        advisory(deny=deny).alias("advisory"),
+        readable(scripts=scripts).alias("readable"),
         in_scope(**scope_filters).alias("scoped"),
     )
     groups = rows.groupBy(failed.alias("failed"), *keys).agg(F.count(F.lit(1)).alias("n"), F.min(flags).alias("first"))

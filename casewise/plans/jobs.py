@@ -21,14 +21,16 @@ def clean_calls(
     keep_all_query_types: bool = False,
     ord_col: str = "call_id",
     date_formats: Sequence[str] = (),
+    deny: Sequence[str] = cleaning.NON_ADVISORY,
+    scripts: Sequence[tuple[int, int]] = (cleaning.DEVANAGARI, cleaning.MALAYALAM),
     **scope_filters,
 ) -> DataFrame:
     """The cleaning job: clean, filter, scope, merge near-duplicate query types."""
     out = cleaning.basic_clean(calls, ord_col, date_formats)
     if not keep_all_query_types:
-        out = cleaning.filter_to_advisory(out)
+        out = cleaning.filter_to_advisory(out, deny=deny)
     if not keep_scripts:
-        out = cleaning.filter_scripts(out)
+        out = cleaning.filter_scripts(out, scripts=scripts)
     # labels are counted and then replaced: without this the rows would be de-duplicated twice
     out = durable(cleaning.scope(out, **scope_filters))
     return labels.merge_near_duplicate_labels(out, "query_type")
@@ -146,7 +148,8 @@ def comparison_job(
 ) -> DataFrame:
     """L8 end to end: align, require labels, classify, compare, write.
 
-    ``crosswalk`` (category, query_type) translates the extraction's coarse labels.
+    ``crosswalk`` (category, query_type) translates the extraction's coarse labels. The sizes
+    of both sides and the gold rows without an extraction are columns of the result.
     """
     if crosswalk is not None:
         names = crosswalk.withColumnRenamed("query_type", "_to")
@@ -162,7 +165,7 @@ def comparison_job(
         compare_methods(
             labelled, "gold_query_type", "ext_category", "gold_resolution_signal", "ext_resolution_signal",
             "pred_query_type",
-        )
+        ).crossJoin(F.broadcast(metrics.align_audit(gold, extracted, id_col)))  # one row each
     )
     write_metrics(out, out_dir)
     return out

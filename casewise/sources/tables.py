@@ -75,11 +75,11 @@ def with_row_order(df: DataFrame, name: str = "row_order") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = None) -> DataFrame:
-    """S2."""
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = None, multi_line: bool = True) -> DataFrame:
+    """Without ``multi_line``, CSV files of texts without line breaks are split over tasks."""
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.options(header=True, multiLine=True, quote='"', escape='"')
+        reader = reader.options(header=True, multiLine=multi_line, quote='"', escape='"')
     return (reader.schema(schema) if schema else reader).load(path)
 
 

@@ -94,3 +94,10 @@ def test_A15_audit_equals_the_steps(calls):
     assert audit["advisory label"] == (9, 7)
     assert audit["script"] == (7, 5)
     assert audit["scope"] == (5, 3)
+
+
+def test_A15_own_rules(calls):
+    def out(**rules):
+        return {r["rule"]: r["n_out"] for r in cleaning.cleaning_audit(calls, **rules).collect()}
+
+    assert out(deny=[], scripts=[])["script"] == out()["duplicate"]
