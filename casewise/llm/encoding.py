@@ -32,6 +32,8 @@ from casewise.llm.wordtable import WordTable
 
 #: Words of the lexicon; longer words are left to merging.
 LEXICON_WORDS, LONGEST_WORD = 65_536, 48
+#: Bytes of text encoded at once; one longer text is encoded alone.
+RUN_BYTES = 1 << 19
 
 _WORD_BYTE = np.array([b >= 0x80 or chr(b).isalpha() for b in range(256)])
 
@@ -156,7 +158,7 @@ def encoded(
     def run(batches):
         encoder = _encoder(tokenizer, lexicon)
         for batch in batches:
-            for low, high, data, offsets in pieces(batch.column(place)):
+            for low, high, data, offsets in pieces(batch.column(place), RUN_BYTES):
                 whole, at = data.tobytes(), offsets.tolist()
                 texts = [whole[a:b].decode("utf-8", "replace") for a, b in zip(at, at[1:])]
                 ids, counts = encoder.encode(texts)

@@ -10,7 +10,7 @@ from casewise.llm.bpe import gather
 from casewise.llm.pretokens import Words
 
 #: The table is emptied when it holds so many words or values; it is a store of results, so nothing else changes.
-MOST_WORDS, MOST_VALUES = 600_000, 12_000_000
+MOST_WORDS, MOST_VALUES = 250_000, 5_000_000
 
 
 class WordTable:
