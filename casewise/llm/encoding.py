@@ -26,7 +26,7 @@ from pyspark.sql.types import StructType
 
 from casewise.llm import pretokens
 from casewise.llm.bpe import Merges, gather
-from casewise.llm.common import added, pieces, span_hashes
+from casewise.llm.common import Tables, added, pieces, span_hashes
 from casewise.llm.lexicon import Lexicon, compile_lexicon
 from casewise.llm.wordtable import WordTable
 
@@ -64,9 +64,20 @@ def _count_words(batches):
 
 def frequent_words(docs: DataFrame, text_col: str = "text", most: int = LEXICON_WORDS) -> list[bytes]:
     """The ``most`` most frequent words of all texts, ties in byte order."""
-    counted = docs.select(text_col).mapInArrow(_count_words, "word binary, n bigint")
-    top = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most)
-    return [bytes(row.word) for row in top.select("word").collect()]
+    tables = Tables(docs.sparkSession)
+    partial = docs.select(text_col).mapInArrow(_count_words, "word binary, n bigint")
+    counted = tables.store(partial.groupBy("word").agg(F.sum("n").alias("n")), "words")
+    # levels of counts, at most 504: words below the level in which the list ends stay where they are
+    level = F.floor(F.log2("n") * 8)
+    left, least = most, 0
+    for row in counted.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("level")).collect():
+        left, least = left - row.words, row.level
+        if left <= 0:
+            break
+    top = counted.where(level >= least).orderBy(F.desc("n"), "word").limit(most)
+    found = [bytes(row.word) for row in top.select("word").collect()]
+    tables.drop()
+    return found
 
 
 def ship_lexicon(docs: DataFrame, tokenizer: str, text_col: str = "text", most: int = LEXICON_WORDS) -> str:
