@@ -3,8 +3,10 @@
 The counts of words and of pairs of words are quantised to levels that grow by ``GROWTH``, and a word or pair of level q is
 put into a Bloom filter q times, with the levels 1 to q. A count is read back by asking for level 1, 2, ... until one is
 missing. The filter is built in segments, one for each part of the hash range, by the tasks that add the counts of that
-part up, so no count passes through the driver. Its size follows the corpus up to ``MOST_BITS`` bits, the bound for what is
-broadcast; a larger corpus raises the rate of false hits, nothing else.
+part up, so no count passes through the driver. Every segment has ``ENTRY_BITS`` bits for each of its entries, so the rate of
+false hits is the same for every size of corpus, and there are more segments for more text. A filter of up to ``MOST_BITS``
+bits is broadcast. A larger one stays in the shared folder: texts are worked on in runs, the distinct questions of each run
+are sent to the segments that answer them, and the answers go back to their run. Both ways give the same scores.
 
 A text is scored as the sum of log10 of p(w | v) = (c(v w) + MU p(w)) / (c(v) + MU) with p(w) = (c(w) + 1) / (N + V + 1), all
 counts from the filter, c(v w) at most c(v) and c(w). The end of a text is a token, and the start counts as one.
@@ -28,7 +30,10 @@ from casewise.llm.common import Tables, blob, chained, lower, mixed, partitions,
 GROWTH, PROBES = 1.5, 3
 #: Bits of the filter for each entry: with 3 probes, about 1.5 of 100 questions about absent entries hit falsely.
 ENTRY_BITS = 10
+#: Bits of the largest filter that is broadcast.
 MOST_BITS = 1 << 32
+#: Bytes of text for each segment at most, on average: a segment stays far below the 2^32 bits that a probe can tell apart.
+SEGMENT_BYTES = 1 << 25
 MU = 300.0
 MOST_WORDS = 20_000_000
 #: Entries that a task gathers before it adds up equal ones and sends them.
@@ -118,7 +123,7 @@ def probes(hashes: np.ndarray, kind: str, at_level, bits: np.ndarray) -> np.ndar
         return np.stack([((low + np.uint64(i) * step) & np.uint64(0xFFFFFFFF)) * bits >> np.uint64(32) for i in range(PROBES)], 1)
 
 
-def _building(most_bits: int, parts: int):
+def _building():
     columns = ["part", "n_bits", "bits", "keys", "counts"]
 
     def run(frames):
@@ -134,7 +139,7 @@ def _building(most_bits: int, parts: int):
         found = {kind: rising(np.concatenate(k), np.concatenate(c)) for kind, (k, c) in held.items() if k}
         levels = {kind: level(counts) for kind, (_, counts) in found.items()}
         entries = sum(int(x.sum()) for x in levels.values())
-        n_bits = max(64, min(entries * ENTRY_BITS, most_bits // parts)) + 63 & ~63
+        n_bits = max(64, entries * ENTRY_BITS) + 63 & ~63
         bits = np.zeros(n_bits, bool)
         for kind, (keys, _) in found.items():
             for q in range(1, int(levels[kind].max()) + 1):
@@ -150,21 +155,28 @@ def _building(most_bits: int, parts: int):
 
 
 class Model:
-    """The filter, and the exact counts of words as a table (part, keys, counts) in the shared folder."""
+    """The filter's segments, and the exact counts of words as a table (part, keys, counts) in the shared folder.
 
-    def __init__(self, segments: DataFrame, tables: Tables, parts: int):
+    ``bits`` is the whole filter, or None where it is too large to be broadcast.
+    """
+
+    def __init__(self, segments: DataFrame, tables: Tables, parts: int, most_bits: int):
         self.tables, self.parts = tables, parts
         self.words = segments.select("keys", "counts")
+        self.segments = segments.select("part", "n_bits", "bits")
         sizes = segments.select(
             F.coalesce(F.sum(F.length("keys") / 8), F.lit(0)).cast("long").alias("distinct"),
+            F.coalesce(F.sum("n_bits"), F.lit(0)).alias("n_bits"),
         ).first()
         self.distinct = sizes.distinct
         sums = self.words.mapInArrow(_sums, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
         self.total = sums.n
-        rows = segments.select("part", "n_bits", "bits").collect()  # ``MOST_BITS`` at most
+        self.bits = self.at = self.n_bits = None
+        if sizes.n_bits > most_bits:
+            return
         self.n_bits, self.at = np.full(parts, 64, np.uint64), np.zeros(parts, np.int64)
         chunks, place = [bytes(8)], 64  # parts without entries share an empty segment
-        for row in rows:
+        for row in self.segments.collect():  # ``most_bits`` at most
             self.n_bits[row.part], self.at[row.part] = row.n_bits, place
             chunks.append(bytes(row.bits))
             place += row.n_bits
@@ -181,21 +193,22 @@ def _sums(batches):
 
 
 def train(docs: DataFrame, text_col: str = "text", most_bits: int = MOST_BITS) -> Model:
-    """Count the words and pairs of all texts of ``docs`` and build the filter."""
-    parts = partitions(docs.sparkSession)
+    """Count the words and pairs of all texts of ``docs`` and build the filter, to be broadcast up to ``most_bits`` bits."""
+    size = docs.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0)).alias("n")).first()["n"]
+    parts = max(partitions(docs.sparkSession), -(-size // SEGMENT_BYTES))
     tables = Tables(docs.sparkSession)
     counted = docs.select(text_col).mapInArrow(_counting(parts), "part int, kind string, keys binary, counts binary")
     built = counted.repartitionById(parts, F.col("part")).mapInArrow(
-        _building(most_bits, parts), "part int, n_bits bigint, bits binary, keys binary, counts binary"
+        _building(), "part int, n_bits bigint, bits binary, keys binary, counts binary"
     )
-    return Model(tables.store(built, "segments"), tables, parts)
+    return Model(tables.store(built, "segments"), tables, parts, most_bits)
 
 
 # -- scoring --------------------------------------------------------------------------------------
 
 
-def read_counts(hashes: np.ndarray, kind: str, bits, at, n_bits, parts) -> np.ndarray:
-    """Quantised count of each hash, by probes of rising levels until one misses."""
+def read_levels(hashes: np.ndarray, kind: str, bits, at, n_bits, parts) -> np.ndarray:
+    """Level of each hash, by probes of rising levels until one misses."""
     part = _part(hashes, parts)
     found = np.zeros(len(hashes), np.int64)
     left = np.arange(len(hashes))
@@ -207,7 +220,12 @@ def read_counts(hashes: np.ndarray, kind: str, bits, at, n_bits, parts) -> np.nd
         hit = (bits[places >> 3] >> (places & 7).astype(np.uint8) & 1).all(1)
         left = left[hit]
         found[left] = q
-    return LEVEL_COUNTS[found]
+    return found
+
+
+def read_counts(hashes: np.ndarray, kind: str, bits, at, n_bits, parts) -> np.ndarray:
+    """Quantised count of each hash."""
+    return LEVEL_COUNTS[read_levels(hashes, kind, bits, at, n_bits, parts)]
 
 
 def _distinct(hashes: np.ndarray, find) -> np.ndarray:
@@ -239,37 +257,43 @@ def scored(
         keys = np.concatenate([counts[0], *(np.frombuffer(r.keys, np.uint64) for r in rows)])
         order = np.argsort(keys)
         counts = keys[order], np.concatenate([counts[1], *(np.frombuffer(r.counts, np.int64) for r in rows)])[order]
-    shared = spark.sparkContext.broadcast((model.bits, model.at, model.n_bits, *counts))
+    bits, at, n_bits = model.bits, model.at, model.n_bits
+    shared = spark.sparkContext.broadcast((bits, at, n_bits, *counts))
+    whole = bits is not None
     source = docs.select(F.col(id_col).alias("doc_id"), held_out.alias("held_out"), F.col(text_col).alias("text"))
     schema = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
     names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
     if not exact:
         schema += ", words array<struct<word:bigint,n:bigint>>"
 
+    def result(ids, out, hashes, n, read):
+        *_, keys, values = shared.value
+        first = np.cumsum(n) - n
+        score = model_scores(hashes, n, read, total, distinct)
+        columns = [ids, out, pa.array(n, pa.int64())]
+        if exact:
+            def find(x):
+                place = np.minimum(np.searchsorted(keys, x), max(0, len(keys) - 1))
+                return np.where(keys[place] == x, values[place], 0) if len(keys) else np.zeros(len(x), np.int64)
+
+            c = _distinct(hashes, find)
+            base = np.add.reduceat(np.log10(c + 1), first) - n * np.log10(total + distinct + 1)
+            columns += [pa.array(np.add.reduceat((c > 0).astype(np.int64), first)), pa.array(base), pa.array(score)]
+            return pa.RecordBatch.from_arrays(columns, names)
+        none = pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.float64())
+        return pa.RecordBatch.from_arrays([*columns, *none, pa.array(score), _tallies(hashes, n)], [*names, "words"])
+
     def run(batches):
-        bits, at, n_bits, keys, values = shared.value
-        log_base = np.log10(total + distinct + 1)
+        bits, at, n_bits, *_ = shared.value
         for batch in batches:
             for low, high, data, offsets in pieces(batch.column(2)):
                 hashes, n = tokens(lower(data), offsets)
-                first = np.cumsum(n) - n
-                score = model_scores(hashes, n, lambda x, kind: read_counts(x, kind, bits, at, n_bits, parts), total, distinct)
                 rows = batch.slice(low, high - low)
-                columns = [rows.column(0), rows.column(1), pa.array(n, pa.int64())]
-                if exact:
-                    def find(x):
-                        place = np.minimum(np.searchsorted(keys, x), max(0, len(keys) - 1))
-                        return np.where(keys[place] == x, values[place], 0) if len(keys) else np.zeros(len(x), np.int64)
-
-                    c = _distinct(hashes, find)
-                    base = np.add.reduceat(np.log10(c + 1), first) - n * log_base
-                    columns += [pa.array(np.add.reduceat((c > 0).astype(np.int64), first)), pa.array(base), pa.array(score)]
-                    yield pa.RecordBatch.from_arrays(columns, names)
-                else:
-                    none = pa.nulls(high - low, pa.int64()), pa.nulls(high - low, pa.float64())
-                    yield pa.RecordBatch.from_arrays([*columns, *none, pa.array(score), _tallies(hashes, n)], [*names, "words"])
+                yield result(
+                    rows.column(0), rows.column(1), hashes, n, lambda x, kind: read_counts(x, kind, bits, at, n_bits, parts)
+                )
 
-    out = source.mapInArrow(run, schema)
+    out = source.mapInArrow(run, schema) if whole else _answered(source, model, result, schema)
     if not exact:
         out = _joined(out, model.words, total, distinct)
     return out.select(
@@ -277,6 +301,125 @@ def scored(
     )
 
 
+# -- scoring with a filter that is not broadcast ------------------------------------------------
+
+
+def _runs(batches):
+    """Texts in runs, one row for each: what is asked later is asked about these rows, so they are stored first."""
+    from pyspark import TaskContext
+
+    number = TaskContext.get().partitionId() << 32
+    for batch in batches:
+        for low, high, data, offsets in pieces(batch.column(2)):
+            hashes, n = tokens(lower(data), offsets)
+            rows = batch.slice(low, high - low)
+            yield pa.RecordBatch.from_arrays([
+                pa.array([number], pa.int64()),
+                *(pa.ListArray.from_arrays(pa.array([0, high - low], pa.int32()), rows.column(c)) for c in range(2)),
+                pa.array([blob(n.astype(np.int64))], pa.binary()), pa.array([blob(hashes)], pa.binary()),
+            ], ["run", "ids", "out", "n", "hashes"])
+            number += 1
+
+
+def _asking(parts: int):
+    """The distinct words and pairs of each run, for each part of the hash range."""
+
+    def run(batches):
+        for batch in batches:
+            for number, raw_n, raw in zip(*(batch.column(c).to_pylist() for c in range(3))):
+                n, hashes = np.frombuffer(raw_n, np.int64), np.frombuffer(raw, np.uint64)
+                for kind, asked in (("word", np.append(hashes, _END)), ("pair", pairs(hashes, n)[1])):
+                    distinct = np.unique(asked)
+                    cut = np.searchsorted(_part(distinct, parts), np.arange(parts + 1))
+                    rows = np.flatnonzero(cut[:-1] < cut[1:]).tolist()
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(rows, pa.int32()), pa.array([number] * len(rows), pa.int64()), pa.array([kind] * len(rows), pa.string()),
+                        pa.array([blob(distinct[cut[i] : cut[i + 1]]) for i in rows], pa.binary()),
+                        pa.nulls(len(rows), pa.int64()),
+                    ], ["part", "run", "kind", "bytes", "n_bits"])
+
+    return run
+
+
+def _answering(batches):
+    """A segment, then the questions that belong to it; without a segment all levels are 0."""
+    held, bits, n_bits = -1, np.zeros(8, np.uint8), 64
+    for batch in batches:
+        answers = []
+        for part, run, kind, raw, size in zip(*(batch.column(c).to_pylist() for c in range(5))):
+            if part != held:
+                held, bits, n_bits = part, np.zeros(8, np.uint8), 64
+            if run is None:
+                bits, n_bits = np.frombuffer(raw, np.uint8), size
+                continue
+            levels = read_levels(
+                np.frombuffer(raw, np.uint64), kind, bits, np.zeros(1, np.int64), np.full(1, n_bits, np.uint64), 1
+            )
+            answers.append((run, kind, raw, blob(levels.astype(np.uint8))))
+        if answers:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x, kind) for x, kind in zip(zip(*answers), (pa.int64(), pa.string(), pa.binary(), pa.binary()))],
+                ["run", "kind", "keys", "levels"],
+            )
+
+
+def _answered(source: DataFrame, model: Model, result, schema: str) -> DataFrame:
+    """``result`` for the rows of ``source``, with counts from the segments in the shared folder."""
+    tables, parts = Tables(source.sparkSession), model.parts
+    runs = tables.store(
+        source.mapInArrow(_runs, "run bigint, ids array<bigint>, out array<boolean>, n binary, hashes binary"), "runs"
+    )
+    asked = runs.select("run", "n", "hashes").mapInArrow(
+        _asking(parts), "part int, run bigint, kind string, bytes binary, n_bits bigint"
+    )
+    segments = model.segments.select(
+        "part", F.lit(None).cast("bigint").alias("run"), F.lit(None).cast("string").alias("kind"), F.col("bits").alias("bytes"), "n_bits"
+    )
+    answers = (
+        segments.unionByName(asked).repartitionById(parts, F.col("part"))
+        .sortWithinPartitions("part", F.col("run").asc_nulls_first())
+        .mapInArrow(_answering, "run bigint, kind string, keys binary, levels binary")
+    )
+    whole = runs.withColumns({name: F.lit(None).cast(kind) for name, kind in (("kind", "string"), ("keys", "binary"), ("levels", "binary"))})
+    both = whole.unionByName(answers, allowMissingColumns=True).repartition(parts, "run")
+
+    def finished(row, found):
+        known = {}
+        for kind in ("word", "pair"):
+            keys = np.concatenate([np.frombuffer(k, np.uint64) for k, _ in found[kind]])
+            levels = np.concatenate([np.frombuffer(x, np.uint8) for _, x in found[kind]])
+            order = np.argsort(keys)
+            known[kind] = keys[order], levels[order]
+
+        def read(x, kind):
+            keys, levels = known[kind]
+            return LEVEL_COUNTS[levels[np.searchsorted(keys, x)]]
+
+        ids, out, n, hashes = row
+        return result(
+            pa.array(ids, pa.int64()), pa.array(out, pa.bool_()), np.frombuffer(hashes, np.uint64), np.frombuffer(n, np.int64), read
+        )
+
+    def gathered(batches):
+        number, row, found = None, None, None
+        for batch in batches:
+            for run, ids, out, n, hashes, kind, keys, levels in zip(*(batch.column(c).to_pylist() for c in range(8))):
+                if run != number:
+                    if row is not None:
+                        yield finished(row, found)
+                    number, row, found = run, None, {"word": [], "pair": []}
+                if kind is None:
+                    row = ids, out, n, hashes
+                else:
+                    found[kind].append((keys, levels))
+        if row is not None:
+            yield finished(row, found)
+
+    return both.select("run", "ids", "out", "n", "hashes", "kind", "keys", "levels").sortWithinPartitions(
+        "run", F.col("kind").asc_nulls_first()
+    ).mapInArrow(gathered, schema)
+
+
 def _tallies(hashes: np.ndarray, n: np.ndarray) -> pa.Array:
     """How often each word stands in each text."""
     row = np.repeat(np.arange(len(n)), n)

@@ -171,6 +171,17 @@ def test_language_model_without_training(docs, nothing):
     assert lm.scored(nothing, model, F.lit(True)).count() == 0
 
 
+@pytest.mark.parametrize("most_words", [10**6, 0])
+def test_filter_keeps_its_rate_beyond_the_broadcast_bound(docs, most_words):
+    out = langid.held_out(F.col("doc_id"), 7, 2)
+    training = docs.where(~out)
+
+    def scores(model):
+        return sorted((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.base_score, r.score) for r in lm.scored(docs, model, out, most_words=most_words).collect())
+
+    assert scores(lm.train(training, most_bits=64)) == scores(lm.train(training))
+
+
 def test_filter_counts_are_close():
     counts = np.array([1, 2, 3, 5, 10, 100, 5000, 10**6])
     read = lm.LEVEL_COUNTS[lm.level(counts)]
