@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casewise.llm import chat, cws, encoding, jaccard, langid, lm, mixing, prefix_counts, recipes, shards
+from casewise.llm.common import Tables
 
 #: Folder of the tokenizer files on all machines; unset, that of the installed package.
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "")
@@ -26,11 +27,18 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op1_training_order(spark: SparkSession, sf: str) -> DataFrame:
-    """UTF-8 bytes as ids: doc_id, part, slot, shard, row, n_ids, ids_sha256 (of the ids read from the record)."""
-    docs = _documents(spark, sf).select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("ids"))
-    found = shards.materialised(docs)
-    return found.select(
-        "doc_id", "part", "slot", "shard", "row", "n_ids", F.sha2(F.substring(F.col("record"), F.lit(5), F.col("n_ids")), 256).alias("ids_sha256")
+    """Token ids in shards: doc_id, part, slot, shard, row, n_ids, ids_sha256, all of them read back from the shard files."""
+    encoded, walk, written = Tables(spark), Tables(spark), Tables(spark)
+    docs = _documents(spark, sf).select("doc_id", "text")
+    ids = encoding.encoded(docs, tokenizer("word_bpe_49k.json"), decoded=False).select("doc_id", "ids")
+    records = shards.materialised(encoded.store(ids, "ids"), width=4, tables=walk)
+    encoded.drop()
+    folder = f"{written.folder}/shards"
+    shards.write_shards(records, folder)
+    walk.drop()
+    return shards.read_shards(spark, folder, width=4).select(
+        "doc_id", "part", "slot", "shard", "row", "n_ids",
+        F.sha2(F.substring(F.col("record"), F.lit(5), 4 * F.col("n_ids")), 256).alias("ids_sha256"),
     )
 
 

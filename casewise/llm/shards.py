@@ -5,9 +5,12 @@ of a hash of the id), and a keyed Feistel network over the smallest even number
 numbers; numbers that leave the range walk the cycle until they are inside. So every sequence has its slot in the training
 order, a function of key, number and count alone, without a sort of random numbers.
 
-Slots are dense, so ranges of slots are known beforehand: each task gets one range, writes its records in order, and a
-reader that stopped at slot s goes on at record s - first_slot of the shard that holds s. A record is ``stride`` bytes: the
-number of ids (4 bytes), then ``length`` ids of ``width`` bytes each, all little-endian, padded with zeros.
+Slots are dense, so ranges of slots are known beforehand: each task gets one range and ``write_shards`` writes its records in
+order, one file for each shard. A reader that stopped at slot s goes on at record s - first_slot of the shard that holds s:
+``read_shards`` gives what follows as a table, ``records_from`` one shard after the other. A record is the number of ids (4
+bytes), then ``length`` ids of ``width`` bytes each, all little-endian, padded with zeros. In a file, each record follows 13
+bytes that say where it comes from (1 or, for a null id of the document, 0; the id, 8 bytes; the part, 4 bytes) and ends with a
+line feed, so that Spark's text writer can lay records end to end at a fixed stride.
 
 Null texts are empty, and a document without ids has no sequence. Null ids of documents and repeated rows are sequences of
 their own; among rows equal in id and ids the numbers are interchangeable. An empty table gives no rows.
@@ -15,7 +18,9 @@ their own; among rows equal in id and ids the numbers are interchangeable. An em
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from casewise.llm.common import Tables, partitions
@@ -105,20 +110,26 @@ def sequences(docs: DataFrame, id_col: str, bytes_col: str, length: int, width:
     ).select("doc_id", "part", F.substring(F.col("whole"), F.col("part") * step + 1, F.lit(step)).alias("ids"))
 
 
-def little_endian(number: Column) -> Column:
-    """An int of 4 bytes as binary."""
-    return F.unhex(F.concat(*(F.lpad(F.hex(F.shiftrightunsigned(number, 8 * i).bitwiseAND(F.lit(255)).cast("long")), 2, "0") for i in range(4))))
+def little_endian(number: Column, size: int = 4) -> Column:
+    """An int of ``size`` bytes as binary."""
+    return F.unhex(F.concat(*(F.lpad(F.hex(F.shiftrightunsigned(number, 8 * i).bitwiseAND(F.lit(255)).cast("long")), 2, "0") for i in range(size))))
+
+
+def read_number(raw: Column, first: int, size: int) -> Column:
+    """The signed number of ``size`` bytes, little-endian, from byte ``first`` (1 is the first one) on."""
+    digits = F.hex(F.substring(raw, first, size))
+    return F.conv(F.concat(*(F.substring(digits, 2 * i + 1, 2) for i in reversed(range(size)))), 16, -10).cast("long")
 
 
 def materialised(
     docs: DataFrame, id_col: str = "doc_id", bytes_col: str = "ids", length: int = 1024, width: int = 1, key: int = 2024,
-    shard: int = SHARD,
+    shard: int = SHARD, tables: Tables | None = None,
 ) -> DataFrame:
     """slot, shard, row (in its shard), doc_id, part, n_ids, record: in slot order, one range of whole shards in each partition.
 
-    ``bytes_col`` holds the ids, ``width`` bytes each, little-endian.
+    ``bytes_col`` holds the ids, ``width`` bytes each, little-endian. The result is read from ``tables`` and no more from ``docs``.
     """
-    tables = Tables(docs.sparkSession)
+    tables = tables or Tables(docs.sparkSession)
     step = length * width
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(bytes_col).alias("whole"),
@@ -151,3 +162,57 @@ def shard_files(records: DataFrame) -> DataFrame:
     ).select("shard", "first_slot", "n_records", F.aggregate(
         "rows", F.lit(b""), lambda so_far, row: F.concat(so_far, row.record)
     ).alias("payload"))
+
+
+#: Bytes before and after each record in a file.
+HEAD, TAIL = 13, 1
+
+
+def write_shards(records: DataFrame, folder: str) -> None:
+    """Write what ``materialised`` gives: one file of records in slot order for each shard, in ``folder``/shard=<number>."""
+    known = F.when(F.col("doc_id").isNull(), F.lit(b"\0")).otherwise(F.lit(b"\1"))
+    line = F.concat(known, little_endian(F.coalesce("doc_id", F.lit(0)), 8), little_endian(F.col("part")), F.col("record"))
+    (
+        records.select("shard", "slot", line.cast("string").alias("line")).sortWithinPartitions("shard", "slot")
+        .select("shard", "line").write.partitionBy("shard").option("lineSep", "\n").text(folder)
+    )
+
+
+def read_shards(
+    spark: SparkSession, folder: str, length: int = 1024, width: int = 1, shard: int = SHARD, first_slot: int = 0
+) -> DataFrame:
+    """slot, shard, row, doc_id, part, n_ids, record of all slots from ``first_slot`` on; files of earlier shards are not read."""
+    files = spark.read.format("binaryFile").load(folder)
+    if "shard" not in files.columns:  # no sequences
+        files = files.withColumn("shard", F.lit(0))
+    stride = HEAD + 4 + length * width + TAIL
+    cut = F.transform(
+        F.sequence(F.lit(0), (F.length("content") / stride).cast("int") - 1),
+        lambda i: F.struct(i.alias("row"), F.substring(F.col("content"), i * stride + 1, F.lit(stride - TAIL)).alias("raw")),
+    )
+    number = F.col("shard").cast("long")
+    raw = F.col("r.raw")
+    return (
+        files.where((F.col("shard") >= first_slot // shard) & (F.length("content") > 0))
+        .select(number.alias("shard"), F.explode(cut).alias("r"))
+        .withColumn("slot", F.col("shard") * shard + F.col("r.row")).where(F.col("slot") >= first_slot)
+        .select(
+            "slot", "shard", F.col("r.row").alias("row"),
+            F.when(F.substring(raw, 1, 1) == F.lit(b"\1"), read_number(raw, 2, 8)).alias("doc_id"),
+            read_number(raw, 10, 4).cast("int").alias("part"), read_number(raw, HEAD + 1, 4).cast("int").alias("n_ids"),
+            F.substring(raw, HEAD + 1, stride).alias("record"),
+        )
+    )
+
+
+def records_from(
+    spark: SparkSession, folder: str, shard_number: int, first_slot: int, length: int = 1024, width: int = 1, shard: int = SHARD
+) -> Iterator[Row]:
+    """The rows of ``read_shards`` in slot order from ``first_slot``, in shard ``shard_number``, on; one shard at a time is read."""
+    while True:
+        rows = read_shards(spark, folder, length, width, shard, max(first_slot, shard_number * shard))
+        held = rows.where(F.col("shard") == shard_number).orderBy("slot").collect()
+        yield from held
+        if not held or held[-1].slot != (shard_number + 1) * shard - 1:
+            return
+        shard_number += 1

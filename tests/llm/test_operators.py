@@ -74,6 +74,41 @@ def test_training_order(docs, nothing):
     assert all(len(f.payload) == f.n_records * 68 and f.first_slot == f.shard * 16 for f in files)
 
 
+def test_shards_are_written_and_read_from_a_slot_on(spark, docs, tmp_path):
+    ids = docs.select(F.when(F.col("doc_id") != 3, -F.col("doc_id")).alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("ids"))
+    wanted = sorted(tuple(r) for r in shards.materialised(ids, length=64, shard=16).collect())
+    folder = f"file://{tmp_path}/shards"
+    shards.write_shards(shards.materialised(ids, length=64, shard=16), folder)
+    files = sorted((tmp_path / "shards").glob("shard=*/part-*"))
+    stride = shards.HEAD + 68 + shards.TAIL
+    assert len(files) == len(list((tmp_path / "shards").glob("shard=*"))) == -(-len(wanted) // 16)
+    assert sorted(f.stat().st_size for f in files)[1:] == [16 * stride] * (len(files) - 1)
+    name = files[0].parent.name.split("=")[1]
+    assert [files[0].read_bytes()[i * stride + shards.HEAD : (i + 1) * stride - 1] for i in range(16)] == [
+        bytes(r[-1]) for r in wanted if r[1] == int(name)
+    ][:16]
+    read = lambda first: sorted(tuple(r) for r in shards.read_shards(spark, folder, 64, 1, 16, first).collect())
+    assert read(0) == wanted and read(37) == wanted[37:]
+    last = len(wanted) - 20
+    assert [tuple(r) for r in shards.records_from(spark, folder, last // 16, last, 64, 1, 16)] == wanted[last:]
+    shards.write_shards(shards.materialised(ids.limit(0), length=64, shard=16), f"{folder}-0")
+    assert shards.read_shards(spark, f"{folder}-0", 64, 1, 16).count() == 0
+
+
+def test_training_order_has_all_token_ids(spark):
+    sf = "/root/testdata/sf0.001"
+    tool = tokenizers.Tokenizer.from_file(queries.tokenizer("word_bpe_49k.json"))
+    wanted = collections.Counter()
+    for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
+        ids = tool.encode(r.text or "", add_special_tokens=False).ids
+        for part in range(-(-len(ids) // 1024)):
+            own = ids[part * 1024 : (part + 1) * 1024]
+            wanted[r.doc_id, part, len(own), hashlib.sha256(struct.pack(f"<{len(own)}I", *own)).hexdigest()] += 1
+    rows = queries.op1_training_order(spark, sf).collect()
+    assert collections.Counter((r.doc_id, r.part, r.n_ids, r.ids_sha256) for r in rows) == wanted
+    assert sorted(r.slot for r in rows) == list(range(len(rows)))
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 17, 1000])
 def test_feistel_walk_is_a_permutation(spark, n):
     from casewise.llm.common import Tables
