@@ -11,8 +11,9 @@ landmarks of products with presence, the landmarks' weights are multiplied out o
 matrix product of presence and n-gram weights.
 
 Null texts and texts without a letter are ``und`` with score 0. Null labels are not learned from. With no labelled text
-all texts are ``und``; with one language all others get it. Ties go to the language first in code point order. An empty
-table gives no rows. Other columns are kept; new columns that would clash get underscores in front.
+all texts are ``und``, those with a letter with a null score; with one language all others get it. Ties go to the language
+first in code point order. An empty table gives no rows. Other columns are kept; new columns that would clash get underscores
+in front.
 """
 
 from __future__ import annotations
@@ -132,7 +133,7 @@ def fit(
 
 
 def predicted(docs: DataFrame, labels: Sequence[str], weights: np.ndarray, text_col: str = "text") -> DataFrame:
-    """Every row of ``docs`` with lang_pred and score (0 to 1)."""
+    """Every row of ``docs`` with lang_pred and score (0 to 1; null where a text has letters, but no label was learned)."""
     name, score_name = added(docs, "lang_pred", "score")
     place = docs.columns.index(text_col)
     shared = docs.sparkSession.sparkContext.broadcast((np.array(["und", *labels], object), np.asarray(weights)))
@@ -151,7 +152,7 @@ def predicted(docs: DataFrame, labels: Sequence[str], weights: np.ndarray, text_
                     score[low:high] = 1 / power.sum(1)
             best[~letters], score[~letters] = 0, 0
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(labels[best], pa.string()), pa.array(score)],
+                [*batch.columns, pa.array(labels[best], pa.string()), pa.array(score, mask=letters & (len(labels) == 1))],
                 schema=pa.schema([*batch.schema, pa.field(name, pa.string()), pa.field(score_name, pa.float64())]),
             )
 

@@ -11,10 +11,10 @@ from casewise.llm.queries import tokenizer
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no language can be told (no letter) go. Learned from the labels of ``docs``."""
+    """Null texts and texts without a letter go. Languages are learned from the labels of ``docs``; without labels, all others stay."""
     labels, weights = langid.fit(docs)
     marked = langid.predicted(docs.withColumn("pipeline_text", F.col("text")), labels, weights, "pipeline_text")
-    return marked.where(F.col(marked.columns[-2]) != "und").select(*docs.columns)
+    return marked.where(F.coalesce(F.col(marked.columns[-1]), F.lit(1.0)) > 0).select(*docs.columns)  # 0 without a letter only
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

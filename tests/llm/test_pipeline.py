@@ -40,3 +40,11 @@ def test_stages(spark):
     assert mixed.columns == docs.columns and set(mixed.select("doc_id").distinct().collect()) <= set(near.select("doc_id").collect())
     tokens = corpus_pipeline.tokens(spark, mixed, SF)
     assert tokens.count() == mixed.count() and tokens.where("n_tokens = 0").count() == 0
+
+
+def test_unlabelled_documents_stay(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("lang", F.lit(None).cast("string"))
+    odd = spark.createDataFrame([(-1, None), (-2, "!! 12"), (-3, "")], "doc_id long, text string")
+    docs = docs.unionByName(odd, allowMissingColumns=True).cache()
+    kept = corpus_pipeline.language(spark, docs, SF)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in docs.collect() if r.doc_id not in (-1, -2, -3))
