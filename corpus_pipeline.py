@@ -33,8 +33,8 @@ def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document: little-endian unsigned 32-bit numbers."""
-    return encoding.encoded(docs, tokenizer("word_bpe_49k.json"), decoded=False).drop("text")
+    """Token ids of each document, little-endian unsigned 32-bit numbers, and the text decoded from them in place of the source."""
+    return encoding.encoded(docs, tokenizer("word_bpe_49k.json")).drop("text")
 
 
 STAGES = [

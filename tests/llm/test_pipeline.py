@@ -1,6 +1,10 @@
 """The pipeline's stages against plain versions, and the queries' SQL."""
 
+import collections
+import math
 import os
+import re
+import struct
 
 import corpus_pipeline
 import pytest
@@ -48,3 +52,56 @@ def test_unlabelled_documents_stay(spark):
     docs = docs.unionByName(odd, allowMissingColumns=True).cache()
     kept = corpus_pipeline.language(spark, docs, SF)
     assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in docs.collect() if r.doc_id not in (-1, -2, -3))
+
+
+def shingles(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+
+def test_near_copies_mixing_and_tokens_equal_plain_versions(spark):
+    tokenizers = pytest.importorskip("tokenizers")
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    exact = corpus_pipeline.exact_copies(spark, corpus_pipeline.language(spark, docs, SF), SF).cache()
+    sets = {r.doc_id: shingles(r.text) for r in exact.collect()}
+    head, ids = {i: i for i in sets}, sorted(sets)
+    for k, i in enumerate(ids):
+        for j in ids[k + 1 :]:
+            both = len(sets[i] & sets[j])
+            if both and both * 10 >= 8 * (len(sets[i]) + len(sets[j]) - both) and head[i] != head[j]:
+                low, high = sorted((head[i], head[j]))
+                head = {x: low if h == high else h for x, h in head.items()}
+    near = corpus_pipeline.near_copies(spark, exact, SF).cache()
+    assert sorted(r.doc_id for r in near.collect()) == sorted(set(head.values())) and len(set(head.values())) < len(head)
+
+    sized = [(r.source, r.place, r.doc_id, r.words) for r in near.select(
+        "source", "doc_id", F.xxhash64(F.lit(17), "doc_id").alias("place"), F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).alias("words")
+    ).collect()]
+    totals = collections.Counter()
+    for source, _, _, words in sized:
+        totals[source] += words
+    weight = {s: (3, 1, 2)[k % 3] for k, s in enumerate(sorted((s for s in totals if s is not None), key=str.encode))}
+    weight |= {None: (3, 1, 2)[len(weight) % 3]} if None in totals else {}
+    target, left = {}, 1.5 * sum(totals.values())
+    for s in sorted(totals, key=lambda s: 2 * totals[s] / weight[s]):
+        open_weight = sum(w for x, w in weight.items() if x not in target)
+        target[s] = min(2.0 * totals[s], left * weight[s] / open_weight)
+        left -= target[s]
+    mixed = corpus_pipeline.mixing_sources(spark, near, SF).cache()
+    found, got = collections.Counter(r.doc_id for r in mixed.collect()), collections.Counter()
+    buckets = max(1, -(-len(sized) // 512))
+    for s in totals:
+        queue = sorted((x for x in sized if x[0] == s), key=lambda x: (((x[1] % 2**64) >> 20) % buckets, x[1], x[2]))
+        for copy in range(2):
+            before = copy * totals[s]
+            for _, _, i, words in queue:
+                got[i] += max(0, min(words, math.floor(target[s] + 1e-9) - before))
+                before += words
+    wanted = {i: math.floor(got[i] / words + 0.5) for _, _, i, words in sized if words}
+    assert dict(found) == {i: n for i, n in wanted.items() if n}
+
+    tool = tokenizers.Tokenizer.from_file(corpus_pipeline.tokenizer("word_bpe_49k.json"))
+    text = {r.doc_id: r.text for r in near.collect()}
+    for r in corpus_pipeline.tokens(spark, mixed, SF).collect():
+        ids = tool.encode(text[r.doc_id], add_special_tokens=False).ids
+        assert list(struct.unpack(f"<{r.n_tokens}I", r.ids)) == ids and r.decoded == tool.decode(ids, skip_special_tokens=False)
