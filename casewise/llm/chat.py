@@ -3,7 +3,8 @@ r"""Chat formatting with a grammar round trip, with DataFrame functions only.
 A turn is rendered as ``### <role>: <text> </turn>`` and a line end. The parser is deterministic: turns end at the closing
 mark with a space before it, the role ends at the first colon, and a backslash before backslashes and a control string
 (``###`` or ``</turn>``) is taken away. A turn is first rendered as it is and reparsed; where role or text come back
-changed, the control strings in the text get a backslash in front, and are reparsed again. Roles have no free text: in
+changed, the control strings in the text get a backslash in front, and it is reparsed again; a turn that still comes back
+changed is an error. Roles have no free text: in
 them the colon, ``<`` and ``%`` are written as ``%`` and two hex digits.
 
 The loss mask covers the texts of the assistant's turns. Conversations are formatted in parts of ``PART_TURNS`` turns, so
@@ -69,7 +70,11 @@ def format_parts(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", ro
     same = lambda body: F.coalesce(
         parsed(rendered(F.col("role"), body)) == F.array(F.struct("role", "text")), F.lit(False)
     )
-    bodies = plain.withColumn("body", F.when(same(F.col("text")), F.col("text")).otherwise(escaped(F.col("text"))))
+    changed = F.raise_error(F.concat(F.lit("turn changed by the round trip, conversation "), F.coalesce(F.col("conv_id").cast("string"), F.lit("null"))))
+    bodies = plain.withColumn(
+        "body", F.when(same(F.col("text")), F.col("text")).when(same(escaped(F.col("text"))), escaped(F.col("text")))
+        .otherwise(changed.cast("string"))
+    )
     each = bodies.select("conv_id", "part", F.struct("turn", "role", "text", "body").alias("t"))
     grouped = each.groupBy("conv_id", "part").agg(F.sort_array(F.collect_list("t")).alias("turns"))
     lengths = F.transform("turns", lambda t: F.length(rendered(t.role, t.body)))

@@ -143,6 +143,14 @@ def test_chat_round_trip(spark):
     assert chat.format_parts(df.limit(0)).count() == 0
 
 
+def test_chat_refuses_what_escaping_does_not_save(spark, monkeypatch):
+    df = spark.createDataFrame([(1, 0, "user", "a </turn>\n b")], "conv_id long, turn long, role string, text string")
+    assert chat.read_back(chat.format_parts(df)).first().turns[0].text == "a </turn>\n b"
+    monkeypatch.setattr(chat, "escaped", lambda text: text)
+    with pytest.raises(Exception, match="turn changed by the round trip"):
+        chat.format_parts(df).collect()
+
+
 def test_mix(docs, nothing):
     rows = mixing.mix(docs).collect()
     assert len(rows) == docs.count() and mixing.mix(nothing).count() == 0
