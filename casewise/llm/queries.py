@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casewise.llm import chat, cws, encoding, jaccard, langid, lm, mixing, prefix_counts, recipes, shards
+from casewise.llm import chat, cws, encoding, jaccard, langid, lm, mixing, prefix_counts, recipes, shards, simhash
 from casewise.llm.common import Tables
 
 #: Folder of the tokenizer files on all machines; unset, that of the installed package.
@@ -130,11 +130,15 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
        doc_id = max(doc_id) OVER same AS kept, text_sha256
 FROM d WINDOW same AS (PARTITION BY text_sha256)"""
 
+def op12_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.near_duplicates(_documents(spark, sf))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_training_order, op2_chat, op3_mix, op4_lm, op5_bpe, op6_language, op7_ngram_join, op8_fingerprints, op9_token_counts,
-        op10_exact_dedup,
+        op10_exact_dedup, op12_simhash,
     )
 }
 SQL = {"op2_chat": SQL_OP2, "op10_exact_dedup": SQL_OP10}
