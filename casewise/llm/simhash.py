@@ -370,13 +370,14 @@ def near_duplicates(
     crowded_at: int = CROWDED,
 ) -> DataFrame:
     """One row for each row of ``docs``: doc_id, fingerprint (16 hex digits), component_id (the smallest id reachable)."""
-    tables = Tables(docs.sparkSession)
-    rows = tables.store(fingerprints(docs, n, id_col, text_col), "rows")
+    tables, kept = Tables(docs.sparkSession), Tables(docs.sparkSession)
+    rows = kept.store(fingerprints(docs, n, id_col, text_col), "rows")
     classes = tables.store(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
     roots = components(links(classes.select("fp"), radius, tables, crowded_at), tables)
     named = classes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    answer = split_join(named, smallest, ["root"], "inner").select("fp", "component_id")
+    answer = kept.store(split_join(named, smallest, ["root"], "inner").select("fp", "component_id"), "answer")
+    tables.drop()
     return split_join(rows, answer, ["fp"], "inner").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
