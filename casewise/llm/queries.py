@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casewise.llm import chat, cws, encoding, jaccard, langid, lm, mixing, prefix_counts, recipes, shards, simhash
+from casewise.llm import chat, cws, encoding, filter_audit, jaccard, langid, lm, mixing, prefix_counts, recipes, shards, simhash
 from casewise.llm.common import Tables
 
 #: Folder of the tokenizer files on all machines; unset, that of the installed package.
@@ -134,11 +134,54 @@ def op12_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf))
 
 
+def op13_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return filter_audit.audit(_documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"))
+
+
+SQL_OP13 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS low
+  FROM documents),
+l AS (SELECT doc_id, max(quality) = 1 AS good, max(toxic) = 1 AS toxic FROM labels GROUP BY doc_id),
+m AS (
+  SELECT part, coalesce(l.good, false) AS good, coalesce(l.toxic, false) AS toxic,
+    CAST(len(w) < 200 AS INT) + 2 * CAST(100 * len(list_distinct(w)) < 50 * len(w) AS INT)
+    + 4 * CAST(100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) AS INT)
+    + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INT)
+    + 16 * CAST(coalesce(d.doc_id > low, low IS NOT NULL) AS INT) AS mask
+  FROM d LEFT JOIN l ON d.doc_id = l.doc_id),
+g AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM m GROUP BY part, mask),
+f AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS v(letter, bit)),
+o AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order,
+         [a.letter, b.letter, c.letter, d.letter, e.letter] AS letters, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM f a, f b, f c, f d, f e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+    AND (a.bit | b.bit | c.bit | d.bit | e.bit) = 31),
+s AS (
+  SELECT filter_order, k.step, letters[k.step] AS letter, bits[k.step] AS bit, coalesce(list_sum(bits[1:k.step - 1]), 0)::INT AS before
+  FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step) k),
+r AS (
+  SELECT part, filter_order, step, letter,
+    CAST(coalesce(sum(n) FILTER ((mask & (before + bit)) = 0), 0) AS BIGINT) AS kept,
+    CAST(coalesce(sum(n) FILTER ((mask & bit) > 0 AND (mask & before) = 0), 0) AS BIGINT) AS removed,
+    CAST(coalesce(sum(n) FILTER ((mask & bit) > 0 AND (mask & before) > 0), 0) AS BIGINT) AS redundant,
+    CAST(coalesce(sum(n) FILTER (mask = bit), 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(sum(good) FILTER ((mask & bit) > 0 AND (mask & before) = 0), 0) AS BIGINT) AS good_lost,
+    CAST(coalesce(sum(toxic) FILTER ((mask & bit) > 0 AND (mask & before) = 0), 0) AS BIGINT) AS toxic_lost
+  FROM g, s GROUP BY part, filter_order, step, letter)
+SELECT part, filter_order, CAST(step AS INT) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM r"""
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_training_order, op2_chat, op3_mix, op4_lm, op5_bpe, op6_language, op7_ngram_join, op8_fingerprints, op9_token_counts,
-        op10_exact_dedup, op12_simhash,
+        op10_exact_dedup, op12_simhash, op13_filter_audit,
     )
 }
-SQL = {"op2_chat": SQL_OP2, "op10_exact_dedup": SQL_OP10}
+SQL = {"op2_chat": SQL_OP2, "op10_exact_dedup": SQL_OP10, "op13_filter_audit": SQL_OP13}
