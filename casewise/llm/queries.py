@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casewise.llm import chat, cws, encoding, filter_audit, jaccard, langid, lm, mixing, prefix_counts, recipes, shards, simhash
+from casewise.llm import chat, cws, encoding, filter_audit, jaccard, langid, lm, mixing, negatives, prefix_counts, recipes, shards, simhash
 from casewise.llm.common import Tables
 
 #: Folder of the tokenizer files on all machines; unset, that of the installed package.
@@ -130,6 +130,37 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
        doc_id = max(doc_id) OVER same AS kept, text_sha256
 FROM d WINDOW same AS (PARTITION BY text_sha256)"""
 
+def op11_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    unfit = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    rows = spark.read.parquet(f"{sf}/embeddings.parquet").where(F.col("label").isNotNull() & F.col("embedding").isNotNull() & ~unfit)
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vector = F.transform("embedding", lambda x: F.floor(256 * x.cast("double")))
+    rows = rows.select("vec_id", label.alias("label"), vector.alias("vector"))
+    return negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0, "vec_id")
+
+
+SQL_OP11 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT a.vec_id AS anchor_id, a.label AS label, a.e AS e, o.vec_id AS positive_id,
+         CAST(list_inner_product(a.e, o.e) AS BIGINT) AS positive_score
+  FROM v a JOIN v o ON a.label = o.label AND a.vec_id <> o.vec_id WHERE a.vec_id % 50 = 0
+  QUALIFY row_number() OVER (PARTITION BY a.vec_id ORDER BY positive_score DESC, o.vec_id) <= 5),
+n AS (
+  SELECT a.vec_id AS anchor_id, o.vec_id AS negative_id, CAST(list_inner_product(a.e, o.e) AS BIGINT) AS negative_score
+  FROM v a JOIN v o ON a.label <> o.label WHERE a.vec_id % 50 = 0)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INT) AS rank, negative_id, positive_score, negative_score
+FROM p JOIN n USING (anchor_id)
+WHERE 50 * positive_score <= 100 * negative_score AND 100 * negative_score <= 95 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY negative_score DESC, negative_id)
+QUALIFY row_number() OVER w <= 3"""
+
+
 def op12_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf))
 
@@ -181,7 +212,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_training_order, op2_chat, op3_mix, op4_lm, op5_bpe, op6_language, op7_ngram_join, op8_fingerprints, op9_token_counts,
-        op10_exact_dedup, op12_simhash, op13_filter_audit,
+        op10_exact_dedup, op11_hard_negatives, op12_simhash, op13_filter_audit,
     )
 }
-SQL = {"op2_chat": SQL_OP2, "op10_exact_dedup": SQL_OP10, "op13_filter_audit": SQL_OP13}
+SQL = {"op2_chat": SQL_OP2, "op10_exact_dedup": SQL_OP10, "op11_hard_negatives": SQL_OP11, "op13_filter_audit": SQL_OP13}
