@@ -1,126 +1,41 @@
 """Two-level text classification: category first, then query type within the category.
 
-Linear support vector machines over TF-IDF, one per class against the rest, fitted by Spark
-ML. A fitted model is small (bounded vocabularies, one weight row per class), so labelling
-is a per-row expression in one pass, without routing rows to separate jobs.
+Linear support vector machines over TF-IDF, one per class against the rest. A level is a *space*: a vocabulary, its
+classes and their weights. All spaces are rows of three tables, so a model has any number of categories, classes and
+terms, and no step's plan grows with them: vocabularies are ranked together (``dictionary``), all problems are solved in
+the same passes (``svm``), and rows are labelled by the model of their category, sent to all tasks where the models are
+small together and shuffled to it where they are not (``routing``).
+
+Texts are known to the model by the hashes of their terms.
 """
 
 from __future__ import annotations
 
-import json
-import math
-from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.ml.classification import LinearSVC
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from casewise.functions.numeric import sigmoid, softmax_at
-from casewise.functions.text import let
-from casewise.operators import tfidf
+from casewise.functions.text import term_counts
+from casewise.operators import svm, tfidf
+from casewise.operators.dictionary import Sparse, packed_terms, ranked_terms, weighted
+from casewise.operators.joins import lookup
 from casewise.operators.metrics import per_class, summary
+from casewise.operators.routing import BROADCAST_BYTES, FEW_KEYS, PART_ROWS, routed
 from casewise.session import durable
 
 UNKNOWN = "UNKNOWN"
-MAX_CLASSES = 1_000
-#: training rows worth a task of their own in each optimisation step
-ROWS_PER_TASK = 20_000
-PARALLEL_FITS = 8
-
-
-@dataclass
-class LinearLevel:
-    """One classifier: its vocabulary, classes in order, weight rows and intercepts.
-
-    Two classes have one row, whose positive side is the second class.
-    """
-
-    features: tfidf.TfidfModel
-    classes: list[str]
-    rows: list[list[float]]
-    intercepts: list[float]
-
-    def margins(self, vec: Column) -> Column:
-        width = len(self.features.terms)
-        table = tfidf.literal_doubles([w for row in self.rows for w in row])
-        offsets = tfidf.literal_doubles(self.intercepts)
-
-        def margin(k: Column) -> Column:
-            products = F.zip_with(vec["indices"], vec["weights"], lambda i, w: w * F.get(table, k * width + i))
-            return F.aggregate(products, F.lit(0.0), lambda acc, x: acc + x) + F.get(offsets, k)
-
-        return F.transform(F.sequence(F.lit(0), F.lit(len(self.rows) - 1)), margin)
-
-    def decide(self, vec: Column) -> Column:
-        """Struct of the predicted label and its confidence (M2, M3)."""
-        names = F.from_json(F.lit(json.dumps(self.classes)), "array<string>")
-
-        def verdict(m: Column) -> Column:
-            if len(self.rows) == 1:
-                second = F.get(m, F.lit(0)) > 0
-                sure = sigmoid(F.get(m, F.lit(0)))
-                place, confidence = second.cast("int"), F.when(second, sure).otherwise(1 - sure)
-            else:
-                place = (F.array_position(m, F.array_max(m)) - 1).cast("int")
-                confidence = softmax_at(m, place)
-            return F.struct(F.get(names, place).alias("label"), confidence.alias("confidence"))
-
-        return let(self.margins(vec), verdict)
-
-
-def fit_level(
-    docs: DataFrame, label: str, max_features: int, min_df: int, C: float, max_iter: int = 100, parallelism: int = PARALLEL_FITS
-) -> LinearLevel:
-    """L2: fit one classifier on ``terms`` and ``label``.
-
-    Against the rest, a class has its balanced weight and the rest weighs 1; two classes are
-    one problem in which both have their balanced weights. The penalty is per unit of weight.
-    """
-    counts = {
-        r[0]: r[1]
-        for r in docs.groupBy(label).agg(F.count(F.lit(1)).alias("n")).orderBy(label).limit(MAX_CLASSES + 1).collect()
-    }
-    if len(counts) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes in {label}")
-    classes, total = list(counts), sum(counts.values())
-    model = tfidf.fit(docs, max_features, min_df, sublinear=True)
-    size = max(len(model.terms), 1)
-    if len(classes) < 2:
-        return LinearLevel(model, classes * 2, [[0.0] * size], [0.0])
-    vectors = model.weights(docs).select(F.col(label).alias("y"), tfidf.as_vector(F.col("vec"), size).alias("features"))
-    n_tasks = math.ceil(total / ROWS_PER_TASK)
-    if n_tasks < docs.sparkSession.sparkContext.defaultParallelism:
-        vectors = vectors.repartition(n_tasks)  # few rows: each step costs a task, not their number
-    vectors = vectors.persist()
-    balanced = {c: total / (len(classes) * n) for c, n in counts.items()}
-    targets = classes[1:] if len(classes) == 2 else classes
-
-    def against_rest(target: str) -> tuple[list[float], float]:
-        rest = balanced[classes[0]] if len(classes) == 2 else 1.0
-        own = F.col("y") == target
-        weight_sum = balanced[target] * counts[target] + rest * (total - counts[target])
-        learner = LinearSVC(
-            labelCol="label", weightCol="weight", standardization=False, maxIter=max_iter, tol=1e-5,
-            regParam=1.0 / (C * weight_sum),
-        )
-        fitted = learner.fit(
-            vectors.select(
-                "features",
-                own.cast("double").alias("label"),
-                F.when(own, balanced[target]).otherwise(rest).alias("weight"),
-            )
-        )
-        return [float(x) for x in fitted.coefficients.toArray()], float(fitted.intercept)
-
-    try:
-        with ThreadPoolExecutor(parallelism) as pool:
-            fitted = list(pool.map(against_rest, targets))
-    finally:
-        vectors.unpersist()
-    return LinearLevel(model, classes, [w for w, _ in fitted], [b for _, b in fitted])
+#: The space of the categories; that of a category's query types has the category after ``WITHIN``.
+TOP, WITHIN = "categories", "within "
+#: Terms of the category level and of a category, and the least number of texts that have them.
+TOP_TERMS, TOP_MIN_DF, TERMS, MIN_DF = 6000, 2, 3000, 1
+#: Margins (rows by classes) computed at once.
+MARGINS = 1 << 21
+PREDICTED = "pred_category string, category_confidence double, pred_query_type string, query_type_confidence double"
 
 
 def level2_plan(df: DataFrame, category: str, query_type: str, min_class_count: int = 3) -> DataFrame:
@@ -129,7 +44,10 @@ def level2_plan(df: DataFrame, category: str, query_type: str, min_class_count:
     Classes below the count are dropped first. Fewer than two classes or four rows: the most
     frequent class, the lowest on a tie; nothing left: no label.
     """
-    sizes = df.groupBy(category, query_type).agg(F.count(F.lit(1)).alias("n"))
+    return _plan(df.groupBy(category, query_type).agg(F.count(F.lit(1)).alias("n")), category, query_type, min_class_count)
+
+
+def _plan(sizes: DataFrame, category: str, query_type: str, min_class_count: int) -> DataFrame:
     enough = (F.col("n") >= min_class_count) & F.col(query_type).isNotNull()
     plan = sizes.groupBy(category).agg(
         F.count_if(enough).alias("n_classes"),
@@ -146,120 +64,298 @@ def level2_plan(df: DataFrame, category: str, query_type: str, min_class_count:
     )
 
 
+def _within(category: Column) -> Column:
+    return F.concat(F.lit(WITHIN), category)
+
+
+def _hashes(terms: Column) -> Column:
+    return F.transform(terms, lambda t: F.xxhash64(t))
+
+
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """A list column without nulls as (flat values, lengths)."""
+    return column.flatten().to_numpy(zero_copy_only=False), np.diff(column.offsets.to_numpy())
+
+
+# -- labelling --------------------------------------------------------------------------------
+
+
+class Level:
+    """One space as a task sees it; without weights it has one label for all rows, or none."""
+
+    def __init__(self, rows: list[dict]):
+        self.fallback = next((r["label"] for r in rows if r["place"] == -1), None)
+        terms = [r for r in rows if r["place"] is None]
+        classes = sorted((r for r in rows if r["place"] is not None and r["place"] >= 0), key=lambda r: r["place"])
+        self.labels = np.array([r["label"] for r in classes], object)
+        own = [r for r in classes if r["weights"] is not None]
+        hashes, idx, idf = ([], [], []) if not terms else (terms[0][c] for c in ("hashes", "idx", "idf"))
+        self.terms = np.array(hashes, np.int64), np.array(idx, np.int64), np.array(idf, np.float64)
+        self.weights = np.array([r["weights"] for r in own], np.float64).reshape(len(own), len(hashes)).T.copy()
+        self.intercepts = np.array([r["intercept"] for r in own], np.float64)
+
+    def margins(self, rows: Sparse) -> np.ndarray:
+        out = np.tile(self.intercepts, (len(rows.counts), 1))
+        if len(rows.idx):
+            filled = np.flatnonzero(rows.counts)
+            starts = (np.cumsum(rows.counts) - rows.counts)[filled]
+            out[filled] += np.add.reduceat(self.weights[rows.idx] * rows.weights[:, None], starts, axis=0)
+        return out
+
+    def decide(self, flat: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(label, confidence) of each row (M2, M3); nan stands for no confidence. The first of equal margins wins."""
+        n = len(counts)
+        if not len(self.labels):
+            return np.full(n, self.fallback, object), np.full(n, np.nan)
+        if len(self.labels) == 1:
+            return np.full(n, self.labels[0], object), np.full(n, 0.5)
+        place, sure = np.zeros(n, np.int64), np.zeros(n)
+        ends, row = np.cumsum(counts), 0
+        while row < n:  # a bounded number of products at once
+            done = ends[row - 1] if row else 0
+            to = max(row + 1, min(n, int(np.searchsorted(ends, done + MARGINS // max(1, len(self.intercepts)), "right"))))
+            m = self.margins(weighted(flat[done : ends[to - 1]], counts[row:to], *self.terms))
+            if len(self.labels) == 2:
+                place[row:to] = m[:, 0] > 0
+                sure[row:to] = 1.0 / (1.0 + np.exp(-np.abs(m[:, 0])))
+            else:
+                place[row:to] = m.argmax(1)
+                sure[row:to] = 1.0 / np.exp(m - m.max(1, keepdims=True)).sum(1)
+            row = to
+        return self.labels[place], sure
+
+
+def _one_pass(batch: pa.RecordBatch, level) -> list[pa.Array]:
+    """The columns ``PREDICTED``; ``level(space)`` gives the model of a space."""
+    flat, counts = _lists(batch.column("hashes"))
+    category, sure = level(TOP).decide(flat, counts)
+    kind, type_sure = np.full(len(counts), None, object), np.full(len(counts), np.nan)
+    starts = np.cumsum(counts) - counts
+    names, codes = np.unique(np.array([c or "" for c in category], object).astype(str), return_inverse=True)
+    for code, name in enumerate(names):
+        own = np.flatnonzero((codes == code) & (category != None))  # noqa: E711
+        if len(own):
+            at = np.repeat(starts[own] - (np.cumsum(counts[own]) - counts[own]), counts[own]) + np.arange(counts[own].sum())
+            kind[own], type_sure[own] = level(WITHIN + str(name)).decide(flat[at], counts[own])
+    return _answers(category, sure, kind, type_sure)
+
+
+def _answers(category, sure, kind, type_sure) -> list[pa.Array]:
+    kind = np.where(kind == None, UNKNOWN, kind)  # noqa: E711
+    numbers = [pa.array(x, pa.float64(), mask=np.isnan(x)) for x in (sure, type_sure)]
+    return [pa.array(category, pa.string()), numbers[0], pa.array(kind, pa.string()), numbers[1]]
+
+
+# -- the classifier ------------------------------------------------------------------------------
+
+
 @dataclass
 class HierarchicalClassifier:
-    """L1, L4-L6."""
+    """L1, L4-L6. A fitted model is three tables.
+
+    ``terms``: space, term, idx, idf. ``classes``: space, place, label, weights, intercept; of two classes the first has no
+    weights, and the positive side is the second. ``plan``: category, decision, fallback_label.
+    """
 
     min_class_count: int = 3
     C: float = 2.0
     max_iter: int = 100
-    category: LinearLevel | None = None
-    levels: dict[str, LinearLevel] = field(default_factory=dict)
-    fallbacks: dict[str, str | None] = field(default_factory=dict)
+    tolerance: float = svm.TOLERANCE
+    terms: DataFrame | None = None
+    classes: DataFrame | None = None
+    plan: DataFrame | None = None
+    broadcast_bytes: int = BROADCAST_BYTES
+    part_rows: int = PART_ROWS
 
     def fit(
         self, df: DataFrame, text: str = "question", category: str = "category", query_type: str = "query_type"
     ) -> HierarchicalClassifier:
+        fitted = self.fit_grid(df, (self.C,), text, category, query_type)[0]
+        self.terms, self.classes, self.plan = fitted.terms, fitted.classes, fitted.plan
+        return self
+
+    def fit_grid(
+        self, df: DataFrame, grid: Sequence[float], text: str = "question", category: str = "category", query_type: str = "query_type"
+    ) -> list[HierarchicalClassifier]:
+        """One model for each C, from one vocabulary, one packing of the rows and the same passes."""
         docs = df.select(
-            tfidf.text_terms(F.col(text)).alias("terms"),
-            F.col(category).alias("category"),
-            F.col(query_type).alias("query_type"),
+            tfidf.text_terms(F.col(text)).alias("terms"), F.col(category).alias("category"), F.col(query_type).alias("query_type"),
         ).where(F.col("category").isNotNull())
-        # tokenised once for all levels; a lost part is computed again from the input
+        sizes = durable(docs.groupBy("category", "query_type").agg(F.count(F.lit(1)).alias("n")))
+        plan = durable(_plan(sizes, "category", "query_type", self.min_class_count))
+        classes = durable(self._classes(sizes, plan))
+        # tokenised once for the vocabularies and the vectors; a lost part is computed again from the input
         docs = docs.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            return self._fit(docs)
+            terms, blocks = self._packed(docs, classes)
         finally:
             docs.unpersist()
-
-    def _fit(self, docs: DataFrame) -> HierarchicalClassifier:
-        self.category = fit_level(docs, "category", 6000, 2, self.C, self.max_iter)
-        # one row per category, and fit_level has bounded the categories
-        plan = level2_plan(docs, "category", "query_type", self.min_class_count).orderBy("category").collect()
-        self.fallbacks = {r["category"]: r["fallback_label"] for r in plan if r["decision"] != "train"}
-
-        def fit_category(name: str) -> LinearLevel:
-            own = docs.where(F.col("category") == name)
-            kept = (
-                own.groupBy("query_type").agg(F.count(F.lit(1)).alias("n"))
-                .where(F.col("n") >= self.min_class_count).select("query_type").limit(MAX_CLASSES + 1)
-            )
-            own = own.join(F.broadcast(kept), "query_type", "left_semi")
-            return fit_level(own, "query_type", 3000, 1, self.C, self.max_iter)
-
-        # the fits are independent and often small, so several run side by side
-        names = [r["category"] for r in plan if r["decision"] == "train"]
-        with ThreadPoolExecutor(PARALLEL_FITS) as pool:
-            self.levels = dict(zip(names, pool.map(fit_category, names)))
-        return self
+        sizes = F.transform(F.sort_array(F.collect_list(F.struct("place", "n"))), lambda x: x.n)
+        widths = terms.groupBy("space").agg(F.count(F.lit(1)).cast("int").alias("width"))
+        spaces = classes.groupBy("space").agg(sizes.alias("sizes")).where(F.size("sizes") > 1).join(widths, "space", "left").withColumn(
+            "width", F.coalesce("width", F.lit(0))
+        )
+        found = svm.solve(blocks, spaces, grid, self.tolerance, self.max_iter)
+        models = []
+        for place, C in enumerate(grid):
+            weights = found.where(F.col("c") == place).drop("c")
+            own = durable(classes.select("space", "place", "label").join(weights, ["space", "place"], "left"))
+            models.append(HierarchicalClassifier(
+                self.min_class_count, C, self.max_iter, self.tolerance, terms.select("space", "term", "idx", "idf"), own,
+                plan.select("category", "decision", "fallback_label"), self.broadcast_bytes, self.part_rows,
+            ))
+        return models
+
+    def _classes(self, sizes: DataFrame, plan: DataFrame) -> DataFrame:
+        """(space, place, label, n, category): the classes of all spaces, in the order of their labels."""
+        top = sizes.groupBy("category").agg(F.sum("n").alias("n")).select(
+            F.lit(TOP).alias("space"), F.col("category").alias("label"), "n", F.lit(None).cast("string").alias("category")
+        )
+        trained = plan.where("decision = 'train'").select("category")
+        low = sizes.where((F.col("n") >= self.min_class_count) & F.col("query_type").isNotNull()).join(trained, "category").select(
+            _within(F.col("category")).alias("space"), F.col("query_type").alias("label"), "n", "category"
+        )
+        place = F.row_number().over(Window.partitionBy("space").orderBy("label")) - 1
+        return top.unionByName(low).select("space", place.cast("int").alias("place"), "label", "n", "category")
+
+    def _packed(self, docs: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The terms of all spaces, and the rows as vectors of their spaces."""
+        top = classes.where(F.col("space") == TOP).select(F.col("label").alias("category"), F.col("place").alias("top"))
+        low = classes.where(F.col("space") != TOP).select("category", F.col("label").alias("query_type"), F.col("place").alias("low"))
+        tagged = lookup(lookup(docs, top, ["category"], stored=True), low, ["category", "query_type"], stored=True)
+        counted = durable(
+            tagged.select("category", F.col("low").isNotNull().alias("kept"), F.inline(term_counts(F.col("terms"))))
+            .groupBy("category", "kept", "term").agg(F.sum("tf").alias("cf"), F.count(F.lit(1)).alias("df"))
+        )
+        sums = [F.sum(c).alias(c) for c in ("cf", "df")]
+        top_counts = durable(counted.groupBy("term").agg(*sums).where(F.col("df") >= TOP_MIN_DF))
+        stats = top_counts.select(F.lit(TOP).alias("space"), "term", "cf", "df").unionByName(
+            counted.where("kept").select(_within(F.col("category")).alias("space"), "term", "cf", "df")
+        )
+        is_top = F.col("space") == TOP
+        limits = classes.groupBy("space").agg(F.sum("n").alias("n_docs")).select(
+            "space", "n_docs", F.when(is_top, TOP_TERMS).otherwise(TERMS).alias("max_features"),
+            F.when(is_top, TOP_MIN_DF).otherwise(MIN_DF).alias("min_df"),
+        )
+        terms = durable(ranked_terms(stats, limits))
+        packed = durable(packed_terms(terms))
+        spaces = F.array(
+            F.struct(F.lit(TOP).alias("space"), F.col("top").alias("place")),
+            F.struct(_within(F.col("category")).alias("space"), F.col("low").alias("place")),
+        )
+        rows = tagged.select(F.inline(spaces), _hashes(F.col("terms")).alias("hashes")).where("place IS NOT NULL")
+
+        def prepare(found: list[dict]):
+            return found[0] if found else None
+
+        def run(model, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            flat, counts = _lists(batch.column("hashes"))
+            own = [np.array(model[c] if model else [], k) for c, k in (("hashes", np.int64), ("idx", np.int64), ("idf", np.float64))]
+            places = batch.column("place").to_numpy(zero_copy_only=False)
+            yield from svm.packed_blocks(batch.column("space")[0].as_py(), places, weighted(flat, counts, *own))
+
+        size = packed.select("space", (F.size("hashes") * 20).alias("bytes"))
+        return terms, durable(routed(rows, packed, size, prepare, run, svm.BLOCKS, self.broadcast_bytes, self.part_rows))
+
+    def labels(self, category: str | None = None) -> list[str]:
+        """The labels of a level in order: the categories, or a category's query types."""
+        space = TOP if category is None else WITHIN + category
+        return [r["label"] for r in self.classes.where(F.col("space") == space).orderBy("place").collect()]
+
+    def _models(self) -> tuple[DataFrame, DataFrame]:
+        """(the rows that make up each space, bytes of each space)."""
+        terms = packed_terms(self.terms.withColumn("hash", F.xxhash64("term")))
+        null = lambda kind: F.lit(None).cast(kind)
+        classes = self.classes.select("space", "place", "label", "weights", "intercept")
+        fallbacks = self.plan.where(F.col("fallback_label").isNotNull()).select(
+            _within(F.col("category")).alias("space"), F.lit(-1).alias("place"), F.col("fallback_label").alias("label"),
+            null("array<double>").alias("weights"), null("double").alias("intercept"),
+        )
+        rows = durable(
+            classes.unionByName(fallbacks)
+            .withColumns({"hashes": null("array<bigint>"), "idx": null("array<int>"), "idf": null("array<double>")})
+            .unionByName(terms.withColumns({
+                "place": null("int"), "label": null("string"), "weights": null("array<double>"), "intercept": null("double"),
+            }))
+        )
+        held = F.coalesce(F.array_size("hashes"), F.lit(0)) * 20 + F.coalesce(F.array_size("weights"), F.lit(0)) * 8 + 100
+        return rows, rows.groupBy("space").agg(F.sum(held).alias("bytes"))
 
     def predict(self, df: DataFrame, text: str = "question") -> DataFrame:
         """Add predicted category and query type with their confidences.
 
         Confidence is null where a fallback label answered.
         """
-        columns = df.columns
-        rows = df.withColumn("_terms", tfidf.text_terms(F.col(text)))
-        rows = self.category.features.weights(rows, "_terms", "_vec")
-        rows = rows.withColumn("_cat", self.category.decide(F.col("_vec"))).drop("_vec")
-        none = F.array().cast("array<string>")
-        verdicts = []
-        for i, (name, level) in enumerate(self.levels.items()):
-            mine = F.col("_cat.label") == name
-            rows = rows.withColumn(f"_t{i}", F.when(mine, F.col("_terms")).otherwise(none))
-            rows = level.features.weights(rows, f"_t{i}", f"_v{i}").drop(f"_t{i}")
-            verdicts.append(F.when(mine, level.decide(F.col(f"_v{i}"))))
-        nothing = F.struct(F.lit(None).cast("string").alias("label"), F.lit(None).cast("double").alias("confidence"))
-        rows = rows.withColumn("_qt", F.coalesce(*verdicts, nothing) if verdicts else nothing)
-        fallback = F.lit(None).cast("string")
-        for name, label in self.fallbacks.items():
-            if label is not None:
-                fallback = F.when(F.col("_cat.label") == name, label).otherwise(fallback)
-        return rows.select(
-            *columns,
-            F.col("_cat.label").alias("pred_category"),
-            F.coalesce("_qt.label", fallback, F.lit(UNKNOWN)).alias("pred_query_type"),
-            F.col("_cat.confidence").alias("category_confidence"),
-            F.col("_qt.confidence").alias("query_type_confidence"),
+        models, sizes = self._models()
+        rows = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"), _hashes(tfidf.text_terms(F.col(text))).alias("hashes"))
+        row = rows.schema["row"].dataType.simpleString()
+        if (sizes.agg(F.sum("bytes")).first()[0] or 0) <= self.broadcast_bytes:
+            found = _labelled_at_once(rows, models, f"row {row}, {PREDICTED}")
+        else:
+            found = self._labelled_by_routing(rows, models, sizes, row)
+        return found.select("row.*", "pred_category", "pred_query_type", "category_confidence", "query_type_confidence")
+
+    def _labelled_by_routing(self, rows: DataFrame, models: DataFrame, sizes: DataFrame, row: str) -> DataFrame:
+        def top(level: Level, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            category, sure = level.decide(*_lists(batch.column("hashes")))
+            columns = [batch.column("row"), batch.column("hashes"), pa.array(category, pa.string()), pa.array(sure, mask=np.isnan(sure))]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "hashes", "pred_category", "category_confidence"])
+
+        def low(level: Level, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            kind, sure = level.decide(*_lists(batch.column("hashes")))
+            category = batch.column("pred_category").to_numpy(zero_copy_only=False)
+            answers = _answers(category, np.zeros(len(sure)), kind, sure)
+            answers[1] = batch.column("category_confidence")
+            yield pa.RecordBatch.from_arrays([batch.column("row"), *answers], ["row", *(c.split()[0] for c in PREDICTED.split(", "))])
+
+        is_top = F.col("space") == TOP
+        how = (self.broadcast_bytes, self.part_rows, FEW_KEYS)
+        first = routed(
+            rows.withColumn("space", F.lit(TOP)), models.where(is_top), sizes.where(is_top), Level, top,
+            f"row {row}, hashes array<bigint>, pred_category string, category_confidence double", *how,
         )
+        first = durable(first).withColumn("space", _within(F.col("pred_category")))
+        return routed(first, models.where(~is_top), sizes.where(~is_top), Level, low, f"row {row}, {PREDICTED}", *how)
 
     # -- S6: the model as tables -------------------------------------------------------
 
     def save(self, spark: SparkSession, path: str) -> None:
-        """Write the model as parquet tables: vocabularies, weight rows, fallbacks."""
-        terms, rows = [], []
-        for name, level in [(None, self.category), *self.levels.items()]:
-            terms += [(name, i, t, w) for i, (t, w) in enumerate(zip(level.features.terms, level.features.idf))]
-            rows += [(name, level.classes, i, w, b) for i, (w, b) in enumerate(zip(level.rows, level.intercepts))]
-        settings = [(self.min_class_count, float(self.C), self.max_iter)]
-        tables = {
-            "terms": (terms, "category string, idx int, term string, idf double"),
-            "rows": (rows, "category string, classes array<string>, place int, weights array<double>, intercept double"),
-            "fallbacks": (list(self.fallbacks.items()), "category string, label string"),
-            "settings": (settings, "min_class_count int, C double, max_iter int"),
-        }
-        for name, (data, schema) in tables.items():
-            spark.createDataFrame(data, schema).write.mode("overwrite").parquet(f"{path}/{name}")
+        """Write the model as parquet tables: vocabularies, classes with their weights, plan, settings."""
+        settings = spark.createDataFrame(
+            [(self.min_class_count, float(self.C), self.max_iter, float(self.tolerance))],
+            "min_class_count int, C double, max_iter int, tolerance double",
+        )
+        for name, table in {"terms": self.terms, "classes": self.classes, "plan": self.plan, "settings": settings}.items():
+            table.write.mode("overwrite").parquet(f"{path}/{name}")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> HierarchicalClassifier:
-        # every table is bounded by the vocabulary and class limits
-        tables = {n: spark.read.parquet(f"{path}/{n}") for n in ("terms", "rows", "fallbacks", "settings")}
-        terms: dict[str | None, list[tuple[str, float]]] = {}
-        for r in tables["terms"].orderBy("idx").collect():
-            terms.setdefault(r["category"], []).append((r["term"], r["idf"]))
-        levels: dict[str | None, LinearLevel] = {}
-        for r in tables["rows"].orderBy("place").collect():
-            own = terms.get(r["category"], [])
-            features = tfidf.TfidfModel([t for t, _ in own], [w for _, w in own], sublinear=True)
-            level = levels.setdefault(r["category"], LinearLevel(features, r["classes"], [], []))
-            level.rows.append(list(r["weights"]))
-            level.intercepts.append(r["intercept"])
-        s = tables["settings"].first()
-        return HierarchicalClassifier(
-            s["min_class_count"], s["C"], s["max_iter"], levels.pop(None), levels,
-            {r["category"]: r["label"] for r in tables["fallbacks"].collect()},
-        )
+        terms, classes, plan = (spark.read.parquet(f"{path}/{n}") for n in ("terms", "classes", "plan"))
+        s = spark.read.parquet(f"{path}/settings").first()
+        return HierarchicalClassifier(s["min_class_count"], s["C"], s["max_iter"], s["tolerance"], terms, classes, plan)
+
+
+def _labelled_at_once(rows: DataFrame, models: DataFrame, schema: str) -> DataFrame:
+    """Both levels in one pass, with all models in each task."""
+    held: dict[str, list[dict]] = {}
+    for r in models.collect():  # their size has been measured
+        held.setdefault(r["space"], []).append(r.asDict())
+    shared = rows.sparkSession.sparkContext.broadcast(held)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made: dict[str, Level] = {}
+
+        def level(space: str) -> Level:
+            if space not in made:
+                made[space] = Level(shared.value.get(space, []))
+            return made[space]
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), *_one_pass(batch, level)], ["row", *(c.split()[0] for c in PREDICTED.split(", "))]
+            )
+
+    return rows.mapInArrow(run, schema)
 
 
 def evaluate_against_gold(
@@ -272,7 +368,7 @@ def evaluate_against_gold(
         F.struct(F.lit("query_type").alias("level"), F.col(query_type).alias("truth"), F.col("pred_query_type").alias("guess")),
     )
     counts = durable(
-        model.predict(gold, text).select(F.inline(pairs))
+        model.predict(gold.select(text, category, query_type), text).select(F.inline(pairs))
         .groupBy("level", F.col("truth").alias("true_label"), F.col("guess").alias("pred_label"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -294,8 +390,8 @@ def tune_C(
 
     fit_part, check_part = stratified_split(train, category, id_col, seed=seed)
     results = []
-    for C in grid:
-        model = HierarchicalClassifier(C=C, **settings).fit(fit_part, text, category, query_type)
+    models = HierarchicalClassifier(**settings).fit_grid(fit_part, grid, text, category, query_type)
+    for C, model in zip(grid, models):
         row = evaluate_against_gold(model, check_part, text, category, query_type).where("level = 'query_type'").first()
         results.append((C, row["macro_f1"]))
     return max(results, key=lambda r: (r[1], -r[0]))[0], results

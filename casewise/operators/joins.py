@@ -26,13 +26,13 @@ def split_join(df: DataFrame, table: DataFrame, on: Sequence[str], how: str = "l
 
 
 def lookup(
-    df: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left", max_rows: int = BROADCAST_ROWS
+    df: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left", max_rows: int = BROADCAST_ROWS, stored: bool = False
 ) -> DataFrame:
     """Join ``table`` to ``df``, broadcasting it only after counting it.
 
-    The table is materialised once, so counting it costs no second computation.
+    The table is materialised once, so counting it costs no second computation; ``stored`` says that it already is.
     """
-    table = durable(table)
+    table = table if stored else durable(table)
     if table.count() <= max_rows:
         return df.join(F.broadcast(table), list(on), how)
     return split_join(df, table, on, how)

@@ -1,8 +1,9 @@
-"""TF-IDF with a bounded vocabulary: smooth idf, optional sublinear tf, unit length rows.
+"""TF-IDF: smooth idf, optional sublinear tf, unit length rows, a vocabulary of any size.
 
-The vocabulary is found by one partially aggregated count of the terms. It has at most
-``max_features`` terms whatever the corpus, so it travels with the tasks, and weighting a
-text needs no shuffle: a row goes in and its sparse vector comes out, in the JVM.
+The vocabulary is found by one partially aggregated count of the terms. Up to ``HELD_TERMS``
+terms travel with the tasks, and weighting a text needs no shuffle: a row goes in and its
+sparse vector comes out, in the JVM. A larger vocabulary stays a table that is ranked by
+ranges and joined by term, with the same results.
 """
 
 from __future__ import annotations
@@ -13,15 +14,16 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import CountVectorizerModel, StopWordsRemover
-from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from casewise.functions.text import let, term_counts, without, word_ngrams, words
+from casewise.operators.dictionary import ranked_terms
+from casewise.operators.joins import split_join
+from casewise.session import durable
 
-#: A vocabulary is held by every task, so it must be small.
-MAX_VOCABULARY = 100_000
+#: A vocabulary of up to so many terms is held by every task.
+HELD_TERMS = 100_000
 
 
 def english_stop_words() -> list[str]:
@@ -51,6 +53,8 @@ def term_statistics(docs: DataFrame, terms: str = "terms") -> DataFrame:
 
 def vocabulary(docs: DataFrame, max_features: int, min_df: int = 1, terms: str = "terms") -> DataFrame:
     """The most frequent terms with ``cf``, ``df`` and idf = ln((1+N)/(1+df)) + 1."""
+    if max_features > HELD_TERMS:
+        return _term_table(docs, max_features, min_df, terms).select("term", "cf", "df", "idf")
     stats = term_statistics(docs, terms)
     n_docs = docs.agg(F.count(F.lit(1))).scalar()  # counts rows without reading their terms
     return (
@@ -61,6 +65,16 @@ def vocabulary(docs: DataFrame, max_features: int, min_df: int = 1, terms: str =
     )
 
 
+def _term_table(docs: DataFrame, max_features: int, min_df: int, terms: str) -> DataFrame:
+    """term, hash, idx, cf, df, idf of a vocabulary that no task holds."""
+    stats = durable(term_statistics(docs, terms))
+    space = F.lit("all").alias("space")
+    limits = stats.where("term IS NULL").select(
+        space, F.col("df").alias("n_docs"), F.lit(max_features).alias("max_features"), F.lit(min_df).alias("min_df")
+    )
+    return ranked_terms(stats.where("term IS NOT NULL").select(space, "term", "cf", "df"), limits).drop("space")
+
+
 def literal_doubles(values: Sequence[float]) -> Column:
     """A constant array; parsed once when the plan is optimised."""
     return F.from_json(F.lit(json.dumps(list(values))), "array<double>")
@@ -115,18 +129,49 @@ class TfidfModel:
         rows = [(i, t, w) for i, (t, w) in enumerate(zip(self.terms, self.idf))]
         return spark.createDataFrame(rows, "idx int, term string, idf double")
 
-    @staticmethod
-    def from_frame(frame: DataFrame, sublinear: bool) -> TfidfModel:
-        rows = frame.orderBy("idx").collect()  # at most MAX_VOCABULARY rows
-        return TfidfModel([r["term"] for r in rows], [r["idf"] for r in rows], sublinear)
+
+@dataclass
+class TermTable:
+    """A fitted vocabulary as a stored table: term, idx, idf, and the tf scaling."""
+
+    table: DataFrame
+    sublinear: bool = False
+
+    def _postings(self, rows: DataFrame, keys: Sequence[str], terms: str) -> DataFrame:
+        """(keys, term, idx, raw): the known terms of each row; a term that most rows have is split by the join."""
+        found = split_join(rows.select(*keys, F.inline(term_counts(F.col(terms)))), self.table.select("term", "idx", "idf"), ["term"], "inner")
+        tf = 1 + F.log("tf") if self.sublinear else F.col("tf")
+        return found.select(*keys, "term", "idx", (tf * F.col("idf")).alias("raw"))
+
+    def weights(self, df: DataFrame, terms: str = "terms", out: str = "vec") -> DataFrame:
+        """Add ``out``: struct of sorted ``indices`` and unit-length ``weights``."""
+        rows = durable(df.withColumn("_row", F.monotonically_increasing_id()))
+        pairs = F.sort_array(F.collect_list(F.struct("idx", "raw")))
+        length = F.sqrt(F.sum(F.col("raw") * F.col("raw")))
+        vectors = self._postings(rows, ["_row"], terms).groupBy("_row").agg(pairs.alias("_p"), length.alias("_length")).select(
+            "_row",
+            F.struct(
+                F.transform("_p", lambda p: p.idx).alias("indices"), F.transform("_p", lambda p: p.raw / F.col("_length")).alias("weights")
+            ).alias(out),
+        )
+        empty = F.struct(F.array().cast("array<int>").alias("indices"), F.array().cast("array<double>").alias("weights"))
+        return rows.join(vectors, "_row", "left").withColumn(out, F.coalesce(out, empty)).drop("_row")
+
+    def long_table(self, df: DataFrame, id_col: str, terms: str = "terms") -> DataFrame:
+        """X4 as rows (id, term, tfidf)."""
+        rows = df.select(id_col, terms).withColumn("_row", F.monotonically_increasing_id())
+        pairs = F.collect_list(F.struct("term", "raw"))
+        length = F.sqrt(F.sum(F.col("raw") * F.col("raw")))
+        vectors = self._postings(rows, ["_row", id_col], terms).groupBy("_row", id_col).agg(pairs.alias("_p"), length.alias("_length"))
+        return vectors.select(id_col, F.inline(F.transform("_p", lambda p: F.struct(p.term.alias("term"), (p.raw / F.col("_length")).alias("tfidf")))))
 
 
 def fit(
     docs: DataFrame, max_features: int, min_df: int = 1, sublinear: bool = False, terms: str = "terms"
-) -> TfidfModel:
+) -> TfidfModel | TermTable:
     """Fit on a ``terms`` column."""
-    if max_features > MAX_VOCABULARY:
-        raise ValueError(f"a vocabulary is limited to {MAX_VOCABULARY} terms")
+    if max_features > HELD_TERMS:
+        return TermTable(durable(_term_table(docs, max_features, min_df, terms).select("term", "idx", "idf")), sublinear)
     stats = term_statistics(docs, terms)
     # the document count sorts first, so one job brings it with at most max_features terms
     rows = (
@@ -138,18 +183,3 @@ def fit(
     n_docs = rows[0]["df"] if rows else 0
     kept = sorted((r["term"], r["df"]) for r in rows[1:])
     return TfidfModel([t for t, _ in kept], [idf(n_docs, df) for _, df in kept], sublinear)
-
-
-def as_vector(vec: Column, size: int) -> Column:
-    """The struct of ``TfidfModel.weights`` as a Spark ML vector column."""
-    text = F.to_json(
-        F.struct(
-            F.struct(
-                F.lit(0).alias("type"),
-                F.lit(size).alias("size"),
-                vec["indices"].alias("indices"),
-                vec["weights"].alias("values"),
-            ).alias("v")
-        )
-    )
-    return F.from_json(text, T.StructType([T.StructField("v", VectorUDT())]))["v"]

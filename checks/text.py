@@ -71,6 +71,28 @@ def tfidf_terms(spark, sf):
     return rounded(tfidf.fit(docs, 6000, 2, sublinear=True).long_table(docs, "doc_id"), "tfidf")
 
 
+WIDE = 150_000
+
+
+@query(
+    "vocabulary_wide",
+    f"WITH {DOC_GRAMS}, {vocabulary_sql('tf', N_DOCUMENTS, WIDE)} SELECT term, cf, df, round(idf, 6) AS idf FROM vocabulary",
+)
+def vocabulary_wide(spark, sf):
+    """A vocabulary larger than one that tasks hold."""
+    return rounded(tfidf.vocabulary(_document_terms(spark, sf), WIDE), "idf")
+
+
+@query(
+    "tfidf_terms_wide",
+    f"""WITH {DOC_GRAMS}, {vocabulary_sql('tf', N_DOCUMENTS, WIDE)}, {weights_sql('weights', 'tf', 'doc_id', '(1 + ln(tf))')}
+        SELECT doc_id, term, round(w, 6) AS tfidf FROM weights""",
+)
+def tfidf_terms_wide(spark, sf):
+    docs = _document_terms(spark, sf)
+    return rounded(tfidf.fit(docs, WIDE, sublinear=True).long_table(docs, "doc_id"), "tfidf")
+
+
 @query(
     "char_ngrams",
     """WITH labels_ AS (SELECT DISTINCT p_name AS label FROM part),

@@ -40,7 +40,9 @@ def test_L3_plan(calls, rows):
 
 
 def test_L1_L4_L5_levels_fallback_and_unknown(spark, calls, model):
-    assert set(model.levels) == {"Fruits", "Cereals"} and model.fallbacks == {"Spices": "Weather", "Fodder": None}
+    plan = {r["category"]: (r["decision"], r["fallback_label"]) for r in model.plan.collect()}
+    assert plan == {"Fruits": ("train", None), "Cereals": ("train", None), "Spices": ("fallback", "Weather"), "Fodder": ("none", None)}
+    assert model.labels("Cereals") == ["Price", "Rust", "Seed"] and model.labels("Spices") == []
     found = model.predict(calls).collect()
     assert sum(r["pred_category"] == r["category"] for r in found) / len(found) > 0.95
     for r in found:
@@ -61,7 +63,7 @@ def test_L4_one_pass_without_a_shuffle(calls, model):
 def test_S6_save_and_load(spark, calls, model, tmp_path, rows):
     model.save(spark, str(tmp_path))
     loaded = HierarchicalClassifier.load(spark, str(tmp_path))
-    assert (loaded.C, loaded.min_class_count, loaded.fallbacks) == (model.C, model.min_class_count, model.fallbacks)
+    assert (loaded.C, loaded.min_class_count, rows(loaded.plan)) == (model.C, model.min_class_count, rows(model.plan))
     assert rows(loaded.predict(calls)) == rows(model.predict(calls))
 
 
@@ -69,14 +71,14 @@ def test_L6_L7_train_job(spark, calls, tmp_path):
     fitted, scores = jobs.train_job(calls, str(tmp_path / "m"), str(tmp_path / "s"), max_iter=10)
     found = {r["level"]: r for r in scores.collect()}
     assert found["category"]["n"] == 15 and found["category"]["accuracy"] > 0.8
-    assert "Rare/Other" in fitted.category.classes and "Fodder" not in fitted.category.classes
+    assert "Rare/Other" in fitted.labels() and "Fodder" not in fitted.labels()
     assert spark.read.json(str(tmp_path / "s")).count() == 2
 
 
 def test_L7_gold_calls_can_be_kept_out(spark, calls, tmp_path):
     gold = calls.where(F.col("category") == "Spices").select("call_id")
     fitted, _ = jobs.train_job(calls, str(tmp_path / "m"), str(tmp_path / "s"), exclude_ids=gold, max_iter=5)
-    assert "Spices" not in fitted.category.classes
+    assert "Spices" not in fitted.labels()
 
 
 def test_L8_comparison_job(spark, calls, model, tmp_path):

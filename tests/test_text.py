@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from casewise.functions import numeric, text
-from casewise.operators import mismatch, retrieval, tfidf, topk
+from casewise.operators import dictionary, mismatch, retrieval, tfidf, topk
 
 DOCS = {
     1: "Leaf rust on wheat leaf, what to spray?",
@@ -130,11 +130,34 @@ def test_X4_transform_has_no_shuffle(docs):
     assert "Exchange" not in plan
 
 
-def test_X4_vector_round_trip(docs):
+@pytest.mark.parametrize("options", [{}, {"max_features": 7}, {"min_df": 2, "sublinear": True}])
+def test_X3_X4_a_vocabulary_that_no_task_holds(docs, options, monkeypatch):
+    """Terms ranked by ranges and joined: the same vocabulary and weights, without terms in the driver or in the plan."""
     terms = docs.withColumn("terms", tfidf.text_terms(F.col("text")))
-    model = tfidf.fit(terms, 100)
-    row = model.weights(terms).select("vec", tfidf.as_vector(F.col("vec"), len(model.terms)).alias("v")).first()
-    assert list(row["v"].indices) == row["vec"]["indices"] and list(row["v"].values) == row["vec"]["weights"]
+    wanted = (options.get("max_features", 100), options.get("min_df", 1))
+    held = tfidf.vocabulary(terms, *wanted).collect()
+    monkeypatch.setattr(tfidf, "HELD_TERMS", 5)
+    assert sorted(map(tuple, tfidf.vocabulary(terms, *wanted).collect())) == sorted(map(tuple, held))
+    model = tfidf.fit(terms, *wanted, options.get("sublinear", False))
+    assert isinstance(model, tfidf.TermTable)
+    expected = python_tfidf({d: python_terms(t) for d, t in DOCS.items()}, **options)
+    found = {d: {} for d in DOCS}
+    for r in model.long_table(terms, "id").collect():
+        found[r["id"]][r["term"]] = r["tfidf"]
+    names = {r["idx"]: r["term"] for r in model.table.collect()}
+    assert sorted(names) == list(range(len(names)))
+    vectors = {r["id"]: dict(zip(r["vec"]["indices"], r["vec"]["weights"])) for r in model.weights(terms).collect()}
+    for d in DOCS:
+        assert found[d] == pytest.approx(expected[d])
+        assert {names[i]: w for i, w in vectors[d].items()} == pytest.approx(expected[d])
+
+
+def test_X3_numbers_are_dense_whatever_the_ranges(spark):
+    rows = spark.range(5000).select(F.pmod(F.xxhash64("id"), F.lit(700)).alias("a"), "id")
+    found = dictionary.numbered(rows, F.desc("a"), F.asc("id")).orderBy("number").collect()
+    assert [r["number"] for r in found] == list(range(5000))
+    assert [(-r["a"], r["id"]) for r in found] == sorted((-r["a"], r["id"]) for r in found)
+    assert dictionary.numbered(rows.where("id < 0"), F.asc("id")).count() == 0
 
 
 def test_X5_mismatch(spark):
