@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from casewise.functions.numeric import dense_dot, softmax_at
 from casewise.functions.text import char_ngrams, term_counts
-from casewise.operators import mismatch, retrieval, tfidf
+from casewise.operators import hierarchy, mismatch, retrieval, tfidf
 from casewise.operators.hierarchy import HierarchicalClassifier, evaluate_against_gold
 from casewise.plans import jobs, reports
-from casewise.session import durable
+from casewise.session import durable, shared_folder
 from casewise.sources.tables import spread
 from checks.common import QUESTION_ANSWERS, query, question_answers, rounded, table
 
@@ -292,6 +295,115 @@ def _labelled(spark, sf):
     )
 
 
+#: Weights of a space as a formula of the term's and the class's place, in Spark and in SQL.
+TOP_WEIGHT, PAIR_WEIGHT, THREE_WEIGHT = "((i * 7 + k * 13) % 11 - 5) / 10.0D", "((i * 5) % 7 - 3) / 5.0D", "((i * 3 + k * 5) % 13 - 6) / 8.0D"
+_SQL_WEIGHTS = [w.replace("10.0D", "10.0::DOUBLE").replace("5.0D", "5.0::DOUBLE").replace("8.0D", "8.0::DOUBLE") for w in (TOP_WEIGHT, PAIR_WEIGHT, THREE_WEIGHT)]
+
+
+def _given_model(spark, sf):
+    """A model from given tables: 500 terms for the languages; 200 for the texts of two of them, a fallback for one."""
+    docs = _document_terms(spark, sf)
+    order = Window.orderBy(F.desc("cf"), "term")  # 500 rows
+    terms = durable(tfidf.vocabulary(docs, 500, 2).select("term", (F.row_number().over(order) - 1).alias("idx"), "idf"))
+    langs = table(spark, sf, "documents").where("lang IS NOT NULL").select(F.col("lang").alias("label")).distinct()
+    top = langs.select(
+        F.lit(hierarchy.TOP).alias("space"), (F.row_number().over(Window.orderBy("label")) - 1).alias("place"), "label",
+        F.lit(500).alias("width"), F.lit(TOP_WEIGHT).alias("kind"), F.lit(0.1).alias("step"),
+    )
+    within = f"""SELECT * FROM VALUES
+        ('{hierarchy.WITHIN}de', 0, 'quality 0', 200, 'none', 0.0D), ('{hierarchy.WITHIN}de', 1, 'quality 1', 200, 'pair', -0.1D),
+        ('{hierarchy.WITHIN}en', 0, 'a', 200, 'three', 0.2D), ('{hierarchy.WITHIN}en', 1, 'b', 200, 'three', 0.2D),
+        ('{hierarchy.WITHIN}en', 2, 'c', 200, 'three', 0.2D) AS t(space, place, label, width, kind, step)"""
+    places = F.sequence(F.lit(0), F.col("width") - 1)
+    weight = F.expr(f"""CASE kind WHEN 'pair' THEN transform(places, i -> {PAIR_WEIGHT}) WHEN 'three' THEN transform(places, i -> {THREE_WEIGHT})
+        WHEN 'none' THEN NULL ELSE transform(places, i -> {TOP_WEIGHT}) END""")
+    n_terms = terms.count()
+    classes = top.unionByName(spark.sql(within)).withColumns({"width": F.least("width", F.lit(n_terms)), "k": F.col("place")}).withColumn("places", places)
+    classes = classes.select("space", "place", "label", weight.alias("weights"), (F.col("place") * F.col("step")).alias("intercept"))
+    spaces = F.explode(F.array(*(F.lit(x) for x in (hierarchy.TOP, f"{hierarchy.WITHIN}de", f"{hierarchy.WITHIN}en"))))
+    terms = terms.withColumn("space", spaces).where((F.col("space") == hierarchy.TOP) | (F.col("idx") < 200))
+    plan = spark.sql("SELECT 'es' AS category, 'fallback' AS decision, 'only' AS fallback_label")
+    return HierarchicalClassifier(terms=terms.select("space", "term", "idx", "idf"), classes=classes, plan=plan)
+
+
+SCORED = f"""WITH {DOC_GRAMS}, {vocabulary_sql('tf', N_DOCUMENTS, 500, 2)},
+numbered AS (SELECT *, row_number() OVER (ORDER BY cf DESC, term) - 1 AS i FROM vocabulary),
+raw AS (SELECT doc_id, i, (1 + ln(tf)) * idf AS w FROM tf JOIN numbered USING (term)),
+wide AS (SELECT doc_id, i, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS w FROM raw),
+narrow AS (SELECT doc_id, i, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS w FROM raw WHERE i < 200),
+langs AS (SELECT lang AS label, row_number() OVER (ORDER BY lang) - 1 AS k FROM (SELECT DISTINCT lang FROM documents WHERE lang IS NOT NULL)),
+top AS (
+  SELECT d.doc_id, k, label, k * 0.1 + coalesce(sum(w * ({_SQL_WEIGHTS[0]})), 0) AS m
+  FROM documents d CROSS JOIN langs LEFT JOIN wide v ON v.doc_id = d.doc_id GROUP BY d.doc_id, k, label),
+category AS (
+  SELECT doc_id, arg_min(label, (-m, k)) AS label, 1 / sum(exp(m - best)) AS confidence
+  FROM (SELECT *, max(m) OVER (PARTITION BY doc_id) AS best FROM top) GROUP BY doc_id),
+pair AS (
+  SELECT c.doc_id, -0.1 + coalesce(sum(w * ({_SQL_WEIGHTS[1]})), 0) AS m
+  FROM category c LEFT JOIN narrow v ON v.doc_id = c.doc_id WHERE c.label = 'de' GROUP BY c.doc_id),
+three AS (
+  SELECT c.doc_id, k, k * 0.2 + coalesce(sum(w * ({_SQL_WEIGHTS[2]})), 0) AS m
+  FROM category c CROSS JOIN (SELECT unnest([0, 1, 2]) AS k) LEFT JOIN narrow v ON v.doc_id = c.doc_id WHERE c.label = 'en' GROUP BY c.doc_id, k),
+query_type AS (
+  SELECT doc_id, CASE WHEN m > 0 THEN 'quality 1' ELSE 'quality 0' END AS label, 1 / (1 + exp(-abs(m))) AS confidence FROM pair
+  UNION ALL
+  SELECT doc_id, ['a', 'b', 'c'][arg_min(k, (-m, k)) + 1], 1 / sum(exp(m - best))
+  FROM (SELECT *, max(m) OVER (PARTITION BY doc_id) AS best FROM three) GROUP BY doc_id)
+SELECT doc_id, c.label AS pred_category, coalesce(q.label, CASE WHEN c.label = 'es' THEN 'only' ELSE 'UNKNOWN' END) AS pred_query_type,
+  round(c.confidence, 6) AS category_confidence, round(q.confidence, 6) AS query_type_confidence
+FROM category c LEFT JOIN query_type q USING (doc_id)"""
+
+
+def _given_labels(spark, sf, **how):
+    model = _given_model(spark, sf)
+    routed = HierarchicalClassifier(terms=model.terms, classes=model.classes, plan=model.plan, **how)
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    return rounded(routed.predict(docs, "text").drop("text"), "category_confidence", "query_type_confidence")
+
+
+@query("score_given_weights", SCORED)
+def score_given_weights(spark, sf):
+    """Labels and confidences of both levels from given tables of terms and weights, in one pass."""
+    return _given_labels(spark, sf)
+
+
+@query("score_by_routing", SCORED)
+def score_by_routing(spark, sf):
+    """The same with rows shuffled to the model of their category, hot categories in parts."""
+    return _given_labels(spark, sf, broadcast_bytes=0, part_rows=100)
+
+
+@query("saved_model", SCORED)
+def saved_model(spark, sf):
+    """The model written as tables, read back and used."""
+    path = f"{shared_folder(spark)}/model-{uuid.uuid4().hex}"
+    _given_model(spark, sf).save(spark, path)
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    found = HierarchicalClassifier.load(spark, path).predict(docs, "text").drop("text")
+    return rounded(found, "category_confidence", "query_type_confidence")
+
+
+@query(
+    "scores_of_labels",
+    f"""WITH scored AS ({SCORED}), pairs AS (
+          SELECT 'category' AS level, lang AS truth, pred_category AS guess FROM scored JOIN documents USING (doc_id)
+          UNION ALL SELECT 'query_type', 'quality ' || (n_chars % 2), pred_query_type FROM scored JOIN documents USING (doc_id)),
+        labels_ AS (SELECT level, truth AS l FROM pairs UNION SELECT level, guess FROM pairs),
+        per AS (SELECT level, l, (SELECT count(*) FROM pairs p WHERE p.level = x.level AND truth = l AND guess = l) AS hit,
+          (SELECT count(*) FROM pairs p WHERE p.level = x.level AND truth = l) AS n,
+          (SELECT count(*) FROM pairs p WHERE p.level = x.level AND guess = l) AS said FROM labels_ x)
+        SELECT level, CAST(sum(n) AS BIGINT) AS n, round(sum(hit) / sum(n), 6) AS accuracy,
+          round(avg(CASE WHEN n + said > 0 THEN 2 * hit / (n + said) ELSE 0 END), 6) AS macro_f1 FROM per GROUP BY level""",
+)
+def scores_of_labels(spark, sf):
+    """Accuracy and macro-F1 of both levels, of the labels that given weights give."""
+    gold = spread(table(spark, sf, "documents")).select(
+        F.col("text").alias("question"), F.col("lang").alias("category"),
+        F.concat(F.lit("quality "), (F.col("n_chars") % 2).cast("string")).alias("query_type"),
+    )
+    return rounded(evaluate_against_gold(_given_model(spark, sf), gold), "accuracy", "macro_f1")
+
+
 @query("hier_predict")
 def hier_predict(spark, sf):
     """Train on the labelled documents and label every document; model results have no SQL."""
