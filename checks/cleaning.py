@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from casewise.functions.text import percent, plural, strip, truncate
 from casewise.operators import cleaning, extraction, hierarchy, labels, metrics, sampling
 from casewise.plans import jobs
+from casewise.session import durable
 from checks.common import DOCUMENT_CALLS, document_calls, query, rounded, table
 
 LATIN_1_LETTERS = (0x00C0, 0x00FF)
@@ -443,19 +444,79 @@ def text_expressions(spark, sf):
     )
 
 
-@query("label_merge")
+def merge_sql(labels_: str, distance: float) -> str:
+    """CTEs up to ``label_map`` (raw_label, canonical) of ``labels_`` (label, n): average linkage, all mutual pairs a round."""
+    return f"""
+grams_words AS (SELECT label, ' ' || unnest(list_filter(string_split(lower(label), ' '), lambda w: w <> '')) || ' ' AS w FROM {labels_}),
+grams_sized AS (SELECT label, w, unnest([2, 3, 4]) AS n FROM grams_words),
+grams_placed AS (SELECT label, w, n, unnest(range(1, length(w) - n + 2)) AS i FROM grams_sized WHERE n <= length(w)),
+grams AS (SELECT label, substring(w, i, n) AS term, count(*) AS tf FROM grams_placed GROUP BY ALL),
+seen AS (SELECT term, count(*) AS df FROM grams GROUP BY term),
+weighted AS (
+  SELECT label, term, tf * (ln((1 + (SELECT count(*) FROM {labels_})) / (1 + df)) + 1) AS w FROM grams JOIN seen USING (term)),
+unit AS (SELECT label, term, w / sqrt(sum(w * w) OVER (PARTITION BY label)) AS w FROM weighted),
+cosines AS (SELECT a.label AS x, b.label AS y, sum(a.w * b.w) AS s FROM unit a JOIN unit b USING (term) GROUP BY ALL),
+similar_ AS MATERIALIZED (
+  SELECT a.label AS x, b.label AS y, coalesce(s, 0) AS s
+  FROM {labels_} a CROSS JOIN {labels_} b LEFT JOIN cosines c ON c.x = a.label AND c.y = b.label),
+rounds(step, label, cluster) AS (
+  SELECT 0, label, label FROM {labels_}
+  UNION ALL
+  (WITH means AS (
+     SELECT a.cluster AS x, b.cluster AS y, round(avg(s), 9) AS m
+     FROM rounds a JOIN similar_ ON similar_.x = a.label JOIN rounds b ON similar_.y = b.label
+     WHERE a.cluster <> b.cluster GROUP BY ALL),
+   near AS (SELECT x, arg_min(y, (-m, y)) AS y FROM means WHERE m > {1 - distance!r}::DOUBLE GROUP BY x),
+   pairs AS (SELECT p.x AS kept, p.y AS gone FROM near p JOIN near q ON p.x = q.y AND p.y = q.x WHERE p.x < p.y)
+   SELECT step + 1, label, coalesce(kept, cluster) FROM rounds LEFT JOIN pairs ON gone = cluster
+   WHERE (SELECT count(*) FROM pairs) > 0)),
+clusters AS (SELECT label, cluster FROM rounds WHERE step = (SELECT max(step) FROM rounds)),
+label_map AS (
+  SELECT label AS raw_label, first_value(label) OVER (PARTITION BY cluster ORDER BY n DESC, label) AS canonical
+  FROM clusters JOIN {labels_} USING (label))"""
+
+
+CLEAN_JOB_RULES = (
+    r"state IN ('en', 'fr') AND created_on <= '2024-02-20' AND NOT regexp_matches(answer, '[\x{0900}-\x{097F}\x{0D00}-\x{0D7F}]')"
+)
+PART_NAMES = f"""WITH RECURSIVE names_ AS (SELECT p_name AS label, count(*) AS n FROM part WHERE p_name IS NOT NULL GROUP BY 1),
+{merge_sql("names_", 0.6)}"""
+
+
+@query("label_merge", f"{PART_NAMES} SELECT raw_label, canonical FROM label_map")
 def label_merge(spark, sf):
-    """Iterative clustering: no SQL; the tests compare it with a brute-force linkage."""
     return labels.label_map(table(spark, sf, "part"), "p_name", 0.6)
 
 
-@query("merged_rows")
+@query(
+    "merged_rows",
+    f"{PART_NAMES} SELECT p_partkey, canonical AS p_name, p_name AS p_name_raw FROM part LEFT JOIN label_map ON p_name = raw_label",
+)
 def merged_rows(spark, sf):
     parts = table(spark, sf, "part").select("p_partkey", "p_name")
     return labels.merge_near_duplicate_labels(parts, "p_name", 0.6)
 
 
-@query("clean_job")
+@query(
+    "similar_labels",
+    f"{PART_NAMES} SELECT x AS a, y AS b, round(s, 6) AS similarity, round(1 - s, 6) AS distance FROM similar_ WHERE x < y AND s > 0.35",
+)
+def similar_labels(spark, sf):
+    """M5: pairs of labels by the distance of their spelling."""
+    names = table(spark, sf, "part").select(F.col("p_name").alias("label")).where("label IS NOT NULL").distinct()
+    pairs = labels.similar_pairs(durable(labels.label_vectors(names)), 0.35)
+    return rounded(pairs.withColumn("distance", 1 - F.col("similarity")), "similarity", "distance")
+
+
+@query(
+    "clean_job",
+    f"""WITH RECURSIVE {DOCUMENT_CALLS},
+advisory AS (SELECT * FROM clean WHERE {CLEAN_JOB_RULES}),
+names_ AS (SELECT query_type AS label, count(*) AS n FROM advisory WHERE query_type IS NOT NULL GROUP BY 1),
+{merge_sql("names_", labels.DISTANCE)}
+SELECT call_id, crop, canonical AS query_type, query_type AS query_type_raw, created_on
+FROM advisory LEFT JOIN label_map ON query_type = raw_label""",
+)
 def clean_job(spark, sf):
     """The whole cleaning job, label merge included."""
     return jobs.clean_calls(document_calls(spark, sf), states=["en", "fr"], end_date="2024-02-20").select(

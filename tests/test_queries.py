@@ -19,7 +19,7 @@ def connection():
 def test_every_sql_has_its_query():
     assert set(SQL) <= set(registered.queries())
     assert set(registered.queries()) - set(registered.LLM_QUERIES) - set(SQL) == {
-        "label_merge", "merged_rows", "clean_job", "hier_predict", "hier_scores", "answer_queries",
+        "hier_predict", "hier_scores", "answer_queries",
     }
 
 
