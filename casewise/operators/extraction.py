@@ -1,7 +1,14 @@
-"""Structured extraction: prompt, responder, strict parsing of the responses, consistency."""
+"""Structured extraction: prompt, responder, strict parsing of the responses, consistency.
+
+A request is a distinct prompt and the number of its repeat. Each is asked once, however many calls have it, and its
+answer or failure is a row of a table in a folder all machines share. A later run over the same folder asks only what
+has no answer yet, and a task has few requests, so that a lost executor repeats little.
+"""
 
 from __future__ import annotations
 
+import math
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -10,7 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casewise.functions.text import fill, let
+from casewise.operators.joins import split_join
 from casewise.operators.metrics import vote_agreement
+from casewise.session import durable, shared_folder
+from casewise.sources.tables import read_optional
 
 # The record format that responses are held to.
 CATEGORIES = (
@@ -24,6 +34,9 @@ CATEGORIES = (
 SIGNALS = ("resolved", "unresolved", "unclear")
 DEFAULTS = {"category": "Other", "crop": "Unknown", "issue": "unspecified", "resolution_signal": "unclear"}
 RAW_HEAD = 200
+#: Requests of a task.
+TASK_REQUESTS = 1_000
+ANSWERS = "digest string, repeat int, raw string, error string, attempt int"
 
 PROMPT = """Extract one structured event from this helpline call.
 Reply with a single JSON object and no other text. Its fields:
@@ -109,6 +122,39 @@ def respond(prompts: DataFrame, responder: Callable[[list[str]], list[str]], bat
     return prompts.mapInPandas(run, T.StructType(prompts.schema.fields + added))
 
 
+def ask(
+    prompts: DataFrame, responder: Callable[[list[str]], list[str]], folder: str | None = None, batch: int = 16,
+    task_requests: int = TASK_REQUESTS,
+) -> DataFrame:
+    """``prompts`` with ``raw`` and ``error``; the column ``repeat``, if there is one, tells equal requests apart.
+
+    ``folder`` holds the answers of earlier runs and gets those of this one; without it, a new one is taken. A null prompt
+    is not asked and has a null answer. A request that failed in all runs has the error of the last one.
+    """
+    spark = prompts.sparkSession
+    folder = folder or f"{shared_folder(spark)}/answers-{uuid.uuid4().hex}"
+    key = ["digest", "repeat"]
+    repeat = F.col("repeat").cast("int") if "repeat" in prompts.columns else F.lit(0)
+    asked = prompts.withColumns({"digest": F.sha2("prompt", 256), "repeat": repeat})
+    past = read_optional(spark, folder)
+    if past is None:
+        past = spark.createDataFrame([], ANSWERS)
+    tried = past.groupBy(*key).agg(F.max("attempt").alias("attempt"), F.count_if(F.col("error").isNull()).alias("n_good"))
+    requests = asked.where(F.col("prompt").isNotNull()).groupBy(*key).agg(F.max("prompt").alias("prompt"))
+    todo = durable(requests.join(tried, key, "left").where(F.coalesce("n_good", F.lit(0)) == 0).drop("n_good"))
+    n = todo.count()
+    if n:
+        number = (F.coalesce("attempt", F.lit(0)) + 1).cast("int").alias("attempt")
+        found = respond(todo.repartition(math.ceil(n / task_requests)), responder, batch)
+        found.select(*key, "raw", "error", number).write.mode("append").parquet(folder)
+    every = spark.read.schema(ANSWERS).parquet(folder) if n else past
+    best = every.groupBy(*key).agg(
+        F.min_by(F.struct("raw", "error"), F.struct(F.col("error").isNotNull(), -F.col("attempt"))).alias("_a")
+    )
+    joined = split_join(asked, best, key, "left").withColumns({"raw": F.col("_a.raw"), "error": F.col("_a.error")})
+    return joined.select(*prompts.columns, "raw", "error")
+
+
 def first_rows(df: DataFrame, n: int, by: str) -> DataFrame:
     """The ``n`` first rows in the order of ``by``."""
     return df.orderBy(by).limit(n)
@@ -121,11 +167,15 @@ def run_extraction(
     question: str = "question",
     answer: str = "answer",
     n: int | None = None,
+    answers: str | None = None,
 ) -> DataFrame:
-    """One extracted record per call, carrying the call id."""
+    """One extracted record per call, carrying the call id.
+
+    ``answers`` is a folder that keeps answers, so that a run after a failed one asks only for the rest.
+    """
     rows = calls if n is None else first_rows(calls, n, id_col)
     asked = rows.select(id_col, prompt(F.col(question), F.col(answer)).alias("prompt"))
-    return parse_responses(respond(asked, responder), id_col, "raw", "error")
+    return parse_responses(ask(asked, responder, answers), id_col, "raw", "error")
 
 
 def parse_responses(responses: DataFrame, id_col: str, raw: str = "raw", error: str | None = None) -> DataFrame:
@@ -142,6 +192,7 @@ def consistency_check(
     id_col: str = "call_id",
     question: str = "question",
     answer: str = "answer",
+    answers: str | None = None,
 ) -> DataFrame:
     """Ask each of the first calls (None: all) several times; how often do the values agree?"""
     repeats = F.explode(F.sequence(F.lit(1), F.lit(n_repeats))).alias("repeat")
@@ -149,5 +200,5 @@ def consistency_check(
     asked = rows.select(
         id_col, prompt(F.col(question), F.col(answer)).alias("prompt"), repeats
     )
-    votes = parse_responses(respond(asked, responder), id_col, "raw", "error")
+    votes = parse_responses(ask(asked, responder, answers), id_col, "raw", "error")
     return vote_agreement(votes, id_col, ["category", "resolution_signal"])

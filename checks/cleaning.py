@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from casewise.functions.text import percent, plural, strip, truncate
 from casewise.operators import cleaning, extraction, hierarchy, labels, metrics, sampling
 from casewise.plans import jobs
-from casewise.session import durable
+from casewise.session import durable, shared_folder
 from checks.common import DOCUMENT_CALLS, document_calls, query, rounded, table
 
 LATIN_1_LETTERS = (0x00C0, 0x00FF)
@@ -416,6 +418,34 @@ def run_extraction(spark, sf):
     return extraction.run_extraction(docs, _stub, id_col="doc_id", question="text", answer="source")
 
 
+EXTRACTED = f"""SELECT doc_id, CASE WHEN (length(text) + length(source) + {len(PROMPT_HEAD) + 10}) % 2 = 1 THEN 'Weather'
+        ELSE 'Other' END AS category, 'Unknown' AS crop, 'unspecified' AS issue, 'resolved' AS resolution_signal,
+        false AS parse_error, CAST(NULL AS VARCHAR) AS raw_head FROM documents"""
+
+
+@query("extract_first", f"{EXTRACTED} ORDER BY doc_id LIMIT 25")
+def extract_first(spark, sf):
+    """Only the first calls are asked for."""
+    docs = table(spark, sf, "documents")
+    return extraction.run_extraction(docs, _stub, id_col="doc_id", question="text", answer="source", n=25)
+
+
+def _failing(texts: list[str]) -> list[str]:
+    """A responder that is down for some prompts."""
+    if any(len(t) % 5 == 0 for t in texts):
+        raise RuntimeError("no answer")
+    return _stub(texts)
+
+
+@query("resumed_extraction", EXTRACTED)
+def resumed_extraction(spark, sf):
+    """A run in which many batches fail, and a second one that asks only for the rest."""
+    docs, folder = table(spark, sf, "documents"), f"{shared_folder(spark)}/answers-{uuid.uuid4().hex}"
+    how = {"id_col": "doc_id", "question": "text", "answer": "source", "answers": folder}
+    extraction.run_extraction(docs, _failing, **how).write.format("noop").mode("overwrite").save()
+    return extraction.run_extraction(docs, _stub, **how)
+
+
 @query(
     "consistency_check",
     """SELECT unnest(['category', 'resolution_signal']) AS field, count(*) AS n_records, 3 AS n_repeats,

@@ -93,3 +93,45 @@ def test_J4_consistency(calls):
     found = {r["field"]: r for r in report.collect()}
     assert found["resolution_signal"]["mean_agreement"] == 1
     assert found["category"]["n_records"] == 4 and found["category"]["mean_agreement"] < 1
+
+
+def counting(path, down=()):
+    """A responder that notes each prompt it sees and fails for some."""
+    def responder(texts):
+        with open(path, "a") as f:
+            f.writelines(f"{t}\n" for t in texts)
+        if any(d in t for t in texts for d in down):
+            raise RuntimeError("down")
+        return [f"reply to {t}" for t in texts]
+
+    return responder
+
+
+def test_J3_each_distinct_prompt_is_asked_once_and_only_what_failed_again(spark, tmp_path, rows):
+    prompts = [f"p{i % 7}" for i in range(60)] + [None]
+    frame = spark.createDataFrame(list(enumerate(prompts)), "id int, prompt string").repartition(5)
+    clean, folder = str(tmp_path / "clean"), str(tmp_path / "answers")
+    wanted = rows(extraction.ask(frame, counting(tmp_path / "a"), clean))
+    assert sorted((tmp_path / "a").read_text().split()) == [f"p{i}" for i in range(7)]
+    assert [r for r in wanted if r[1] is None] == [(60, None, None, None)]
+    assert all(r[2] == f"reply to {r[1]}" and r[3] is None for r in wanted if r[1])
+    first = rows(extraction.ask(frame, counting(tmp_path / "b", ["p3", "p5"]), folder, batch=1))
+    assert {(r[1], r[3]) for r in first if r[3]} == {("p3", "down"), ("p5", "down")}
+    assert rows(extraction.ask(frame, counting(tmp_path / "c"), folder)) == wanted
+    assert sorted((tmp_path / "c").read_text().split()) == ["p3", "p5"]
+    assert rows(extraction.ask(frame, counting(tmp_path / "d"), folder)) == wanted and not (tmp_path / "d").exists()
+    more = frame.union(spark.createDataFrame([(99, "new")], frame.schema))
+    assert len(rows(extraction.ask(more, counting(tmp_path / "e"), folder))) == 62 and (tmp_path / "e").read_text() == "new\n"
+    attempts = {(r["error"], r["attempt"]) for r in spark.read.parquet(folder).collect()}
+    assert attempts == {(None, 1), ("down", 1), (None, 2)}
+
+
+def test_J4_repeats_are_requests_of_their_own(spark, tmp_path):
+    calls = spark.createDataFrame([(1, "q", "a"), (2, "q", "a"), (3, "other", "a")], "call_id int, question string, answer string")
+    extraction.consistency_check(calls, lambda texts: counting(tmp_path / "n")([t.split()[-1] for t in texts]), None, 3).collect()
+    assert len((tmp_path / "n").read_text().split()) == 2 * 3
+
+
+def test_J3_no_prompts(spark, tmp_path):
+    empty = spark.createDataFrame([], "id int, prompt string")
+    assert extraction.ask(empty, counting(tmp_path / "z"), str(tmp_path / "none")).collect() == []
