@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casewise.operators import tfidf
+from casewise.operators import inverted, tfidf
 from casewise.operators.joins import BROADCAST_ROWS
 from casewise.operators.topk import top_k
 from casewise.session import durable
@@ -40,7 +40,7 @@ class TfidfRetriever:
         self.corpus, self.text_col, self.id_col = corpus, text_col, id_col
         docs = corpus.select(F.col(id_col).alias("id"), self._terms(text_col))
         self.model = tfidf.fit(docs, self.max_features)
-        self.index = self._vectors(docs)
+        self.index, self.lists = self._vectors(docs), None
         return self
 
     def _terms(self, text_col: str):
@@ -55,13 +55,18 @@ class TfidfRetriever:
         self.index = self.index.sparkSession.read.parquet(path)
         return self
 
+    def save_lists(self, path: str) -> TfidfRetriever:
+        """Keep an inverted index as well: queries then read the tops of the lists of their terms."""
+        self.lists = inverted.build(self.index, path)
+        return self
+
     def query(
         self, queries: DataFrame, k: int = 5, text_col: str = "text", query_id: str = "query_id",
         payload: Sequence[str] = PAYLOAD,
     ) -> DataFrame:
         """Per query the k most similar rows; terms the corpus does not have are ignored."""
         asked = self._vectors(queries.select(F.col(query_id).alias("id"), self._terms(text_col)))
-        best = top_k(self.index, asked, k)
+        best = self.lists.top_k(asked, k) if self.lists else top_k(self.index, asked, k)
         return _with_payload(best, self.corpus, self.id_col, payload)
 
 

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from casewise.functions.numeric import dense_dot, softmax_at
 from casewise.functions.text import char_ngrams, term_counts
-from casewise.operators import hierarchy, mismatch, retrieval, tfidf
+from casewise.operators import cleaning, hierarchy, mismatch, retrieval, tfidf
 from casewise.operators.hierarchy import HierarchicalClassifier, evaluate_against_gold
 from casewise.plans import jobs, reports
 from casewise.session import durable, shared_folder
-from casewise.sources.tables import spread
-from checks.common import QUESTION_ANSWERS, query, question_answers, rounded, table
+from casewise.sources.tables import read_table, spread
+from checks.cleaning import SPLIT
+from checks.common import CASES, DOCUMENT_CALLS, QUESTION_ANSWERS, document_calls, query, question_answers, rounded, table
 
 STOP = ("the", "of", "and", "to", "in", "is", "la", "le", "de", "der", "die", "und", "el", "que")
 _STOP_SQL = ", ".join(f"'{w}'" for w in STOP)
@@ -248,6 +249,19 @@ def retrieve_tfidf(spark, sf):
     return rounded(found, "similarity")
 
 
+@query(
+    "retrieve_indexed",
+    f"""{RETRIEVED} SELECT item_id AS query_id, doc_id, source AS crop, lang AS category,
+        round(similarity, 6) AS similarity, rank FROM found JOIN documents USING (doc_id)""",
+)
+def retrieve_indexed(spark, sf):
+    """The same from an inverted index whose lists are read from the top."""
+    found = _retriever(spark, sf).save_lists(f"{shared_folder(spark)}/lists-{uuid.uuid4().hex}").query(
+        _asked(spark, sf), 5, payload=("crop", "category")
+    )
+    return rounded(found, "similarity")
+
+
 @query(
     "retrieve_embedding",
     """WITH sims AS (
@@ -326,32 +340,37 @@ def _given_model(spark, sf):
     return HierarchicalClassifier(terms=terms.select("space", "term", "idx", "idf"), classes=classes, plan=plan)
 
 
-SCORED = f"""WITH {DOC_GRAMS}, {vocabulary_sql('tf', N_DOCUMENTS, 500, 2)},
+def scored_sql(asked: str, key: str) -> str:
+    """Labels of the texts of a table by the given model, whose terms come from the documents."""
+    return f"""WITH {DOC_GRAMS}, {vocabulary_sql('tf', N_DOCUMENTS, 500, 2)}, {grams_sql('asked_tf', asked, 'text', key)},
 numbered AS (SELECT *, row_number() OVER (ORDER BY cf DESC, term) - 1 AS i FROM vocabulary),
-raw AS (SELECT doc_id, i, (1 + ln(tf)) * idf AS w FROM tf JOIN numbered USING (term)),
-wide AS (SELECT doc_id, i, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS w FROM raw),
-narrow AS (SELECT doc_id, i, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS w FROM raw WHERE i < 200),
+raw AS (SELECT {key}, i, (1 + ln(asked_tf.tf)) * idf AS w FROM asked_tf JOIN numbered USING (term)),
+wide AS (SELECT {key}, i, w / sqrt(sum(w * w) OVER (PARTITION BY {key})) AS w FROM raw),
+narrow AS (SELECT {key}, i, w / sqrt(sum(w * w) OVER (PARTITION BY {key})) AS w FROM raw WHERE i < 200),
 langs AS (SELECT lang AS label, row_number() OVER (ORDER BY lang) - 1 AS k FROM (SELECT DISTINCT lang FROM documents WHERE lang IS NOT NULL)),
 top AS (
-  SELECT d.doc_id, k, label, k * 0.1 + coalesce(sum(w * ({_SQL_WEIGHTS[0]})), 0) AS m
-  FROM documents d CROSS JOIN langs LEFT JOIN wide v ON v.doc_id = d.doc_id GROUP BY d.doc_id, k, label),
+  SELECT d.{key}, k, label, k * 0.1 + coalesce(sum(w * ({_SQL_WEIGHTS[0]})), 0) AS m
+  FROM {asked} d CROSS JOIN langs LEFT JOIN wide v ON v.{key} = d.{key} GROUP BY d.{key}, k, label),
 category AS (
-  SELECT doc_id, arg_min(label, (-m, k)) AS label, 1 / sum(exp(m - best)) AS confidence
-  FROM (SELECT *, max(m) OVER (PARTITION BY doc_id) AS best FROM top) GROUP BY doc_id),
+  SELECT {key}, arg_min(label, (-m, k)) AS label, 1 / sum(exp(m - best)) AS confidence
+  FROM (SELECT *, max(m) OVER (PARTITION BY {key}) AS best FROM top) GROUP BY {key}),
 pair AS (
-  SELECT c.doc_id, -0.1 + coalesce(sum(w * ({_SQL_WEIGHTS[1]})), 0) AS m
-  FROM category c LEFT JOIN narrow v ON v.doc_id = c.doc_id WHERE c.label = 'de' GROUP BY c.doc_id),
+  SELECT c.{key}, -0.1 + coalesce(sum(w * ({_SQL_WEIGHTS[1]})), 0) AS m
+  FROM category c LEFT JOIN narrow v ON v.{key} = c.{key} WHERE c.label = 'de' GROUP BY c.{key}),
 three AS (
-  SELECT c.doc_id, k, k * 0.2 + coalesce(sum(w * ({_SQL_WEIGHTS[2]})), 0) AS m
-  FROM category c CROSS JOIN (SELECT unnest([0, 1, 2]) AS k) LEFT JOIN narrow v ON v.doc_id = c.doc_id WHERE c.label = 'en' GROUP BY c.doc_id, k),
+  SELECT c.{key}, k, k * 0.2 + coalesce(sum(w * ({_SQL_WEIGHTS[2]})), 0) AS m
+  FROM category c CROSS JOIN (SELECT unnest([0, 1, 2]) AS k) LEFT JOIN narrow v ON v.{key} = c.{key} WHERE c.label = 'en' GROUP BY c.{key}, k),
 query_type AS (
-  SELECT doc_id, CASE WHEN m > 0 THEN 'quality 1' ELSE 'quality 0' END AS label, 1 / (1 + exp(-abs(m))) AS confidence FROM pair
+  SELECT {key}, CASE WHEN m > 0 THEN 'quality 1' ELSE 'quality 0' END AS label, 1 / (1 + exp(-abs(m))) AS confidence FROM pair
   UNION ALL
-  SELECT doc_id, ['a', 'b', 'c'][arg_min(k, (-m, k)) + 1], 1 / sum(exp(m - best))
-  FROM (SELECT *, max(m) OVER (PARTITION BY doc_id) AS best FROM three) GROUP BY doc_id)
-SELECT doc_id, c.label AS pred_category, coalesce(q.label, CASE WHEN c.label = 'es' THEN 'only' ELSE 'UNKNOWN' END) AS pred_query_type,
+  SELECT {key}, ['a', 'b', 'c'][arg_min(k, (-m, k)) + 1], 1 / sum(exp(m - best))
+  FROM (SELECT *, max(m) OVER (PARTITION BY {key}) AS best FROM three) GROUP BY {key})
+SELECT {key}, c.label AS pred_category, coalesce(q.label, CASE WHEN c.label = 'es' THEN 'only' ELSE 'UNKNOWN' END) AS pred_query_type,
   round(c.confidence, 6) AS category_confidence, round(q.confidence, 6) AS query_type_confidence
-FROM category c LEFT JOIN query_type q USING (doc_id)"""
+FROM category c LEFT JOIN query_type q USING ({key})"""
+
+
+SCORED = scored_sql("documents", "doc_id")
 
 
 def _given_labels(spark, sf, **how):
@@ -432,3 +451,89 @@ def answer_queries(spark, sf):
     retriever = retrieval.build_retriever(corpus, "tfidf")
     predictions, similar = reports.answer_queries(model, retriever, _asked(spark, sf))
     return similar.join(predictions.select("query_id", "pred_category", "pred_query_type"), "query_id")
+
+
+# -- answers and models that are written and read ------------------------------------------------
+
+
+@query(
+    "retrieve_above",
+    """WITH sims AS (
+         SELECT q.vec_id AS query_id, c.vec_id AS vec_id, c.label, round(list_inner_product(
+           list_transform(q.embedding, lambda x: x::DOUBLE), list_transform(c.embedding, lambda x: x::DOUBLE)), 9) AS similarity
+         FROM embeddings q CROSS JOIN embeddings c)
+       SELECT query_id, vec_id, label, round(similarity, 6) AS similarity,
+         row_number() OVER (PARTITION BY query_id ORDER BY sims.similarity DESC, vec_id) AS rank
+       FROM sims QUALIFY rank <= 5 AND sims.similarity > 0.35""",
+)
+def retrieve_above(spark, sf):
+    """Matches that are hardly similar go; the backend is chosen by its name."""
+    vectors = table(spark, sf, "embeddings")
+    found = retrieval.build_retriever(vectors, "embedding", vector_col="embedding", id_col="vec_id").query(
+        vectors.withColumnRenamed("vec_id", "query_id"), 5, payload=("label",)
+    )
+    return rounded(retrieval.above(found, 0.35), "similarity")
+
+
+@query(
+    "answers_given",
+    f"""WITH near AS ({RETRIEVED} SELECT item_id, rank, similarity, source, lang, text FROM found JOIN documents USING (doc_id)),
+          said AS ({scored_sql("benchmark", "item_id")})
+        SELECT b.item_id AS query_id, rank, CAST(CAST(round_even(similarity * 100, 0) AS INT) AS VARCHAR) || '%' AS match,
+          source AS crop, lang AS category, pred_category, pred_query_type,
+          CASE WHEN rank IS NULL THEN 'no sufficiently similar past question found' END AS note,
+          md5(CASE WHEN length(near.text) > 140 THEN regexp_replace(left(near.text, 140), '\\s+$', '') || '…' ELSE near.text END) AS similar_question
+        FROM benchmark b LEFT JOIN near ON near.item_id = b.item_id AND similarity > 0.03 JOIN said ON said.item_id = b.item_id""",
+)
+def answers_given(spark, sf):
+    """Predictions of a given model and similar past questions for the benchmark texts."""
+    docs = spread(table(spark, sf, "documents"))
+    corpus = docs.select(
+        F.col("doc_id").alias("call_id"), F.col("text").alias("question"), F.col("text").alias("answer"),
+        F.col("source").alias("crop"), F.col("lang").alias("category"),
+    )
+    retriever = retrieval.TfidfRetriever(stop_words=STOP).fit(corpus)
+    predictions, similar = reports.answer_queries(_given_model(spark, sf), retriever, _asked(spark, sf))
+    return similar.join(predictions.select("query_id", "pred_category", "pred_query_type"), "query_id").select(
+        "query_id", "rank", "match", "crop", "category", "pred_category", "pred_query_type", "note",
+        F.md5("similar_question").alias("similar_question"),
+    )
+
+
+TRAINED = f"""WITH labelled AS (
+    SELECT doc_id, lang AS raw, 'quality ' || quality AS query_type FROM documents JOIN labels USING (doc_id) WHERE lang IS NOT NULL),
+usable AS (
+    SELECT doc_id, query_type, CASE WHEN count(*) OVER (PARTITION BY raw) < 5 THEN 'Rare/Other' ELSE raw END AS lang FROM labelled),
+{SPLIT.replace("FROM documents", "FROM usable")},
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY md5(CAST(doc_id AS VARCHAR) || ':42'), doc_id) AS place FROM usable),
+train AS (SELECT placed.* FROM placed JOIN quotas USING (lang) WHERE place > size - n_train),
+kinds AS (SELECT lang, query_type, count(*) AS n FROM train GROUP BY ALL HAVING count(*) >= 3),
+trained AS (SELECT lang FROM kinds GROUP BY 1 HAVING count(*) >= 2 AND sum(n) >= 4)
+SELECT 'categories' AS space, lang AS label, CAST(0 AS BIGINT) AS n FROM train GROUP BY lang
+UNION ALL SELECT 'within ' || lang, query_type, 0 FROM kinds WHERE lang IN (SELECT lang FROM trained)
+UNION ALL SELECT 'scores', unnest(['category', 'query_type']), CAST((SELECT sum(size - n_train) FROM quotas) AS BIGINT)"""
+
+
+@query("train_job", TRAINED)
+def train_job(spark, sf):
+    """The whole training job; the classes of the model it wrote, and the rows it scored."""
+    folder = f"{shared_folder(spark)}/job-{uuid.uuid4().hex}"
+    jobs.train_job(_labelled(spark, sf), f"{folder}/model", f"{folder}/scores")
+    written = HierarchicalClassifier.load(spark, f"{folder}/model")
+    scores = spark.read.json(f"{folder}/scores").select(F.lit("scores").alias("space"), F.col("level").alias("label"), "n")
+    return written.classes.select("space", "label", F.lit(0).cast("long").alias("n")).unionByName(scores)
+
+
+@query(
+    "event_log_job",
+    f"""WITH {DOCUMENT_CALLS}, log AS (
+          SELECT district || '_' || crop AS case_id, query_type AS activity, created_on AS ts, call_id AS ord, state, crop
+          FROM clean WHERE crop <> 'Others' AND query_type IS NOT NULL), {CASES}
+        SELECT case_id, n_events, n_repeats, round(loop_rate, 6) AS loop_rate, crop, state FROM cases""",
+)
+def event_log_job(spark, sf):
+    """The whole mining job; the loop rates it wrote, read back."""
+    folder = f"{shared_folder(spark)}/job-{uuid.uuid4().hex}"
+    jobs.event_log_job(cleaning.basic_clean(document_calls(spark, sf)), folder, "query_type")
+    return rounded(read_table(spark, f"{folder}/loop_rate_per_case"), "loop_rate")

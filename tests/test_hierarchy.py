@@ -96,3 +96,18 @@ def test_L8_comparison_job(spark, calls, model, tmp_path):
 def test_L9_tuning_uses_the_training_rows(calls):
     best, results = hierarchy.tune_C(calls.where("category <> 'Fodder'"), "call_id", grid=(0.5, 2.0), max_iter=5)
     assert best in (0.5, 2.0) and len(results) == 2 and all(0 <= f <= 1 for _, f in results)
+
+
+def test_L9_the_grid_equals_a_plain_search(calls):
+    """All C together give the scores of one fit for each C, and the best one wins."""
+    from casewise.operators.sampling import stratified_split
+
+    rows = calls.where("category <> 'Fodder'")
+    grid = (0.01, 0.5, 2.0)
+    best, results = hierarchy.tune_C(rows, "call_id", grid=grid)
+    fit_part, check_part = stratified_split(rows, "category", "call_id")
+    plain = []
+    for C in grid:
+        model = HierarchicalClassifier(C=C).fit(fit_part)
+        plain.append((C, hierarchy.evaluate_against_gold(model, check_part).where("level = 'query_type'").first()["macro_f1"]))
+    assert results == plain and best == max(plain, key=lambda r: (r[1], -r[0]))[0]
