@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casewise.operators import inverted, tfidf
+from casewise.operators import inverted, pivots, tfidf
 from casewise.operators.joins import BROADCAST_ROWS
 from casewise.operators.topk import top_k
 from casewise.session import durable
@@ -76,7 +76,12 @@ class EmbeddingRetriever:
     def fit(self, corpus: DataFrame, vector_col: str = "embedding", id_col: str = "call_id") -> EmbeddingRetriever:
         self.corpus, self.id_col = corpus, id_col
         named = corpus.select(F.col(id_col).alias("id"), F.col(vector_col).alias("values"))
-        self.index = named.where(F.col("values").isNotNull())
+        self.index, self.blocks = named.where(F.col("values").isNotNull()), None
+        return self
+
+    def save_blocks(self, path: str) -> EmbeddingRetriever:
+        """Keep the vectors in blocks around pivots: queries then skip blocks that are too far away."""
+        self.blocks = pivots.build(self.index, path)
         return self
 
     def query(
@@ -84,7 +89,7 @@ class EmbeddingRetriever:
         payload: Sequence[str] = PAYLOAD,
     ) -> DataFrame:
         asked = queries.select(F.col(query_id).alias("id"), F.col(vector_col).alias("values")).where(F.col("values").isNotNull())
-        best = top_k(self.index, asked, k, dense=True)
+        best = self.blocks.top_k(asked, k) if self.blocks else top_k(self.index, asked, k, dense=True)
         return _with_payload(best, self.corpus, self.id_col, payload)
 
 

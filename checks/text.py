@@ -262,15 +262,18 @@ def retrieve_indexed(spark, sf):
     return rounded(found, "similarity")
 
 
-@query(
-    "retrieve_embedding",
-    """WITH sims AS (
+NEAREST_VECTORS = """WITH sims AS (
          SELECT q.vec_id AS query_id, c.vec_id AS vec_id, c.label, round(list_inner_product(
            list_transform(q.embedding, lambda x: x::DOUBLE), list_transform(c.embedding, lambda x: x::DOUBLE)), 9) AS similarity
          FROM embeddings q CROSS JOIN embeddings c)
        SELECT query_id, vec_id, label, round(similarity, 6) AS similarity,
          row_number() OVER (PARTITION BY query_id ORDER BY sims.similarity DESC, vec_id) AS rank
-       FROM sims QUALIFY rank <= 5""",
+       FROM sims QUALIFY rank <= 5"""
+
+
+@query(
+    "retrieve_embedding",
+    NEAREST_VECTORS,
 )
 def retrieve_embedding(spark, sf):
     vectors = table(spark, sf, "embeddings")
@@ -280,6 +283,16 @@ def retrieve_embedding(spark, sf):
     return rounded(found, "similarity")
 
 
+@query("retrieve_in_blocks", NEAREST_VECTORS)
+def retrieve_in_blocks(spark, sf):
+    """The same with blocks skipped by their distance to a pivot."""
+    vectors = table(spark, sf, "embeddings")
+    found = retrieval.EmbeddingRetriever().fit(vectors, "embedding", "vec_id").save_blocks(
+        f"{shared_folder(spark)}/blocks-{uuid.uuid4().hex}"
+    ).query(vectors.withColumnRenamed("vec_id", "query_id"), 5, payload=("label",))
+    return rounded(found, "similarity")
+
+
 @query(
     "vector_confidence",
     """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings)
