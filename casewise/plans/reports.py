@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casewise.functions.numeric import correlation_verdict, pearson
@@ -158,6 +158,13 @@ def case_explorer(log: DataFrame, cases: DataFrame, case_id: str) -> tuple[DataF
     return stats, events
 
 
+def map_note() -> Column:
+    """What a process map was drawn from, of ``n_events`` and ``n_cases``."""
+    return F.when(F.col("n_events") < 2, "too few events to draw a flow from").otherwise(
+        F.concat(F.lit("from "), F.col("n_events"), F.lit(" events across "), F.col("n_cases"), F.lit(" cases"))
+    )
+
+
 def process_map(
     log: DataFrame, crops: Sequence[str] | None = None, n_activities: int = 6, n_edges: int = 10
 ) -> dict[str, DataFrame]:
@@ -166,12 +173,7 @@ def process_map(
     With fewer than two events there is nothing to follow and edges and nodes are empty.
     """
     own = select_segments(log, crops)
-    size = own.agg(F.count(F.lit(1)).alias("n_events"), F.count_distinct("case_id").alias("n_cases")).withColumn(
-        "note",
-        F.when(F.col("n_events") < 2, "too few events to draw a flow from").otherwise(
-            F.concat(F.lit("from "), F.col("n_events"), F.lit(" events across "), F.col("n_cases"), F.lit(" cases"))
-        ),
-    )
+    size = own.agg(F.count(F.lit(1)).alias("n_events"), F.count_distinct("case_id").alias("n_cases")).withColumn("note", map_note())
     edges, nodes = dfg.discover_dfg(own, n_activities, n_edges)
     enough = size.select(F.col("n_events") >= 2).scalar()
     return {"size": size, "edges": edges.where(enough), "nodes": nodes.where(enough)}
