@@ -4,8 +4,9 @@ The counts of words and of pairs of words are quantised to levels that grow by `
 put into a Bloom filter q times, with the levels 1 to q. A count is read back by asking for level 1, 2, ... until one is
 missing. The filter is built in segments, one for each part of the hash range, by the tasks that add the counts of that
 part up, so no count passes through the driver. Every segment has ``ENTRY_BITS`` bits for each of its entries, so the rate of
-false hits is the same for every size of corpus, and there are more segments for more text. A filter of up to ``MOST_BITS``
-bits is broadcast. A larger one stays in the shared folder: texts are worked on in runs, the distinct questions of each run
+false hits is the same for every size of corpus. How many segments there are depends on the bytes of the corpus alone, so a
+corpus has the same filter and the same scores on every cluster. Counts reach many segments by way of ``GROUPS`` groups of
+them, so that what a task sends at once stays in large pieces. A filter of up to ``MOST_BITS`` bits is broadcast. A larger one stays in the shared folder: texts are worked on in runs, the distinct questions of each run
 are sent to the segments that answer them, and the answers go back to their run. Both ways give the same scores.
 
 A text is scored as the sum of log10 of p(w | v) = (c(v w) + MU p(w)) / (c(v) + MU) with p(w) = (c(w) + 1) / (N + V + 1), all
@@ -25,17 +26,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casewise.llm.common import Tables, blob, chained, lower, mixed, partitions, pieces, span_hashes, words
+from casewise.llm.common import Tables, blob, chained, lower, mixed, pieces, span_hashes, words
 
 GROWTH, PROBES = 1.5, 3
 #: Bits of the filter for each entry: with 3 probes, about 1.5 of 100 questions about absent entries hit falsely.
 ENTRY_BITS = 10
-#: Bits of the largest filter that is broadcast.
-MOST_BITS = 1 << 32
-#: Bytes of text for each segment at most, on average: a segment stays far below the 2^32 bits that a probe can tell apart.
-SEGMENT_BYTES = 1 << 25
+#: Bits of the largest filter that is broadcast (128 MB), and words of the largest table of exact counts (64 MB).
+MOST_BITS, MOST_WORDS = 1 << 30, 4_000_000
+#: Bytes of text for each segment, for the first ``GROUPS`` segments and beyond: a segment stays far below the 2^32 bits that
+#: a probe can tell apart.
+SEGMENT_BYTES, LARGE_SEGMENT_BYTES = 1 << 23, 1 << 27
+#: Segments to which tasks send counts directly; more are reached in two steps.
+GROUPS = 512
 MU = 300.0
-MOST_WORDS = 20_000_000
 #: Entries that a task gathers before it adds up equal ones and sends them.
 HELD = 3_000_000
 
@@ -67,16 +70,28 @@ def rising(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
 # -- counting and building the filter ---------------------------------------------------------
 
 
+def n_segments(size: int) -> int:
+    """Segments for a corpus of ``size`` bytes."""
+    return max(1, min(GROUPS, -(-size // SEGMENT_BYTES)), -(-size // LARGE_SEGMENT_BYTES))
+
+
+_COUNTS = "part int, kind string, keys binary, counts binary"
+
+
+def _cut(kind: str, keys: np.ndarray, counts: np.ndarray, parts: int) -> pa.RecordBatch:
+    """Distinct keys in order, with their counts, for each part of the hash range."""
+    cut = np.searchsorted(_part(keys, parts), np.arange(parts + 1))
+    rows = np.flatnonzero(cut[:-1] < cut[1:]).tolist()
+    return pa.RecordBatch.from_arrays([
+        pa.array(rows, pa.int32()), pa.array([kind] * len(rows), pa.string()),
+        pa.array([blob(keys[cut[i] : cut[i + 1]]) for i in rows], pa.binary()),
+        pa.array([blob(counts[cut[i] : cut[i + 1]].astype(np.uint32)) for i in rows], pa.binary()),
+    ], ["part", "kind", "keys", "counts"])
+
+
 def _counting(parts: int):
     def send(held: list[np.ndarray], kind: str):
-        distinct, counts = np.unique(np.concatenate(held), return_counts=True)
-        cut = np.searchsorted(_part(distinct, parts), np.arange(parts + 1))
-        rows = [i for i in range(parts) if cut[i] < cut[i + 1]]
-        return pa.RecordBatch.from_arrays([
-            pa.array(rows, pa.int32()), pa.array([kind] * len(rows)),
-            pa.array([blob(distinct[cut[i] : cut[i + 1]]) for i in rows], pa.binary()),
-            pa.array([blob(counts[cut[i] : cut[i + 1]].astype(np.uint32)) for i in rows], pa.binary()),
-        ], ["part", "kind", "keys", "counts"])
+        return _cut(kind, *np.unique(np.concatenate(held), return_counts=True), parts)
 
     def run(batches):
         held, size = {"word": [], "pair": []}, 0
@@ -95,6 +110,29 @@ def _counting(parts: int):
     return run
 
 
+def _dealing(parts: int):
+    """Counts of a group of segments, added up where a task meets them together, for each segment."""
+    def run(batches):
+        held, size = {"word": ([], []), "pair": ([], [])}, 0
+
+        def flushed():
+            for kind, (keys, counts) in held.items():
+                if keys:
+                    yield _cut(kind, *rising(np.concatenate(keys), np.concatenate(counts)), parts)
+
+        for batch in batches:
+            for kind, keys, counts in zip(*(batch.column(c).to_pylist() for c in range(1, 4))):
+                held[kind][0].append(np.frombuffer(keys, np.uint64))
+                held[kind][1].append(np.frombuffer(counts, np.uint32))
+                size += len(held[kind][0][-1])
+                if size > HELD:
+                    yield from flushed()
+                    held, size = {"word": ([], []), "pair": ([], [])}, 0
+        yield from flushed()
+
+    return run
+
+
 def _part(hashes: np.ndarray, parts: int) -> np.ndarray:
     """Part of the hash range, rising with the hash."""
     return ((hashes >> np.uint64(40)) * np.uint64(parts) >> np.uint64(24)).astype(np.int64)
@@ -175,16 +213,19 @@ class Model:
         if sizes.n_bits > most_bits:
             return
         self.n_bits, self.at = np.full(parts, 64, np.uint64), np.zeros(parts, np.int64)
-        chunks, place = [bytes(8)], 64  # parts without entries share an empty segment
-        for row in self.segments.collect():  # ``most_bits`` at most
+        self.bits, place = np.zeros(8 + sizes.n_bits // 8, np.uint8), 64  # parts without entries share an empty segment
+        for row in self.segments.toLocalIterator():  # ``most_bits`` at most, a segment at a time
             self.n_bits[row.part], self.at[row.part] = row.n_bits, place
-            chunks.append(bytes(row.bits))
+            self.bits[place // 8 : (place + row.n_bits) // 8] = np.frombuffer(row.bits, np.uint8)
             place += row.n_bits
-        self.bits = np.frombuffer(b"".join(chunks), np.uint8)
 
     def drop(self) -> None:
+        """Remove the tables; what was scored by broadcast alone does not need them any more."""
         self.tables.drop()
 
+    def broadcast_whole(self, most_words: int = MOST_WORDS) -> bool:
+        return self.bits is not None and self.distinct <= most_words
+
 
 def _sums(batches):
     for batch in batches:
@@ -192,12 +233,14 @@ def _sums(batches):
         yield pa.RecordBatch.from_arrays([pa.array([total], pa.int64())], ["n"])
 
 
-def train(docs: DataFrame, text_col: str = "text", most_bits: int = MOST_BITS) -> Model:
+def train(docs: DataFrame, text_col: str = "text", most_bits: int = MOST_BITS, groups: int = GROUPS) -> Model:
     """Count the words and pairs of all texts of ``docs`` and build the filter, to be broadcast up to ``most_bits`` bits."""
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0)).alias("n")).first()["n"]
-    parts = max(partitions(docs.sparkSession), -(-size // SEGMENT_BYTES))
+    parts = n_segments(size)
     tables = Tables(docs.sparkSession)
-    counted = docs.select(text_col).mapInArrow(_counting(parts), "part int, kind string, keys binary, counts binary")
+    counted = docs.select(text_col).mapInArrow(_counting(min(parts, groups)), _COUNTS)
+    if parts > groups:
+        counted = counted.repartitionById(groups, F.col("part")).mapInArrow(_dealing(parts), _COUNTS)
     built = counted.repartitionById(parts, F.col("part")).mapInArrow(
         _building(), "part int, n_bits bigint, bits binary, keys binary, counts binary"
     )
@@ -252,11 +295,15 @@ def scored(
     total, distinct, parts = model.total, model.distinct, model.parts
     exact = distinct <= most_words
     counts = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-    if exact:  # 16 bytes a word
-        rows = model.words.collect()
-        keys = np.concatenate([counts[0], *(np.frombuffer(r.keys, np.uint64) for r in rows)])
-        order = np.argsort(keys)
-        counts = keys[order], np.concatenate([counts[1], *(np.frombuffer(r.counts, np.int64) for r in rows)])[order]
+    if exact:  # 16 bytes a word, at most ``most_words``
+        counts = np.zeros(distinct, np.uint64), np.zeros(distinct, np.int64)
+        place = 0
+        for row in model.words.toLocalIterator():
+            keys = np.frombuffer(row["keys"], np.uint64)
+            counts[0][place : place + len(keys)], counts[1][place : place + len(keys)] = keys, np.frombuffer(row["counts"], np.int64)
+            place += len(keys)
+        order = np.argsort(counts[0])
+        counts = counts[0][order], counts[1][order]
     bits, at, n_bits = model.bits, model.at, model.n_bits
     shared = spark.sparkContext.broadcast((bits, at, n_bits, *counts))
     whole = bits is not None

@@ -83,7 +83,11 @@ def op3_mix(spark: SparkSession, sf: str) -> DataFrame:
 def op4_lm(spark: SparkSession, sf: str) -> DataFrame:
     docs = _documents(spark, sf)
     out = langid.held_out(F.col("doc_id"), 7, 2)
-    return lm.scored(docs, lm.train(docs.where(~out)), out)
+    model = lm.train(docs.where(~out))
+    found = lm.scored(docs, model, out)
+    if model.broadcast_whole():
+        model.drop()
+    return found
 
 
 def op5_bpe(spark: SparkSession, sf: str) -> DataFrame:

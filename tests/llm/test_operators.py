@@ -225,6 +225,65 @@ def test_filter_keeps_its_rate_beyond_the_broadcast_bound(docs, most_words):
     assert scores(lm.train(training, most_bits=64)) == scores(lm.train(training))
 
 
+def model_rows(docs, out, **more):
+    return sorted((r.doc_id, r.base_score, r.score) for r in lm.scored(docs, lm.train(docs.where(~out), **more), out).collect())
+
+
+def test_scores_do_not_depend_on_the_cluster(spark, docs, monkeypatch):
+    """The same filter whatever the shuffle partitions, the splits of the table and the way counts reach the segments."""
+    out = langid.held_out(F.col("doc_id"), 7, 2)
+    monkeypatch.setattr(lm, "SEGMENT_BYTES", 20_000)
+    monkeypatch.setattr(lm, "LARGE_SEGMENT_BYTES", 30_000)
+    parts = lm.n_segments(docs.where(~out).agg(F.sum(F.octet_length("text"))).first()[0])
+    assert parts > 5
+    wanted = model_rows(docs, out)
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("3", "211"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            assert model_rows(docs.repartition(2), out) == wanted
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
+    assert model_rows(docs, out, groups=4) == wanted
+    assert lm.n_segments(0) == 1 and lm.n_segments(10**14) == -(-(10**14) // lm.LARGE_SEGMENT_BYTES)
+
+
+def test_scores_equal_a_plain_model_with_few_false_hits(docs):
+    """Counts read from the filter are never too small and rarely too large; scores are the formula over these counts."""
+    from casewise.llm.common import lower, pieces
+
+    import pyarrow as pa
+
+    out = langid.held_out(F.col("doc_id"), 7, 2)
+    data = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    train = [[*plain_words(t), None] for i, t in data if zlib.crc32(str(i).encode()) % 7 != 2]
+    words = collections.Counter(w for t in train for w in t)
+    pairs = collections.Counter(p for t in train for p in zip([None, *t[:-1]], t))
+    model = lm.train(docs.where(~out))
+    how = model.bits, model.at, model.n_bits, model.parts
+    texts = sorted({t or "" for _, t in data})
+    read = {"word": {}, "pair": {}}
+    for low, high, raw, offsets in pieces(pa.array(texts, pa.large_string()), 1 << 30):
+        hashes, n = lm.tokens(lower(raw), offsets)
+        names = [w for t in texts[low:high] for w in (*plain_words(t), None)]
+        before, both = lm.pairs(hashes, n)
+        read["word"].update(zip(names, lm.read_counts(hashes, "word", *how)))
+        read["pair"].update(zip(zip([None, *names[:-1]], names), lm.read_counts(both, "pair", *how)))
+    for kind, exact in (("word", words), ("pair", pairs)):
+        quantised = {k: lm.LEVEL_COUNTS[lm.level(np.array([exact[k]]))[0]] if exact[k] else 0.0 for k in read[kind]}
+        assert all(read[kind][k] >= quantised[k] for k in quantised)
+        assert sum(read[kind][k] > quantised[k] for k in quantised) <= 0.05 * len(quantised) + 2
+    total, distinct = sum(words.values()), len(words)
+    for r in lm.scored(docs, model, out).collect():
+        own = [*plain_words(dict(data)[r.doc_id]), None]
+        score = 0.0
+        for v, w in zip([None, *own[:-1]], own):
+            c = read["word"]
+            p = (c[w] + 1) / (total + distinct + 1)
+            score += math.log10((min(read["pair"][v, w], c[v], c[w]) + lm.MU * p) / (c[v] + lm.MU))
+        assert math.isclose(r.score, score, rel_tol=1e-9)
+
+
 def test_filter_counts_are_close():
     counts = np.array([1, 2, 3, 5, 10, 100, 5000, 10**6])
     read = lm.LEVEL_COUNTS[lm.level(counts)]
