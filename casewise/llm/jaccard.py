@@ -34,6 +34,8 @@ from casewise.operators.joins import split_join
 CELLS, SLICES = 1 << 20, 16
 #: N-grams that a task gathers before it sends them.
 HELD = 1_000_000
+#: Ids (8 bytes each, and 8 of their class) that are broadcast.
+CHOSEN = 500_000
 #: Rounds in which sets meet only a central one.
 ROUNDS = 2
 #: Fixed hashes at which the suffix filter cuts sets.
@@ -102,6 +104,11 @@ def _set_rows(n: int):
 # -- which classes share enough ----------------------------------------------------------------
 
 
+def _dealt(hashes: np.ndarray, parts: int) -> np.ndarray:
+    """Part of the hash range."""
+    return ((hashes >> np.uint64(40)) * np.uint64(parts) >> np.uint64(24)).astype(np.int64)
+
+
 def _meeting(n: int, t: tuple[int, int], parts: int):
     columns = ["part", "grams", "owner", "keys", "known"]
 
@@ -124,7 +131,10 @@ def _meeting(n: int, t: tuple[int, int], parts: int):
         # one entry for each n-gram: its owner, or nobody if several are known to share it
         sent = np.where(count > 1, -1, owner[at]).astype(np.int32)
         grams = grams[at]
-        part = ((grams >> np.uint64(40)) * np.uint64(parts) >> np.uint64(24)).astype(np.int64)
+        # the n-grams are the lowest ones of their sets, so their own high bits would fill the first parts only
+        part = _dealt(mixed(grams), parts)
+        order = np.argsort(part, kind="stable")
+        grams, sent, part = grams[order], sent[order], part[order]
         cut = np.searchsorted(part, np.arange(parts + 1))
         rows = [i for i in range(parts) if cut[i] < cut[i + 1]]
         blobs = [[], [], []]
@@ -166,24 +176,57 @@ def _meeting(n: int, t: tuple[int, int], parts: int):
     return run
 
 
-def _sharing(batches):
-    """n-grams of one part of the hash range -> (key, how many of its n-grams are shared)."""
-    grams, owners = [], []
+def _sharing(parts: int):
+    """n-grams of one part of the hash range -> how many n-grams of each class are shared, packed by parts of the classes."""
+    def run(batches):
+        grams, owners, counted = [], [], ([], [])
+        for batch in batches:
+            for own, place, keys, known in zip(*(batch.column(i).to_pylist() for i in range(1, 5))):
+                keys = np.frombuffer(keys, np.int64)
+                if known is not None:
+                    counted[0].append(keys)
+                    counted[1].append(np.frombuffer(known, np.int64))
+                    continue
+                own = np.frombuffer(own, np.uint64)
+                place = np.frombuffer(place, np.uint16 if len(place) == 2 * len(own) else np.uint32)
+                grams.append(own)
+                owners.append(keys[place])
+        if grams:
+            grams, owners = np.concatenate(grams), np.concatenate(owners)
+            _, inverse, count = np.unique(grams, return_inverse=True, return_counts=True)
+            keys, shared = np.unique(owners[(count[inverse] > 1) & (owners != 0)], return_counts=True)
+            counted[0].append(keys)
+            counted[1].append(shared.astype(np.int64))
+        if counted[0]:
+            keys, shared = _tallied(*counted)
+            part = _dealt(mixed(keys.view(np.uint64)), parts)
+            order = np.argsort(part, kind="stable")
+            keys, shared = keys[order], shared[order]
+            cut = np.searchsorted(part[order], np.arange(parts + 1))
+            rows = np.flatnonzero(np.diff(cut))
+            yield pa.RecordBatch.from_arrays([
+                pa.array(rows, pa.int32()), pa.array([blob(keys[cut[i] : cut[i + 1]]) for i in rows], pa.binary()),
+                pa.array([blob(shared[cut[i] : cut[i + 1]]) for i in rows], pa.binary()),
+            ], ["part", "keys", "shared"])
+
+    return run
+
+
+def _tallied(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+    return distinct, np.bincount(inverse, np.concatenate(counts), len(distinct)).astype(np.int64)
+
+
+def _added(batches):
+    """One row for each class of a part."""
+    counted = ([], [])
     for batch in batches:
-        for own, place, keys, known in zip(*(batch.column(i).to_pylist() for i in range(1, 5))):
-            keys = np.frombuffer(keys, np.int64)
-            if known is not None:
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.frombuffer(known, np.int64))], ["key", "shared"])
-                continue
-            own = np.frombuffer(own, np.uint64)
-            place = np.frombuffer(place, np.uint16 if len(place) == 2 * len(own) else np.uint32)
-            grams.append(own)
-            owners.append(keys[place])
-    if grams:
-        grams, owners = np.concatenate(grams), np.concatenate(owners)
-        _, inverse, count = np.unique(grams, return_inverse=True, return_counts=True)
-        keys, shared = np.unique(owners[(count[inverse] > 1) & (owners != 0)], return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(shared, pa.int64())], ["key", "shared"])
+        for keys, shared in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            counted[0].append(np.frombuffer(keys, np.int64))
+            counted[1].append(np.frombuffer(shared, np.int64))
+    if counted[0]:
+        keys, shared = _tallied(*counted)
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(shared)], ["key", "shared"])
 
 
 # -- rare-first prefixes ------------------------------------------------------------------------
@@ -285,12 +328,13 @@ def _links(docs: DataFrame, classes: DataFrame, n: int, t: tuple[int, int], tabl
     spark = docs.sparkSession
     parts = partitions(spark)
     met = docs.select("text").mapInArrow(_meeting(n, t, parts), "part int, grams binary, owner binary, keys binary, known binary")
-    shared = met.repartitionById(parts, F.col("part")).mapInArrow(_sharing, "key bigint, shared bigint").groupBy("key").agg(F.sum("shared").alias("shared"))
+    packed = met.repartitionById(parts, F.col("part")).mapInArrow(_sharing(parts), "part int, keys binary, shared binary")
+    shared = packed.repartitionById(parts, F.col("part")).mapInArrow(_added, "key bigint, shared bigint")
     # the partner of a set of n may be as small as ceil(t n), so that many n-grams less are certain
     smaller = F.ceil(F.col("n") * t[0] / t[1])
     certain = F.greatest(F.lit(1), smaller - F.ceil(smaller * t[0] / t[1]))
     chosen = tables.store(
-        classes.join(shared, "key").where(F.col("shared") >= certain).select("key", F.coalesce("first_id", F.lit(-(1 << 63))).alias("id")), "chosen"
+        split_join(classes, shared, ["key"], "inner").where(F.col("shared") >= certain).select("key", F.col("first_id").alias("id")), "chosen"
     )
 
     def whole(batches):
@@ -298,17 +342,25 @@ def _links(docs: DataFrame, classes: DataFrame, n: int, t: tuple[int, int], tabl
             for low, high, data, offsets in pieces(batch.column(1)):
                 grams, counts = ngram_sets(lower(data), offsets, n)
                 ends = np.cumsum(counts)
-                own = class_keys(grams, counts) == batch.column(0).slice(low, high - low).to_numpy()
-                rows = np.flatnonzero(own)
+                keys = class_keys(grams, counts)
+                # a class once; a text of another class has the same id, and a text without an id has no class yet
+                asked = batch.column(0).slice(low, high - low).fill_null(0).to_numpy()
+                own = np.flatnonzero((keys != 0) & ((asked == 0) | (keys == asked)))
+                own = own[np.unique(keys[own], return_index=True)[1]]
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(low, high - low).filter(pa.array(own)),
-                    pa.array([blob(grams[ends[i] - counts[i] : ends[i]]) for i in rows], pa.binary()),
+                    pa.array(keys[own]), pa.array([blob(grams[ends[i] - counts[i] : ends[i]]) for i in own], pa.binary()),
                 ], ["key", "grams"])
 
-    texts = docs.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), "text")
-    sets = tables.store(
-        texts.join(chosen.hint("merge"), "id").select("key", "text").mapInArrow(whole, "key bigint, grams binary").dropDuplicates(["key"]), "sets"
-    )
+    texts = docs.select(F.col("doc_id").alias("id"), "text")
+    named, unnamed = chosen.where("id IS NOT NULL"), chosen.where("id IS NULL").select("key")
+    # the texts stay where they are while the ids of the chosen classes are few enough to be sent to them
+    few = named.count() <= CHOSEN
+    found = texts.join(F.broadcast(named) if few else named.hint("merge"), "id").select("key", "text")
+    found = found.mapInArrow(whole, "key bigint, grams binary")
+    if not unnamed.isEmpty():
+        lost = texts.where("id IS NULL").select(F.lit(None).cast("bigint").alias("key"), "text").mapInArrow(whole, "key bigint, grams binary")
+        found = found.unionByName(lost.join(unnamed, "key", "left_semi"))
+    sets = tables.store(found.dropDuplicates(["key"]), "sets")
     cells = sets.select("grams").mapInArrow(_cell_counts, "slice int, counts binary")
     table = np.zeros(CELLS, np.uint32)
     for row in cells.repartitionById(SLICES, F.col("slice")).mapInArrow(_add_cells, "slice int, counts binary").collect():

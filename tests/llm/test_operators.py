@@ -437,3 +437,34 @@ def test_chunks_are_whole_and_bounded():
     assert ends[-1] == len(data) and sizes.max() <= recipes.MOST and sizes[:-1].min() >= recipes.LEAST
     moved = recipes.chunk_ends(len(data) + 5, recipes.cut_points(np.concatenate([data[:5], data])))
     assert len({e + 5 for e in ends} & set(moved)) > 0.9 * len(ends)
+
+
+@pytest.mark.parametrize("broadcast", [500_000, 0])
+def test_many_null_ids_meet_by_their_class(spark, monkeypatch, broadcast):
+    """A thousand texts without an id, in copies and near copies: the same groups as with ids, no pairs of all of them."""
+    monkeypatch.setattr(jaccard, "CHOSEN", broadcast)
+    draw = random.Random(4)
+    base = [" ".join(draw.choices([f"w{i}" for i in range(500)], k=60)) for _ in range(40)]
+    rows = []
+    for i in range(1000):
+        text = base[i % 40]
+        rows.append((None, text if i % 3 else text + " more"))
+    rows += [(i, base[i] + " end") for i in range(20)] + [(100 + i, base[0] + " end") for i in range(3)]
+    got = collections.Counter(
+        (r.doc_id, r.n_shingles, r.component_id)
+        for r in jaccard.joined(spark.createDataFrame(rows, "doc_id bigint, text string"), 4, (17, 20)).collect()
+    )
+    wanted = collections.Counter()
+    for i, text in rows:
+        words = text.split()
+        own = base.index(next(b for b in base if text.startswith(b)))
+        wanted[i, len({tuple(words[k : k + 4]) for k in range(len(words) - 3)}), own if own < 20 else None] += 1
+    assert got == wanted
+
+
+def test_ngrams_are_dealt_evenly():
+    """The lowest n-grams of many sets, which is what meets, fill all parts alike."""
+    rng = np.random.default_rng(1)
+    low = np.sort(rng.integers(0, 1 << 64, (4000, 200), np.uint64), axis=1)[:, :60].ravel()
+    sizes = np.bincount(jaccard._dealt(jaccard.mixed(low), 51), minlength=51)
+    assert sizes.max() < 1.2 * sizes.mean() and sizes.min() > 0.8 * sizes.mean()

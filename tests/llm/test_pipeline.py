@@ -19,7 +19,7 @@ SF = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 
 def test_all_queries_are_registered():
     names = [n for n in registered.queries() if n.startswith("op") and "_" in n]
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n[2:].split("_")[0].isdigit()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n[2:].split("_")[0].isdigit()) == list(range(1, 14))
     assert "pipeline" in registered.queries()
 
 
