@@ -156,12 +156,13 @@ def _binary(flat: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.Arra
 
 
 def encoded(
-    docs: DataFrame, tokenizer: str, text_col: str = "text", most: int = LEXICON_WORDS, decoded: bool = True
+    docs: DataFrame, tokenizer: str, text_col: str = "text", most: int = LEXICON_WORDS, decoded: bool = True, width: int = 4
 ) -> DataFrame:
-    """Every row of ``docs`` with n_tokens, ids (binary: little-endian unsigned 32-bit numbers) and decoded.
+    """Every row of ``docs`` with n_tokens, ids (binary: little-endian unsigned numbers of ``width`` bytes) and decoded.
 
-    ``tokenizer`` is the path of the tokenizer file on all machines.
+    ``tokenizer`` is the path of the tokenizer file on all machines. An id that does not fit in ``width`` bytes is an error.
     """
+    kind = {2: np.uint16, 4: np.uint32}[width]
     lexicon = ship_lexicon(docs, tokenizer, text_col, most)
     n_tokens, ids_name, decoded_name = added(docs, "n_tokens", "ids", "decoded")
     place = docs.columns.index(text_col)
@@ -174,7 +175,9 @@ def encoded(
                 texts = [whole[a:b].decode("utf-8", "replace") for a, b in zip(at, at[1:])]
                 ids, counts = encoder.encode(texts)
                 ends = np.concatenate([[0], np.cumsum(counts)])
-                new = [pa.array(counts, pa.int64()), _binary(ids.view(np.uint8), ends * 4, pa.binary())]
+                if len(ids) and ids.max() > np.iinfo(kind).max:
+                    raise ValueError(f"token id {ids.max()} does not fit in {width} bytes")
+                new = [pa.array(counts, pa.int64()), _binary(ids.astype(kind).view(np.uint8), ends * width, pa.binary())]
                 if decoded:
                     new.append(_binary(*encoder.decode(ids, counts), pa.string()))
                 rows = batch.slice(low, high - low)

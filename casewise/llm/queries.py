@@ -26,19 +26,25 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+#: Ids in a record of the training order (with 256, nine tenths of the ids' places are filled), and bytes of an id: the
+#: tokenizer has less than 65,536 of them.
+SEQUENCE, ID_BYTES = 256, 2
+
+
 def op1_training_order(spark: SparkSession, sf: str) -> DataFrame:
     """Token ids in shards: doc_id, part, slot, shard, row, n_ids, ids_sha256, all of them read back from the shard files."""
     encoded, walk, written = Tables(spark), Tables(spark), Tables(spark)
     docs = _documents(spark, sf).select("doc_id", "text")
-    ids = encoding.encoded(docs, tokenizer("word_bpe_49k.json"), decoded=False).select("doc_id", "ids")
-    records = shards.materialised(encoded.store(ids, "ids"), width=4, tables=walk)
-    encoded.drop()
+    ids = encoding.encoded(docs, tokenizer("word_bpe_49k.json"), decoded=False, width=ID_BYTES).select("doc_id", "ids")
+    how = {"length": SEQUENCE, "width": ID_BYTES, "shard": 4 * shards.SHARD}
+    records = shards.materialised(encoded.store(ids, "ids"), tables=walk, **how)
     folder = f"{written.folder}/shards"
     shards.write_shards(records, folder)
+    encoded.drop()
     walk.drop()
-    return shards.read_shards(spark, folder, width=4).select(
+    return shards.read_shards(spark, folder, **how).select(
         "doc_id", "part", "slot", "shard", "row", "n_ids",
-        F.sha2(F.substring(F.col("record"), F.lit(5), 4 * F.col("n_ids")), 256).alias("ids_sha256"),
+        F.sha2(F.substring(F.col("record"), F.lit(5), ID_BYTES * F.col("n_ids")), 256).alias("ids_sha256"),
     )
 
 

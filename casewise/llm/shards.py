@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from casewise.llm.common import Tables, partitions
+from casewise.operators.joins import BROADCAST_ROWS
 
 ROUNDS = 4
 #: Sequences in a shard.
@@ -31,10 +32,6 @@ SHARD = 1024
 BUCKET_ROWS, MOST_BUCKETS = 512, 1 << 16
 
 
-def _mixed(half: Column, round_key: int, bits: int) -> Column:
-    return F.xxhash64(F.lit(round_key), half).bitwiseAND(F.lit((1 << bits) - 1))
-
-
 def feistel(number: Column, key: int, half_bits: int) -> Column:
     """A permutation of the numbers of ``2 * half_bits`` bits."""
     mask = (1 << half_bits) - 1
@@ -56,8 +53,9 @@ def half_bits_of(n: int) -> int:
 def slots(numbers: DataFrame, number: str, n: int, key: int, tables: Tables) -> DataFrame:
     """The column ``slot``: numbers 0 to n - 1, permuted.
 
-    The network's range is at most four times n, so three of four numbers at most walk on; what has not come back after a
-    few steps is stored and walks on from there, until nothing is left.
+    The network's range is at most four times n, so three of four numbers at most walk on, and a number is walked to its end
+    inside the expression. The few that need more than ``WALK`` steps are found among the numbers alone, walked on as a small
+    table, and joined.
     """
     half = half_bits_of(n)
 
@@ -65,22 +63,28 @@ def slots(numbers: DataFrame, number: str, n: int, key: int, tables: Tables) ->
         step = lambda at, _: F.when(at < n, at).otherwise(feistel(at, key, half))
         return F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), feistel(value, key, half), step)
 
-    walked, turn, done = tables.store(numbers.withColumn("slot", walk(F.col(number))), "walk-0"), 0, []
-    while True:
-        done.append(walked.where(F.col("slot") < n))
-        left = walked.where(F.col("slot") >= n)
-        if left.isEmpty():
-            break
+    outside = numbers.sparkSession.range(n).select(F.col("id").alias(number), walk(F.col("id")).alias("slot"))
+    left = tables.store(outside.where(F.col("slot") >= n), "walk-0")
+    if left.isEmpty():
+        return numbers.withColumn("slot", walk(F.col(number)))
+    turn, done = 0, []
+    while not left.isEmpty():
         turn += 1
         walked = tables.store(left.withColumn("slot", walk(F.col("slot"))), f"walk-{turn}")
-    out = done[0]
+        done.append(walked.where(F.col("slot") < n))
+        left = walked.where(F.col("slot") >= n)
+    late = done[0]
     for more in done[1:]:
-        out = out.unionByName(more)
-    return out
+        late = late.unionByName(more)
+    late = late.withColumnRenamed("slot", "late")
+    if late.count() <= BROADCAST_ROWS:
+        late = F.broadcast(late)
+    joined = numbers.join(late, number, "left")
+    return joined.withColumn("slot", F.coalesce(F.col("late"), walk(F.col(number)))).drop("late")
 
 
-#: Steps of the cycle walk in one go: fewer than one number in 4,000 is still outside after that many.
-WALK = 32
+#: Steps of the cycle walk in the expression: about one number in 100 million is still outside after that many.
+WALK = 64
 
 
 def numbered(counts: DataFrame, tables: Tables) -> tuple[DataFrame, int]:

@@ -101,22 +101,26 @@ def test_training_order_has_all_token_ids(spark):
     wanted = collections.Counter()
     for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
         ids = tool.encode(r.text or "", add_special_tokens=False).ids
-        for part in range(-(-len(ids) // 1024)):
-            own = ids[part * 1024 : (part + 1) * 1024]
-            wanted[r.doc_id, part, len(own), hashlib.sha256(struct.pack(f"<{len(own)}I", *own)).hexdigest()] += 1
+        for part in range(-(-len(ids) // queries.SEQUENCE)):
+            own = ids[part * queries.SEQUENCE : (part + 1) * queries.SEQUENCE]
+            wanted[r.doc_id, part, len(own), hashlib.sha256(struct.pack(f"<{len(own)}H", *own)).hexdigest()] += 1
     rows = queries.op1_training_order(spark, sf).collect()
     assert collections.Counter((r.doc_id, r.part, r.n_ids, r.ids_sha256) for r in rows) == wanted
     assert sorted(r.slot for r in rows) == list(range(len(rows)))
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 17, 1000])
-def test_feistel_walk_is_a_permutation(spark, n):
+def test_feistel_walk_is_a_permutation(spark, n, monkeypatch):
     from casewise.llm.common import Tables
 
     tables = Tables(spark)
-    found = [r.slot for r in shards.slots(spark.range(n), "id", n, 5, tables).collect()]
+    found = [r.slot for r in shards.slots(spark.range(n), "id", n, 5, tables).orderBy("id").collect()]
     assert sorted(found) == list(range(n))
     tables.drop()
+    monkeypatch.setattr(shards, "WALK", 1)  # many numbers are walked on as a table
+    again = Tables(spark)
+    assert [r.slot for r in shards.slots(spark.range(n), "id", n, 5, again).orderBy("id").collect()] == found
+    again.drop()
 
 
 HARD = [
