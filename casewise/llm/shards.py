@@ -20,6 +20,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -119,12 +121,6 @@ def little_endian(number: Column, size: int = 4) -> Column:
     return F.unhex(F.concat(*(F.lpad(F.hex(F.shiftrightunsigned(number, 8 * i).bitwiseAND(F.lit(255)).cast("long")), 2, "0") for i in range(size))))
 
 
-def read_number(raw: Column, first: int, size: int) -> Column:
-    """The signed number of ``size`` bytes, little-endian, from byte ``first`` (1 is the first one) on."""
-    digits = F.hex(F.substring(raw, first, size))
-    return F.conv(F.concat(*(F.substring(digits, 2 * i + 1, 2) for i in reversed(range(size)))), 16, -10).cast("long")
-
-
 def materialised(
     docs: DataFrame, id_col: str = "doc_id", bytes_col: str = "ids", length: int = 1024, width: int = 1, key: int = 2024,
     shard: int = SHARD, tables: Tables | None = None,
@@ -190,22 +186,27 @@ def read_shards(
     if "shard" not in files.columns:  # no sequences
         files = files.withColumn("shard", F.lit(0))
     stride = HEAD + 4 + length * width + TAIL
-    cut = F.transform(
-        F.sequence(F.lit(0), (F.length("content") / stride).cast("int") - 1),
-        lambda i: F.struct(i.alias("row"), F.substring(F.col("content"), i * stride + 1, F.lit(stride - TAIL)).alias("raw")),
-    )
-    number = F.col("shard").cast("long")
-    raw = F.col("r.raw")
-    return (
-        files.where((F.col("shard") >= first_slot // shard) & (F.length("content") > 0))
-        .select(number.alias("shard"), F.explode(cut).alias("r"))
-        .withColumn("slot", F.col("shard") * shard + F.col("r.row")).where(F.col("slot") >= first_slot)
-        .select(
-            "slot", "shard", F.col("r.row").alias("row"),
-            F.when(F.substring(raw, 1, 1) == F.lit(b"\1"), read_number(raw, 2, 8)).alias("doc_id"),
-            read_number(raw, 10, 4).cast("int").alias("part"), read_number(raw, HEAD + 1, 4).cast("int").alias("n_ids"),
-            F.substring(raw, HEAD + 1, stride).alias("record"),
-        )
+    head = np.dtype([("known", "u1"), ("doc_id", "<i8"), ("part", "<i4"), ("n_ids", "<i4"), ("ids", "V", length * width), ("end", "V", TAIL)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                number, content = batch.column(0)[i].as_py(), batch.column(1)[i].as_buffer()
+                found = np.frombuffer(content, head, len(content) // stride)
+                slot = number * shard + np.arange(len(found))
+                kept = np.flatnonzero(slot >= first_slot)
+                raw = np.frombuffer(content, np.uint8, len(found) * stride).reshape(-1, stride)[kept, HEAD : stride - TAIL]
+                ends = np.arange(len(kept) + 1, dtype=np.int32) * (stride - HEAD - TAIL)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(slot[kept]), pa.array(np.full(len(kept), number)), pa.array(kept, pa.int32()),
+                    pa.array(found["doc_id"][kept].astype(np.int64), mask=found["known"][kept] == 0),
+                    pa.array(found["part"][kept].astype(np.int32)), pa.array(found["n_ids"][kept].astype(np.int32)),
+                    pa.Array.from_buffers(pa.binary(), len(kept), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(raw))]),
+                ], ["slot", "shard", "row", "doc_id", "part", "n_ids", "record"])
+
+    wanted = files.where((F.col("shard") >= first_slot // shard) & (F.length("content") > 0))
+    return wanted.select(F.col("shard").cast("long").alias("shard"), "content").mapInArrow(
+        run, "slot bigint, shard bigint, row int, doc_id bigint, part int, n_ids int, record binary"
     )
 
 
