@@ -12,7 +12,6 @@ an empty one. Other columns are kept; a new column that would clash gets undersc
 
 from __future__ import annotations
 
-import functools
 import os
 import tempfile
 import uuid
@@ -143,10 +142,16 @@ class _Encoder:
         return data[keep], ends - np.concatenate([[0], np.cumsum(counts > 0)])
 
 
-@functools.lru_cache(maxsize=2)
+#: The encoder of this worker: one at a time, as each holds the vocabulary and a table of words.
+_HELD: dict[tuple[str, str], _Encoder] = {}
+
+
 def _encoder(tokenizer: str, lexicon: str) -> _Encoder:
-    with open(tokenizer, encoding="utf-8") as file:
-        return _Encoder(file.read(), SparkFiles.get(lexicon))
+    if (tokenizer, lexicon) not in _HELD:
+        _HELD.clear()  # the last one goes before the next one is built
+        with open(tokenizer, encoding="utf-8") as file:
+            _HELD[tokenizer, lexicon] = _Encoder(file.read(), SparkFiles.get(lexicon))
+    return _HELD[tokenizer, lexicon]
 
 
 def _binary(flat: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.Array:
