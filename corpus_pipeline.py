@@ -6,14 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casewise.llm import encoding, jaccard, langid, mixing, recipes
-from casewise.llm.common import Tables
+from casewise.llm.common import Tables, added
 from casewise.llm.queries import tokenizer
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Null texts and texts without a letter go. Languages are learned from the labels of ``docs``; without labels, all others stay."""
     labels, weights = langid.fit(docs)
-    marked = langid.predicted(docs.withColumn("pipeline_text", F.col("text")), labels, weights, "pipeline_text")
+    (text,) = added(docs, "pipeline_text")
+    marked = langid.predicted(docs.withColumn(text, F.col("text")), labels, weights, text)
     return marked.where(F.coalesce(F.col(marked.columns[-1]), F.lit(1.0)) > 0).select(*docs.columns)  # 0 without a letter only
 
 
