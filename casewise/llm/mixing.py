@@ -1,12 +1,16 @@
 """Mixing sources to target weights by weighted fair queueing, with DataFrame functions only.
 
-The documents of a source queue in an order given by a hash of their id. A copy of a document starts and finishes in
-virtual time: words of the source queued up to there, divided by the source's target. All sources reach virtual time 1
-when they have given their targets, so cutting there is cutting the globally sorted queue at the total budget; the copy
-that lies across the cut gives its first words only.
-
-The queue positions are sums in two levels, over buckets of the hash and then inside a bucket, so a source with a large
-part of all rows is shared out over all tasks.
+The documents of a source queue in an order given by a hash of their id and text, and again for every further round. Each
+copy of a document finishes in virtual time: words of its source queued up to its end, divided by the source's target. All
+copies are sorted globally by virtual finish time, and the queue is cut where its running total of words reaches the total
+budget, the targets in whole words. The copy of a source in which virtual time 1 falls queues in two pieces, up to
+there and from there on, so a source with long documents comes as near to its target as one with short ones. What the
+sorted queue gives of each source is always the beginning of that source's own queue, which places the cut in every document.
+
+All sums are in two levels. Places in a source's queue: over buckets of the hash, then inside a bucket. Places in the global
+queue: over ranges of virtual time, then inside a range; every source gives its words evenly over virtual time, so
+ranges of equal length hold equally many words and need no sample. A source with a large part of all rows is shared out over
+all tasks.
 
 Null sources are a source of their own, the last one. Null ids and repeated rows queue as rows of their own (rows equal
 in id and text are interchangeable). Null, empty and blank texts have size 0 and nothing is taken of them. A table
@@ -20,10 +24,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from casewise.llm.common import WORD, added
+from casewise.llm.common import WORD, Tables, added, partitions
+from casewise.session import durable
 
-#: Buckets of the hash: one for so many rows, so many at most.
+#: Buckets of the hash and ranges of virtual time: one for so many rows, so many at most.
 BUCKET_ROWS, MOST_BUCKETS = 512, 1 << 16
+#: Columns that a mix adds.
+NAMES = ("size", "source_size", "target", "queued", "taken", "virtual_finish")
 
 
 def n_words(text: Column) -> Column:
@@ -56,6 +63,50 @@ def targets(sizes: DataFrame, weights: Sequence[float], share: float, cap: float
     )
 
 
+def time_range(finish: Column, ranges: int) -> Column:
+    """Which of ``ranges`` equal parts of virtual time 0 to 1 a finish time is in; later ones are in the last."""
+    return F.least(F.floor(finish * F.lit(ranges)), F.lit(ranges - 1)).cast("int")
+
+
+def queue(placed: DataFrame, rounds: int, ranges: int) -> DataFrame:
+    """source_key, size, total, target, queued -> a row for each piece in the queue: source_key, words, end, finish, range.
+
+    ``end`` counts the words of the source up to the end of the piece. Copies that start when their source has given its
+    target come after the budget in any order and are left out.
+    """
+    whole = F.floor("target")
+    start = F.col("queued") + F.col("round") * F.col("total")
+    served = F.least(F.col("size"), whole - start)
+    both = F.array(
+        F.struct(served.alias("words"), (start + served).alias("end")),
+        F.struct((F.col("size") - served).alias("words"), (start + F.col("size")).alias("end")),
+    )
+    return (
+        placed.where("size > 0 AND target > 0")
+        .withColumn("round", F.explode(F.array(*(F.lit(r).cast("long") for r in range(rounds)))))
+        .where(start < whole)
+        .select("source_key", "target", F.inline(both))
+        .where("words > 0")
+        .withColumn("finish", F.col("end") / F.col("target"))
+        .select("source_key", "words", "end", "finish", time_range(F.col("finish"), ranges).alias("range"))
+    )
+
+
+def truncated(queued: DataFrame, budget: int) -> DataFrame:
+    """The queue sorted by finish time, with place (words before a piece) and given (its words within the budget)."""
+    sums = queued.groupBy("range").agg(F.sum("words").alias("range_words"))
+    offsets = sums.select(
+        "range", (F.sum("range_words").over(Window.orderBy("range")) - F.col("range_words")).alias("offset")
+    )  # one row for each range
+    inside = Window.partitionBy("range").orderBy("finish", "source_key", "end")
+    place = F.col("offset") + F.sum("words").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("words")
+    return (
+        queued.join(F.broadcast(offsets), "range")
+        .withColumn("place", place)
+        .withColumn("given", F.greatest(F.lit(0).cast("long"), F.least(F.col("words"), F.lit(budget) - F.col("place"))))
+    )
+
+
 def mix(
     docs: DataFrame,
     weights: Sequence[float] = (3, 1, 2),
@@ -74,19 +125,20 @@ def mix(
     """
     rows = docs.count()
     buckets = max(1, min(MOST_BUCKETS, -(-rows // BUCKET_ROWS)))
-    size, total, target, queued, taken, finish = added(
-        docs, "size", "source_size", "target", "queued", "taken", "virtual_finish"
+    rounds = max(1, -int(-cap // 1))
+    size, total, target, queued, taken, finish = added(docs, *NAMES)
+    key, bucket, place, offset, inner, given = added(
+        docs, "mix_key", "mix_bucket", "mix_place", "mix_offset", "mix_inner", "mix_given"
     )
-    key, bucket, place, offset, inner = added(docs, "mix_key", "mix_bucket", "mix_place", "mix_offset", "mix_inner")
     sized = docs.withColumns({
         size: n_words(F.col(text_col)),
         key: F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("")),
-        place: F.xxhash64(F.lit(seed), F.col(id_col)),
+        place: F.xxhash64(F.lit(seed), F.col(id_col), F.xxhash64(text_col)),
     }).withColumn(bucket, F.pmod(F.shiftrightunsigned(place, 20), F.lit(buckets)))
-    sums = sized.groupBy(key, bucket).agg(F.sum(size).alias("bucket_size"))
-    sources = targets(
+    sums = durable(sized.groupBy(key, bucket).agg(F.sum(size).alias("bucket_size")))
+    sources = durable(targets(
         sums.groupBy(F.col(key).alias("source_key")).agg(F.sum("bucket_size").alias("source_size")), weights, share, cap
-    )
+    ))
     up_to = Window.partitionBy(key).orderBy(bucket)
     offsets = (
         sums.withColumn(offset, F.sum("bucket_size").over(up_to) - F.col("bucket_size"))
@@ -99,46 +151,60 @@ def mix(
         .withColumn(inner, F.sum(size).over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col(size))
         .withColumn(queued, F.col(offset) + F.col(inner))
     )
-    whole = F.floor(target)
+    tables = Tables(docs.sparkSession)
+    narrow = placed.select(
+        F.col(key).alias("source_key"), F.col(size).alias("size"), F.col(total).alias("total"), F.col(target).alias("target"),
+        F.col(queued).alias("queued"),
+    )
+    pieces = tables.store(queue(narrow, rounds, buckets), "queue")
+    budget = sources.agg(F.sum(F.floor("target"))).first()[0] or 0
+    of_source = durable(truncated(pieces, budget).groupBy(F.col("source_key").alias(key)).agg(F.sum("given").alias(given)))
+    tables.drop()
     copies = [
-        F.greatest(F.lit(0), F.least(F.col(size), whole - F.lit(copy) * F.col(total) - F.col(queued)))
-        for copy in range(max(1, -int(-cap // 1)))
+        F.greatest(F.lit(0), F.least(F.col(size), F.col(given) - F.lit(copy) * F.col(total) - F.col(queued)))
+        for copy in range(rounds)
     ]
-    return placed.withColumns({
+    return placed.join(of_source, key, "left").withColumn(given, F.coalesce(given, F.lit(0))).withColumns({
         taken: sum(copies[1:], copies[0]).cast("long"),
         finish: F.when(F.col(target) > 0, (F.col(queued) + F.col(size)) / F.col(target)),
     }).select(*docs.columns, size, total, target, queued, taken, finish)
 
 
-def schedule(mixed: DataFrame, id_col: str = "doc_id", size: str = "size", taken: str = "taken") -> DataFrame:
-    """One row for each copy that the mix takes, sorted globally by virtual finish time.
+def in_order(mixed: DataFrame, copies: Column, id_col: str = "doc_id", names: Sequence[str] = NAMES) -> DataFrame:
+    """Rows of a mix as often as ``copies`` says, sorted globally by virtual finish time; new columns copy (from 0) and finish.
 
-    New columns: copy (from 0), words (of this copy, fewer than ``size`` only where the budget ends), finish.
+    Partitions are ranges of virtual time in order, each sorted, so files written from it are the queue.
     """
-    copies = F.sequence(F.lit(0), F.ceil(F.col(taken) / F.col(size)).cast("int") - 1)
+    size, total, target, queued, *_ = names
+    copy, finish = added(mixed, "copy", "finish")
+    ranges = partitions(mixed.sparkSession)
     return (
-        mixed.where(F.col(taken) > 0)
-        .withColumn("copy", F.explode(copies))
-        .withColumns({
-            "words": F.least(F.col(size), F.col(taken) - F.col("copy") * F.col(size)),
-            "finish": (F.col("queued") + F.col(size) + F.col("copy") * F.col("source_size")) / F.col("target"),
-        })
-        .repartitionByRange(F.col("finish"), F.col(id_col))
-        .sortWithinPartitions("finish", id_col)
+        mixed.withColumn(copy, F.explode(F.when(copies > 0, F.sequence(F.lit(0), copies.cast("int") - 1)).otherwise(F.array().cast("array<int>"))))
+        .withColumn(finish, (F.col(queued) + F.col(size) + F.col(copy) * F.col(total)) / F.col(target))
+        .repartitionById(ranges, time_range(F.col(finish), ranges))
+        .sortWithinPartitions(finish, id_col, copy)
     )
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that the mix takes, whole, once for each copy; the last copy is kept if at least half of it is.
+def schedule(mixed: DataFrame, id_col: str = "doc_id", names: Sequence[str] = NAMES) -> DataFrame:
+    """One row for each copy that the mix takes, sorted globally by virtual finish time.
+
+    New columns: copy (from 0), finish, words (of this copy, fewer than its size only where the budget ends).
+    """
+    size, taken = names[0], names[4]
+    copy, _, words = added(mixed, "copy", "finish", "words")
+    begun = F.when(F.col(taken) > 0, F.ceil(F.col(taken) / F.col(size)))
+    left = F.col(taken) - F.col(copy) * F.col(size)
+    return in_order(mixed, begun, id_col, names).withColumn(words, F.least(F.col(size), left))
+
 
-    A document of which less than half a copy is taken goes; documents without words are not part of a mix.
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """The rows of ``docs`` that the mix takes, whole, once for each copy, in the order of the queue (virtual finish time).
+
+    The last copy of a document is kept if at least half of it is taken; a document of which less than half a copy is taken
+    goes. Documents without words are not part of a mix.
     """
-    size, taken = added(docs, "size", "taken")
-    found = mix(docs, **options)
-    copies = F.floor(F.col(taken) / F.col(size) + F.lit(0.5)).cast("int")
-    marker, = added(found, "mix_copy")
-    return (
-        found.where((F.col(taken) > 0) & (copies > 0))
-        .withColumn(marker, F.explode(F.sequence(F.lit(1), copies)))
-        .select(*docs.columns)
-    )
+    names = added(docs, *NAMES)
+    size, taken = names[0], names[4]
+    copies = F.when(F.col(taken) > 0, F.floor(F.col(taken) / F.col(size) + F.lit(0.5)))
+    return in_order(mix(docs, id_col=id_col, **options), copies, id_col, names).select(*docs.columns)

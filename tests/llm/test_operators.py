@@ -184,11 +184,51 @@ def test_mix(docs, nothing):
         assert abs(taken[s] - target[s]) <= 1
     again = sorted((r.doc_id, r.taken) for r in mixing.mix(docs.repartition(2)).collect())
     assert again == sorted((r.doc_id, r.taken) for r in rows)
+    # a plain queue: every copy by virtual finish time, those across time 1 in two pieces, cut at the total budget
+    pieces, places = [], collections.defaultdict(list)
+    for i, r in enumerate(rows):
+        for copy in range(2 if r.target else 0):
+            start = r.queued + copy * r.source_size
+            cut = min(max(math.floor(r.target), start), start + r._size)
+            pieces += [(end / r.target, r.source or "", end, end - low, i) for low, end in ((start, cut), (cut, start + r._size)) if end > low]
+        places[r.source] += [(r.queued, r.queued + r._size)] if r._size else []
+    for s, spans in places.items():
+        spans.sort()
+        assert [a for a, _ in spans] == [0, *(b for _, b in spans[:-1])] and spans[-1][1] == sizes[s]
+    budget, plain = sum(math.floor(t) for t in target.values()), collections.Counter()
+    for _, _, _, words, i in sorted(pieces):
+        plain[i] += min(words, budget)
+        budget -= min(words, budget)
+    assert [plain[i] for i in range(len(rows))] == [r.taken for r in rows]
     copies = mixing.mixed_documents(docs)
     assert copies.columns == docs.columns and copies.count() > 0
     steps = mixing.schedule(mixing.mix(docs.drop("size"))).collect()
     assert [s.finish for s in steps] == sorted(s.finish for s in steps)
     assert sum(s.words for s in steps) == sum(taken.values())
+    wanted = sorted((s.doc_id, s.copy) for s in steps if 2 * s.words >= s.size)
+    assert sorted(r.doc_id for r in copies.collect()) == [i for i, _ in wanted]
+
+
+def test_mix_of_null_ids_and_of_texts_without_words(spark):
+    """Rows without an id are spread by their texts; sources without words and a table without words take nothing."""
+    rows = [(None, f"w{i} x" if i % 3 else " ", "a" if i % 2 else None) for i in range(1000)] + [(1, None, "empty"), (1, "", "empty")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = mixing.mix(table).collect()
+    assert len(mixed) == len(rows) and all(r.taken == 0 and r.target == 0 for r in mixed if r.source == "empty")
+    assert sum(r.taken for r in mixed) == sum(math.floor(t) for t in {r.source: r.target for r in mixed}.values())
+    assert len({r.queued for r in mixed if r.source == "a" and r.size}) == sum(r.source == "a" and r.size > 0 for r in mixed)
+    blank = mixing.mix(table.where("trim(text) = ''")).collect()
+    assert len(blank) == 335 and all(r.taken == 0 and r.target == 0 and r.virtual_finish is None for r in blank)
+    assert mixing.mixed_documents(table.where("trim(text) = ''")).count() == 0
+
+
+def test_the_range_of_virtual_time_does_not_change_a_mix(docs, monkeypatch):
+    wanted = sorted(tuple(r) for r in mixing.mix(docs).select("source", "source_size", "target", "taken").groupBy(
+        "source", "source_size", "target").agg(F.sum("taken")).collect() if r.source)
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 3)
+    found = sorted(tuple(r) for r in mixing.mix(docs).select("source", "source_size", "target", "taken").groupBy(
+        "source", "source_size", "target").agg(F.sum("taken")).collect() if r.source)
+    assert found == wanted
 
 
 @pytest.mark.parametrize("most_words", [10**6, 0])

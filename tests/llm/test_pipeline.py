@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
 from casewise.llm import queries
+from casewise.llm.common import Tables
 from checks.compare import connect, difference
 
 SF = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
@@ -75,7 +76,7 @@ def test_near_copies_mixing_and_tokens_equal_plain_versions(spark):
     assert sorted(r.doc_id for r in near.collect()) == sorted(set(head.values())) and len(set(head.values())) < len(head)
 
     sized = [(r.source, r.place, r.doc_id, r.words) for r in near.select(
-        "source", "doc_id", F.xxhash64(F.lit(17), "doc_id").alias("place"), F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).alias("words")
+        "source", "doc_id", F.xxhash64(F.lit(17), "doc_id", F.xxhash64("text")).alias("place"), F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).alias("words")
     ).collect()]
     totals = collections.Counter()
     for source, _, _, words in sized:
@@ -89,7 +90,7 @@ def test_near_copies_mixing_and_tokens_equal_plain_versions(spark):
         left -= target[s]
     mixed = corpus_pipeline.mixing_sources(spark, near, SF).cache()
     found, got = collections.Counter(r.doc_id for r in mixed.collect()), collections.Counter()
-    buckets = max(1, -(-len(sized) // 512))
+    buckets, finish = max(1, -(-len(sized) // 512)), collections.defaultdict(list)
     for s in totals:
         queue = sorted((x for x in sized if x[0] == s), key=lambda x: (((x[1] % 2**64) >> 20) % buckets, x[1], x[2]))
         for copy in range(2):
@@ -97,8 +98,13 @@ def test_near_copies_mixing_and_tokens_equal_plain_versions(spark):
             for _, _, i, words in queue:
                 got[i] += max(0, min(words, math.floor(target[s] + 1e-9) - before))
                 before += words
+                finish[i].append(before / target[s])
     wanted = {i: math.floor(got[i] / words + 0.5) for _, _, i, words in sized if words}
     assert dict(found) == {i: n for i, n in wanted.items() if n}
+    order = [(t, i) for i, n in wanted.items() for t in finish[i][:n]]
+    stored = Tables(spark).store(corpus_pipeline.mixing_sources(spark, near, SF), "mix")
+    files = stored.withColumn("file", F.input_file_name()).withColumn("row", F.monotonically_increasing_id()).collect()
+    assert [r.doc_id for r in sorted(files, key=lambda r: (r.file.rsplit("/", 1)[1], r.row))] == [i for _, i in sorted(order)]
 
     tool = tokenizers.Tokenizer.from_file(corpus_pipeline.tokenizer("word_bpe_49k.json"))
     text = {r.doc_id: r.text for r in near.collect()}
