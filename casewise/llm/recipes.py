@@ -81,32 +81,38 @@ def _chunks(text: bytes) -> Iterator[bytes]:
         start = end
 
 
-def _identity(chunk: bytes) -> int:
-    value = xxhash.xxh3_64_intdigest(chunk)
+def _identity(chunk: bytes, bits: int) -> int:
+    value = xxhash.xxh3_64_intdigest(chunk) >> (64 - bits)
     return value - (1 << 64) if value >> 63 else value
 
 
-def _chunk_rows(batches):
+def _chunk_rows(bits: int):
     """Each chunk once for each run of rows; equal ones of other runs are merged before the shuffle."""
-    for batch in batches:
-        for texts in _pieces(batch.column(0)):
-            found = {chunk: None for text in texts for chunk in _chunks(text)}
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([_identity(c) for c in found], pa.int64()), pa.array(list(found), pa.binary())], ["hash", "chunk"]
-            )
+    def run(batches):
+        for batch in batches:
+            for texts in _pieces(batch.column(0)):
+                found = {chunk: None for text in texts for chunk in _chunks(text)}
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([_identity(c, bits) for c in found], pa.int64()), pa.array(list(found), pa.binary())], ["hash", "chunk"]
+                )
 
+    return run
+
+
+def _recipe_rows(bits: int):
+    def run(batches):
+        for batch in batches:
+            ids, counts, digests = [], [], []
+            for text in _texts(batch.column(1)):
+                own = [_identity(c, bits) for c in _chunks(text)]
+                ids += own
+                counts.append(len(own))
+                digests.append(hashlib.sha256(text).hexdigest())
+            offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
+            recipes = pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), recipes, pa.array(digests)], ["doc_id", "recipe", "text_sha256"])
 
-def _recipe_rows(batches):
-    for batch in batches:
-        ids, counts, digests = [], [], []
-        for text in _texts(batch.column(1)):
-            own = [_identity(c) for c in _chunks(text)]
-            ids += own
-            counts.append(len(own))
-            digests.append(hashlib.sha256(text).hexdigest())
-        offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
-        recipes = pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int64()))
-        yield pa.RecordBatch.from_arrays([batch.column(0), recipes, pa.array(digests)], ["doc_id", "recipe", "text_sha256"])
+    return run
 
 
 def collisions(store: DataFrame) -> DataFrame:
@@ -115,7 +121,7 @@ def collisions(store: DataFrame) -> DataFrame:
     return store.join(twice, "hash").withColumn("number", F.row_number().over(Window.partitionBy("hash").orderBy("chunk")))
 
 
-def _told_apart(docs: DataFrame, recipes: DataFrame, clashing: DataFrame) -> DataFrame:
+def _told_apart(docs: DataFrame, recipes: DataFrame, clashing: DataFrame, bits: int) -> DataFrame:
     """Recipes in which chunks of clashing hashes carry their number; only their documents are read again.
 
     A text's digest is the key here, so equal rows need no number of their own.
@@ -126,7 +132,7 @@ def _told_apart(docs: DataFrame, recipes: DataFrame, clashing: DataFrame) -> Dat
             for text in _texts(batch.column(0)):
                 digest = hashlib.sha256(text).hexdigest()
                 for place, chunk in enumerate(_chunks(text)):
-                    for column, value in zip(out, (digest, place, _identity(chunk), chunk)):
+                    for column, value in zip(out, (digest, place, _identity(chunk, bits), chunk)):
                         column.append(value)
             kinds = (pa.string(), pa.int32(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays(
@@ -142,23 +148,25 @@ def _told_apart(docs: DataFrame, recipes: DataFrame, clashing: DataFrame) -> Dat
     return recipes.join(found, "text_sha256", "left")
 
 
-def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = 64) -> DataFrame:
     """One row for each row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256, recipe.
 
-    text_sha256 is the digest of the normalised text; recipe lists the identifiers of its chunks.
+    text_sha256 is the digest of the normalised text; recipe lists the identifiers of its chunks, hashes of ``bits`` bits (the
+    result is the same for any number; with few, chunks clash and are told apart). Recipes are stored once, in the shared folder.
     """
-    tables = Tables(docs.sparkSession)
+    tables, checked = Tables(docs.sparkSession), Tables(docs.sparkSession)
     texts = docs.select(F.col(text_col).alias("text"))
-    store = texts.mapInArrow(_chunk_rows, "hash bigint, chunk binary").distinct()
-    clashing = tables.store(collisions(store), "collisions")
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        _recipe_rows, "doc_id bigint, recipe array<bigint>, text_sha256 string"
+    store = texts.mapInArrow(_chunk_rows(bits), "hash bigint, chunk binary").distinct()
+    clashing = checked.store(collisions(store), "collisions")
+    recipes = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
+        _recipe_rows(bits), "doc_id bigint, recipe array<bigint>, text_sha256 string"
     )
+    rows = tables.store(recipes, "recipes")
     if clashing.isEmpty():
-        tables.drop()
+        checked.drop()
         rows = rows.withColumn("numbers", F.lit(None).cast("array<struct<place:int,number:int>>"))
     else:
-        rows = _told_apart(texts, rows, clashing)
+        rows = _told_apart(texts, rows, clashing, bits)
     rows = rows.withColumn("numbers", F.coalesce("numbers", F.array().cast("array<struct<place:int,number:int>>")))
     list_of = ["recipe", "numbers"]
     groups = rows.groupBy(*list_of).agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
