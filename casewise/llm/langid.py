@@ -6,7 +6,8 @@ landmarks (Nyström): the kernel is projected on them, and one ridge regression
 the rest, is fitted in their space. N-grams are hashed to ``FEATURES`` places.
 
 A bounded sample is fitted, ``SAMPLE`` labelled texts of each language at most, those with the smallest hash of their id
-and text; the landmarks are the first ``LANDMARKS`` of them. All texts are scored whole. As each score is a sum over the
+and text; the landmarks are the first of them, in equal numbers for each language: ``LANDMARKS`` in all, and more from the
+language on that would leave one with less than ``LEAST_MARKS``. All texts are scored whole. As each score is a sum over the
 landmarks of products with presence, the landmarks' weights are multiplied out once, and a block of texts is scored by one
 matrix product of presence and n-gram weights.
 
@@ -30,7 +31,7 @@ from pyspark.sql.types import StructType
 from casewise.llm.common import added, lower, mixed, pieces
 
 FEATURES, LONGEST = 1 << 15, 3
-SAMPLE, LANDMARKS = 400, 64
+SAMPLE, LANDMARKS, LEAST_MARKS = 400, 64, 4
 #: Weight of the ridge, and how steeply scores follow the margin between the languages.
 RIDGE, SLOPE = 0.1, 4.0
 #: Texts in one matrix product.
@@ -111,14 +112,15 @@ def fit(
         return [], np.zeros((FEATURES + 1, 0), np.float32)
     # presence stays packed; blocks of texts are unpacked one at a time
     packed = np.array([np.frombuffer(row.bits, np.uint8) for row in rows])
-    own = np.array([labels.index(row.label) for row in rows])
+    number = {label: i for i, label in enumerate(labels)}
+    own = np.array([number[row.label] for row in rows])
 
     def unpacked(part: np.ndarray) -> np.ndarray:
         return normed(np.unpackbits(part, axis=1)[:, :FEATURES].astype(np.float32))
 
-    # landmarks: the first texts of each label, in equal numbers
-    rank = np.array([int((own[:i] == label).sum()) for i, label in enumerate(own)])
-    marks = unpacked(packed[np.argsort(rank, kind="stable")[:landmarks]])
+    # landmarks: the first texts of each label, in equal numbers; rows are in the order of their labels
+    rank = np.arange(len(own)) - np.searchsorted(own, own)
+    marks = unpacked(packed[np.argsort(rank, kind="stable")[: max(landmarks, LEAST_MARKS * len(labels))]])
     values, vectors = np.linalg.eigh((marks @ marks.T).astype(np.float64))
     kept = values > values.max() * 1e-6
     root = vectors[:, kept] / np.sqrt(values[kept])
