@@ -127,13 +127,14 @@ def mix(
     buckets = max(1, min(MOST_BUCKETS, -(-rows // BUCKET_ROWS)))
     rounds = max(1, -int(-cap // 1))
     size, total, target, queued, taken, finish = added(docs, *NAMES)
-    key, bucket, place, offset, inner, given = added(
-        docs, "mix_key", "mix_bucket", "mix_place", "mix_offset", "mix_inner", "mix_given"
+    key, bucket, place, text_hash, offset, inner, given = added(
+        docs, "mix_key", "mix_bucket", "mix_place", "mix_text_hash", "mix_offset", "mix_inner", "mix_given"
     )
     sized = docs.withColumns({
         size: n_words(F.col(text_col)),
         key: F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("")),
         place: F.xxhash64(F.lit(seed), F.col(id_col), F.xxhash64(text_col)),
+        text_hash: F.xxhash64(text_col),  # known before the shuffle, which needs no text then
     }).withColumn(bucket, F.pmod(F.shiftrightunsigned(place, 20), F.lit(buckets)))
     sums = durable(sized.groupBy(key, bucket).agg(F.sum(size).alias("bucket_size")))
     sources = durable(targets(
@@ -145,7 +146,7 @@ def mix(
         .join(sources.withColumnRenamed("source_key", key), key)
         .select(key, bucket, offset, F.col("source_size").alias(total), F.col("target").alias(target))
     )
-    inside = Window.partitionBy(key, bucket).orderBy(place, id_col, F.xxhash64(text_col))
+    inside = Window.partitionBy(key, bucket).orderBy(place, id_col, text_hash)
     placed = (
         sized.join(offsets, [key, bucket])
         .withColumn(inner, F.sum(size).over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col(size))
