@@ -91,7 +91,8 @@ def sequence_events(
     size asks for; each chunk is numbered on its own and a small per-chunk table carries
     counts, the next chunk's first activity and the previous chunk's last time across the
     boundaries. The chunk assignment is checkpointed because it must not change between the
-    two reads of it.
+    two reads of it. A chunk is a task, so a low ``hot_events`` does not make more chunks than
+    a shuffle has partitions, unless they would hold more than ``HOT_CASE_EVENTS`` each.
     """
     gaps = dict(gaps or {})
     sizes = log.groupBy("case_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_events)
@@ -103,7 +104,7 @@ def sequence_events(
     hot = F.broadcast(sizes.select("case_id"))
     cold = _sequence_within(log.join(hot, "case_id", "left_anti"), ["case_id"], gaps)
 
-    n_chunks = max(2, math.ceil(hot_total / hot_events))
+    n_chunks = _chunk_count(hot_total, hot_events, int(log.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     chunked = durable(
         log.join(hot, "case_id", "left_semi")
         .repartitionByRange(n_chunks, "case_id", "ts", "ord")
@@ -154,6 +155,11 @@ def sequence_events(
     return cold.unionByName(whole.drop("chunk"))
 
 
+def _chunk_count(events: int, hot_events: int, shuffle_partitions: int) -> int:
+    most = max(shuffle_partitions, math.ceil(events / HOT_CASE_EVENTS))
+    return max(2, min(math.ceil(events / hot_events), most))
+
+
 def _sequence_within(log: DataFrame, keys: Sequence[str], gaps: Mapping[str, float]) -> DataFrame:
     order = Window.partitionBy(*keys).orderBy("ts", "ord")
     out = log.select(

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from casewise.operators import cases, dfg, event_log, variants, windows
+from casewise.session import durable
 
 SCHEMA = (
     "call_id bigint, district string, crop string, state string, season string, query_type string, "
@@ -135,6 +136,27 @@ def test_hot_case_is_ordered_in_chunks(long_log, rows):
     assert plain.agg(F.max("s")).first()[0] > 0
 
 
+def test_a_low_bound_makes_no_more_chunks_than_tasks(spark, long_log, rows, monkeypatch):
+    parts = []
+
+    def counted(df):
+        parts.append(df.rdd.getNumPartitions())
+        return durable(df)
+
+    monkeypatch.setattr(event_log, "durable", counted)
+    columns = ("case_id", "ord", "step", "prev_ts", "next_activity")
+    chunked = rows(event_log.sequence_events(long_log, hot_events=2), *columns)
+    assert chunked == rows(event_log.sequence_events(long_log), *columns)
+    assert parts == [int(spark.conf.get("spark.sql.shuffle.partitions"))]
+
+
+def test_chunks_grow_with_the_events_only_where_they_would_be_too_large():
+    hot = event_log.HOT_CASE_EVENTS
+    assert event_log._chunk_count(9_000_000, 50, 200) == 200
+    assert event_log._chunk_count(900 * hot, 50, 200) == event_log._chunk_count(900 * hot, hot, 200) == 900
+    assert event_log._chunk_count(hot + 1, hot, 200) == 2
+
+
 def test_hot_pair_is_compared_with_its_first_event(long_log, rows):
     assert rows(event_log.seen_before(long_log), "ord", "is_repeat") == rows(
         event_log.seen_before(long_log, hot_events=50), "ord", "is_repeat"
