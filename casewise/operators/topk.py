@@ -104,23 +104,45 @@ def _best(found: pd.DataFrame, k: int) -> pd.DataFrame:
     return ordered.groupby("query_id", sort=False).head(k)
 
 
+def _raised(floor: np.ndarray, sims: np.ndarray, k: int) -> np.ndarray:
+    """The least similarity that still counts, from the k-th best of each query among these rows; nan is no similarity."""
+    open_ = np.flatnonzero(np.isneginf(floor))
+    if len(sims) < k or not len(open_):
+        return floor
+    kth = -np.partition(-sims[:, open_], k - 1, axis=0)[k - 1]
+    out = floor.copy()
+    out[open_] = np.where(np.isnan(kth), -np.inf, np.round(kth, DIGITS))
+    return out
+
+
 def _k_best(block, parts, k: int, skip_self: bool) -> pd.DataFrame:
-    """The k best rows per query over all ``parts``, holding only the best so far."""
+    """The k best rows per query over all ``parts``, holding only the best so far.
+
+    Cells below a query's floor, in the first rows as in later ones, are dropped as numbers; only the others become rows.
+    """
     best = None
     floor = np.full(len(block.ids), -np.inf)
     for part in parts:
         ids = part.column("id").to_pandas()
         for first, sims in block.score(part):
-            sims = np.round(sims, DIGITS)
-            keep = sims >= floor
+            # a row's own query is no match and must not raise the floor
+            least = floor if skip_self else _raised(floor, sims, k)
+            keep = sims >= least - 10.0**-DIGITS
             if not block.keep_zero:
                 keep &= sims > 0
             row, query = np.nonzero(keep)
+            similarity = np.round(sims[row, query], DIGITS)
+            keep = similarity >= least[query]
+            if not block.keep_zero:
+                keep &= similarity > 0
+            row, query = row[keep], query[keep]
+            if best is not None and not len(row):
+                continue
             found = pd.DataFrame(
                 {
                     "query_id": block.ids.to_numpy()[query],
                     "id": ids.to_numpy()[first + row],
-                    "similarity": sims[row, query],
+                    "similarity": similarity[keep],
                     "_q": query,
                 }
             )

@@ -1,9 +1,10 @@
 """Dense search in blocks around pivots against the search that scores every row."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from casewise.operators import pivots
+from casewise.operators import pivots, topk
 from casewise.operators.topk import top_k
 
 SCHEMA = "id int, values array<double>"
@@ -49,3 +50,29 @@ def test_empty_corpus_null_vectors_and_few_rows(spark, rows, tmp_path):
     index = pivots.build(spark.createDataFrame([(7, [0.0, 2.0]), (8, None), (9, [-1.0, 5.0])], SCHEMA), str(tmp_path / "b"))
     assert rows(index.top_k(asked, 3)) == [(1, 7, 0.0, 1), (1, 9, -1.0, 2)]
     assert index.top_k(empty, 3).collect() == []
+
+
+def test_few_cells_become_rows(spark, rows, monkeypatch):
+    rng = np.random.default_rng(5)
+    corpus, queries = rng.integers(-3, 4, (1500, 4)) / 4.0, rng.integers(-3, 4, (60, 4)) / 4.0
+    corpus[7, 2] = np.nan
+    tables = [pa.table({"id": np.arange(len(m)), "values": list(m)}) for m in (corpus, queries)]
+    held = []
+
+    def best(found, k):
+        held.append(len(found))
+        return plain_best(found, k)
+
+    plain_best = topk._best
+    monkeypatch.setattr(topk, "_best", best)
+    monkeypatch.setattr(topk, "WORK", 60 * 100)  # slices of 100 rows
+    for skip_self in (False, True):
+        held.clear()
+        found = topk._k_best(topk.DenseBlock(tables[1]), [tables[0]], 5, skip_self)
+        for q in range(60):
+            sims = np.round(corpus @ queries[q], topk.DIGITS)
+            order = [int(i) for i in np.lexsort((np.arange(1500), -sims)) if not np.isnan(sims[i]) and not (skip_self and i == q)][:5]
+            own = found[found["query_id"] == q]
+            assert own["id"].tolist() == order and own["similarity"].tolist() == sims[order].tolist()
+        if not skip_self:
+            assert max(held) < 60 * 100 / 2  # not all cells of the first slice
