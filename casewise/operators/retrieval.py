@@ -38,16 +38,13 @@ class TfidfRetriever:
 
     def fit(self, corpus: DataFrame, text_col: str = "question", id_col: str = "call_id") -> TfidfRetriever:
         self.corpus, self.text_col, self.id_col = corpus, text_col, id_col
-        docs = corpus.select(F.col(id_col).alias("id"), self._terms(text_col))
-        self.model = tfidf.fit(docs, self.max_features)
+        docs = corpus.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+        self.model = tfidf.fit(docs, self.max_features, terms="text", stop_words=self.stop_words)
         self.index, self.lists = self._vectors(docs), None
         return self
 
-    def _terms(self, text_col: str):
-        return tfidf.text_terms(F.col(text_col), self.stop_words).alias("terms")
-
     def _vectors(self, docs: DataFrame) -> DataFrame:
-        return self.model.weights(docs).select("id", "vec.indices", "vec.weights")
+        return self.model.weights(docs, "text").select("id", "vec.indices", "vec.weights")
 
     def save_index(self, path: str) -> TfidfRetriever:
         """Keep the weighted corpus, so that later queries read vectors instead of texts."""
@@ -65,7 +62,7 @@ class TfidfRetriever:
         payload: Sequence[str] = PAYLOAD,
     ) -> DataFrame:
         """Per query the k most similar rows; terms the corpus does not have are ignored."""
-        asked = self._vectors(queries.select(F.col(query_id).alias("id"), self._terms(text_col)))
+        asked = self._vectors(queries.select(F.col(query_id).alias("id"), F.col(text_col).alias("text")))
         best = self.lists.top_k(asked, k) if self.lists else top_k(self.index, asked, k)
         return _with_payload(best, self.corpus, self.id_col, payload)
 

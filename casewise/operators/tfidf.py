@@ -4,20 +4,27 @@ The vocabulary is found by one partially aggregated count of the terms. Up to ``
 terms travel with the tasks, and weighting a text needs no shuffle: a row goes in and its
 sparse vector comes out, in the JVM. A larger vocabulary stays a table that is ranked by
 ranges and joined by term, with the same results.
+
+The column that is fitted and weighted holds lists of terms, or, where stop words are given (none of them is an empty
+list), texts: their words and pairs of words are counted and weighted as numbers (``grams``), and only those that may
+belong to the vocabulary are counted at all.
 """
 
 from __future__ import annotations
 
 import json
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import CountVectorizerModel, StopWordsRemover
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casewise.functions.text import let, term_counts, without, word_ngrams, words
+from casewise.operators import grams
 from casewise.operators.dictionary import ranked_terms
 from casewise.operators.joins import split_join
 from casewise.session import durable
@@ -51,11 +58,21 @@ def term_statistics(docs: DataFrame, terms: str = "terms") -> DataFrame:
     )
 
 
-def vocabulary(docs: DataFrame, max_features: int, min_df: int = 1, terms: str = "terms") -> DataFrame:
+def _statistics(docs: DataFrame, max_features: int, min_df: int, terms: str, stop_words: Sequence[str] | None) -> DataFrame:
+    """Term statistics of a column of terms or texts, of texts only those that a vocabulary of this size needs."""
+    if stop_words is None:
+        return term_statistics(docs, terms)
+    found = grams.frequent_terms(docs, terms, max_features, min_df, stop_words)
+    return term_statistics(docs.select(text_terms(F.col(terms), stop_words).alias(terms)), terms) if found is None else found
+
+
+def vocabulary(
+    docs: DataFrame, max_features: int, min_df: int = 1, terms: str = "terms", stop_words: Sequence[str] | None = None
+) -> DataFrame:
     """The most frequent terms with ``cf``, ``df`` and idf = ln((1+N)/(1+df)) + 1."""
     if max_features > HELD_TERMS:
-        return _term_table(docs, max_features, min_df, terms).select("term", "cf", "df", "idf")
-    stats = term_statistics(docs, terms)
+        return _term_table(docs, max_features, min_df, terms, stop_words).select("term", "cf", "df", "idf")
+    stats = _statistics(docs, max_features, min_df, terms, stop_words)
     n_docs = docs.agg(F.count(F.lit(1))).scalar()  # counts rows without reading their terms
     return (
         stats.where(F.col("term").isNotNull() & (F.col("df") >= min_df))
@@ -65,9 +82,9 @@ def vocabulary(docs: DataFrame, max_features: int, min_df: int = 1, terms: str =
     )
 
 
-def _term_table(docs: DataFrame, max_features: int, min_df: int, terms: str) -> DataFrame:
-    """term, hash, idx, cf, df, idf of a vocabulary that no task holds."""
-    stats = durable(term_statistics(docs, terms))
+def _term_table(docs: DataFrame, max_features: int, min_df: int, terms: str, stop_words: Sequence[str] | None) -> DataFrame:
+    """term, hash, idx, cf, df, idf of a vocabulary that the plan does not hold."""
+    stats = durable(_statistics(docs, max_features, min_df, terms, stop_words))
     space = F.lit("all").alias("space")
     limits = stats.where("term IS NULL").select(
         space, F.col("df").alias("n_docs"), F.lit(max_features).alias("max_features"), F.lit(min_df).alias("min_df")
@@ -85,16 +102,52 @@ def idf(n_docs: int, df: int) -> float:
     return math.log((1 + n_docs) / (1 + df)) + 1
 
 
+def _text_weights(df: DataFrame, text: str, out: str, held: grams.HeldTerms, idf: Sequence[float], sublinear: bool) -> DataFrame:
+    """Add ``out`` for a column of texts and a vocabulary that the tasks hold."""
+    shared = df.sparkSession.sparkContext.broadcast((held, np.array(idf, np.float64)))
+
+    @F.arrow_udf("struct<indices: array<int>, weights: array<double>>")
+    def vectors(texts: pa.Array) -> pa.Array:
+        held, idf = shared.value
+        parts = [held.weighted(own, idf, sublinear) for _, own in grams.slices(texts)]
+        indices, weights, counts = (np.concatenate([p[i] for p in parts]) if parts else np.zeros(0) for i in range(3))
+        offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (indices.astype(np.int32), weights.astype(np.float64))]
+        return pa.StructArray.from_arrays(lists, ["indices", "weights"])
+
+    return df.withColumn(out, vectors(grams.lowered(F.col(text))))
+
+
+def _text_table(df: DataFrame, id_col: str, text: str, held: grams.HeldTerms, terms: pa.Array, idf: Sequence[float], sublinear: bool) -> DataFrame:
+    """X4 as rows (id, term, tfidf) for a column of texts and a vocabulary that the tasks hold."""
+    shared = df.sparkSession.sparkContext.broadcast((held, terms, np.array(idf, np.float64)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, terms, idf = shared.value
+        for batch in batches:
+            for first, texts in grams.slices(batch.column(1)):
+                places, weights, counts = held.weighted(texts, idf, sublinear)
+                ids = batch.column(0).take(pa.array(first + np.repeat(np.arange(len(texts)), counts)))
+                yield pa.RecordBatch.from_arrays([ids, terms.take(pa.array(places)), pa.array(weights)], [id_col, "term", "tfidf"])
+
+    kind = df.schema[id_col].dataType.simpleString()
+    return df.select(id_col, grams.lowered(F.col(text)).alias("text")).mapInArrow(run, f"`{id_col}` {kind}, term string, tfidf double")
+
+
 @dataclass
 class TfidfModel:
-    """A fitted vocabulary: terms in index order, their idf, and the tf scaling."""
+    """A fitted vocabulary: terms in index order, their idf, the tf scaling, and the stop words if it is one of texts."""
 
     terms: list[str]
     idf: list[float]
     sublinear: bool = False
+    stop_words: Sequence[str] | None = None
 
     def weights(self, df: DataFrame, terms: str = "terms", out: str = "vec") -> DataFrame:
         """Add ``out``: struct of sorted ``indices`` and unit-length ``weights``."""
+        if self.terms and self.stop_words is not None:
+            held = grams.HeldTerms(pa.array(self.terms), self.stop_words)
+            return _text_weights(df, terms, out, held, self.idf, self.sublinear)
         if not self.terms:
             empty = F.struct(
                 F.array().cast("array<int>").alias("indices"), F.array().cast("array<double>").alias("weights")
@@ -118,6 +171,9 @@ class TfidfModel:
 
     def long_table(self, df: DataFrame, id_col: str, terms: str = "terms") -> DataFrame:
         """X4 as rows (id, term, tfidf)."""
+        if self.terms and self.stop_words is not None:
+            names = pa.array(self.terms)
+            return _text_table(df, id_col, terms, grams.HeldTerms(names, self.stop_words), names, self.idf, self.sublinear)
         weighted = self.weights(df.select(id_col, terms), terms)
         names = F.from_json(F.lit(json.dumps(self.terms)), "array<string>")
         pairs = F.arrays_zip("vec.indices", "vec.weights")
@@ -132,10 +188,23 @@ class TfidfModel:
 
 @dataclass
 class TermTable:
-    """A fitted vocabulary as a stored table: term, idx, idf, and the tf scaling."""
+    """A fitted vocabulary as a stored table: term, idx, idf, the tf scaling, and the stop words if it is one of texts.
+
+    One of texts with up to ``grams.HELD_WORDS`` terms travels with the tasks in arrays, others are joined.
+    """
 
     table: DataFrame
     sublinear: bool = False
+    stop_words: Sequence[str] | None = None
+
+    def _held(self) -> pa.Table | None:
+        """The terms by their place, if tasks hold them."""
+        if self.stop_words is None or not 0 < self.table.count() <= grams.HELD_WORDS:
+            return None
+        return self.table.select("term", "idx", "idf").toArrow().sort_by("idx").combine_chunks()
+
+    def _listed(self, df: DataFrame, terms: str) -> DataFrame:
+        return df if self.stop_words is None else df.withColumn(terms, text_terms(F.col(terms), self.stop_words))
 
     def _postings(self, rows: DataFrame, keys: Sequence[str], terms: str) -> DataFrame:
         """(keys, term, idx, raw): the known terms of each row; a term that most rows have is split by the join."""
@@ -145,10 +214,14 @@ class TermTable:
 
     def weights(self, df: DataFrame, terms: str = "terms", out: str = "vec") -> DataFrame:
         """Add ``out``: struct of sorted ``indices`` and unit-length ``weights``."""
+        if (own := self._held()) is not None:
+            names, idf = own.column("term").combine_chunks(), own.column("idf").to_numpy()
+            return _text_weights(df, terms, out, grams.HeldTerms(names, self.stop_words), idf, self.sublinear)
         rows = durable(df.withColumn("_row", F.monotonically_increasing_id()))
         pairs = F.sort_array(F.collect_list(F.struct("idx", "raw")))
         length = F.sqrt(F.sum(F.col("raw") * F.col("raw")))
-        vectors = self._postings(rows, ["_row"], terms).groupBy("_row").agg(pairs.alias("_p"), length.alias("_length")).select(
+        listed = self._listed(rows, terms)
+        vectors = self._postings(listed, ["_row"], terms).groupBy("_row").agg(pairs.alias("_p"), length.alias("_length")).select(
             "_row",
             F.struct(
                 F.transform("_p", lambda p: p.idx).alias("indices"), F.transform("_p", lambda p: p.raw / F.col("_length")).alias("weights")
@@ -159,7 +232,10 @@ class TermTable:
 
     def long_table(self, df: DataFrame, id_col: str, terms: str = "terms") -> DataFrame:
         """X4 as rows (id, term, tfidf)."""
-        rows = df.select(id_col, terms).withColumn("_row", F.monotonically_increasing_id())
+        if (own := self._held()) is not None:
+            names, idf = own.column("term").combine_chunks(), own.column("idf").to_numpy()
+            return _text_table(df, id_col, terms, grams.HeldTerms(names, self.stop_words), names, idf, self.sublinear)
+        rows = self._listed(df, terms).select(id_col, terms).withColumn("_row", F.monotonically_increasing_id())
         pairs = F.collect_list(F.struct("term", "raw"))
         length = F.sqrt(F.sum(F.col("raw") * F.col("raw")))
         vectors = self._postings(rows, ["_row", id_col], terms).groupBy("_row", id_col).agg(pairs.alias("_p"), length.alias("_length"))
@@ -167,12 +243,14 @@ class TermTable:
 
 
 def fit(
-    docs: DataFrame, max_features: int, min_df: int = 1, sublinear: bool = False, terms: str = "terms"
+    docs: DataFrame, max_features: int, min_df: int = 1, sublinear: bool = False, terms: str = "terms", stop_words: Sequence[str] | None = None
 ) -> TfidfModel | TermTable:
-    """Fit on a ``terms`` column."""
+    """Fit on a column of terms, or of texts where ``stop_words`` are given."""
     if max_features > HELD_TERMS:
-        return TermTable(durable(_term_table(docs, max_features, min_df, terms).select("term", "idx", "idf")), sublinear)
-    stats = term_statistics(docs, terms)
+        return TermTable(
+            durable(_term_table(docs, max_features, min_df, terms, stop_words).select("term", "idx", "idf")), sublinear, stop_words
+        )
+    stats = _statistics(docs, max_features, min_df, terms, stop_words)
     # the document count sorts first, so one job brings it with at most max_features terms
     rows = (
         stats.where(F.col("term").isNull() | (F.col("df") >= min_df))
@@ -182,4 +260,4 @@ def fit(
     )
     n_docs = rows[0]["df"] if rows else 0
     kept = sorted((r["term"], r["df"]) for r in rows[1:])
-    return TfidfModel([t for t, _ in kept], [idf(n_docs, df) for _, df in kept], sublinear)
+    return TfidfModel([t for t, _ in kept], [idf(n_docs, df) for _, df in kept], sublinear, stop_words)

@@ -48,9 +48,8 @@ def weights_sql(name: str, source: str, keys: str, tf: str = "tf") -> str:
 {name} AS (SELECT {keys}, term, w / sqrt(sum(w * w) OVER (PARTITION BY {keys})) AS w FROM {name}_raw)"""
 
 
-def _document_terms(spark, sf, stop=()):
-    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
-    return docs.select("doc_id", tfidf.text_terms(F.col("text"), stop).alias("terms"))
+def _document_texts(spark, sf):
+    return spread(table(spark, sf, "documents").select("doc_id", "text"))
 
 
 DOC_GRAMS = grams_sql("tf", "documents", "text", "doc_id")
@@ -62,7 +61,7 @@ N_DOCUMENTS = "(SELECT count(*) FROM documents)"
     f"WITH {DOC_GRAMS}, {vocabulary_sql('tf', N_DOCUMENTS, 6000, 2)} SELECT term, cf, df, round(idf, 6) AS idf FROM vocabulary",
 )
 def vocabulary(spark, sf):
-    return rounded(tfidf.vocabulary(_document_terms(spark, sf), 6000, 2), "idf")
+    return rounded(tfidf.vocabulary(_document_texts(spark, sf), 6000, 2, "text", ()), "idf")
 
 
 @query(
@@ -71,8 +70,8 @@ def vocabulary(spark, sf):
         SELECT doc_id, term, round(w, 6) AS tfidf FROM weights""",
 )
 def tfidf_terms(spark, sf):
-    docs = _document_terms(spark, sf)
-    return rounded(tfidf.fit(docs, 6000, 2, sublinear=True).long_table(docs, "doc_id"), "tfidf")
+    docs = _document_texts(spark, sf)
+    return rounded(tfidf.fit(docs, 6000, 2, True, "text", ()).long_table(docs, "doc_id", "text"), "tfidf")
 
 
 WIDE = 150_000
@@ -83,8 +82,8 @@ WIDE = 150_000
     f"WITH {DOC_GRAMS}, {vocabulary_sql('tf', N_DOCUMENTS, WIDE)} SELECT term, cf, df, round(idf, 6) AS idf FROM vocabulary",
 )
 def vocabulary_wide(spark, sf):
-    """A vocabulary larger than one that tasks hold."""
-    return rounded(tfidf.vocabulary(_document_terms(spark, sf), WIDE), "idf")
+    """A vocabulary larger than one that the plan holds."""
+    return rounded(tfidf.vocabulary(_document_texts(spark, sf), WIDE, 1, "text", ()), "idf")
 
 
 @query(
@@ -93,8 +92,8 @@ def vocabulary_wide(spark, sf):
         SELECT doc_id, term, round(w, 6) AS tfidf FROM weights""",
 )
 def tfidf_terms_wide(spark, sf):
-    docs = _document_terms(spark, sf)
-    return rounded(tfidf.fit(docs, WIDE, sublinear=True).long_table(docs, "doc_id"), "tfidf")
+    docs = _document_texts(spark, sf)
+    return rounded(tfidf.fit(docs, WIDE, 1, True, "text", ()).long_table(docs, "doc_id", "text"), "tfidf")
 
 
 @query(
@@ -329,9 +328,9 @@ _SQL_WEIGHTS = [w.replace("10.0D", "10.0::DOUBLE").replace("5.0D", "5.0::DOUBLE"
 
 def _given_model(spark, sf):
     """A model from given tables: 500 terms for the languages; 200 for the texts of two of them, a fallback for one."""
-    docs = _document_terms(spark, sf)
+    docs = _document_texts(spark, sf)
     order = Window.orderBy(F.desc("cf"), "term")  # 500 rows
-    terms = durable(tfidf.vocabulary(docs, 500, 2).select("term", (F.row_number().over(order) - 1).alias("idx"), "idf"))
+    terms = durable(tfidf.vocabulary(docs, 500, 2, "text", ()).select("term", (F.row_number().over(order) - 1).alias("idx"), "idf"))
     langs = table(spark, sf, "documents").where("lang IS NOT NULL").select(F.col("lang").alias("label")).distinct()
     top = langs.select(
         F.lit(hierarchy.TOP).alias("space"), (F.row_number().over(Window.orderBy("label")) - 1).alias("place"), "label",
