@@ -18,7 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casewise.session import durable
@@ -174,12 +174,14 @@ def ids_of(names: pa.Array, held: pa.Array) -> np.ndarray:
 
 
 def _named(shared):
+    """The texts of pairs, in place of the column ``pair``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value
         for batch in batches:
-            pairs = batch.column(0).to_numpy(zero_copy_only=False)
-            sides = [held.take(pa.array(side)) for side in np.divmod(pairs, max(1, len(held)))]
-            yield pa.RecordBatch.from_arrays([pc.binary_join_element_wise(*sides, " "), batch.column(1), batch.column(2)], ["term", "cf", "df"])
+            sides = np.divmod(batch.column("pair").to_numpy(zero_copy_only=False), max(1, len(held)))
+            terms = pc.binary_join_element_wise(*(held.take(pa.array(side)) for side in sides), " ")
+            columns = [terms if name == "pair" else batch.column(name) for name in batch.schema.names]
+            yield pa.RecordBatch.from_arrays(columns, ["term" if name == "pair" else name for name in batch.schema.names])
 
     return run
 
@@ -213,6 +215,111 @@ def frequent_terms(docs: DataFrame, text: str, max_features: int, min_df: int, s
     return common.unionByName(words.where("term IS NULL")).unionByName(pairs)
 
 
+# -- one vocabulary for each group of texts and one for all ---------------------------------------
+
+GROUP = "category string, kept boolean"
+
+
+def _by_group(batch: pa.RecordBatch, first: int, codes: np.ndarray, counts: np.ndarray, names: pa.Array) -> list[pa.Array]:
+    """category, kept, name, cf, df of the numbered names in rows of a batch."""
+    categories = batch.column("category").dictionary_encode()
+    kept = batch.column("kept").to_numpy(zero_copy_only=False)
+    group = (categories.indices.to_numpy(zero_copy_only=False).astype(np.int64) * 2 + kept)[first : first + len(counts)]
+    own, new = in_rows(codes.astype(np.int64), counts)
+    cells = pa.array(np.repeat(group, counts) * max(1, len(names)) + own).dictionary_encode()
+    at = cells.indices.to_numpy(zero_copy_only=False)
+    group, name = np.divmod(cells.dictionary.to_numpy(zero_copy_only=False), max(1, len(names)))
+    n = len(group)
+    return [
+        categories.dictionary.take(pa.array(group // 2)), pa.array(group % 2 == 1), names.take(pa.array(name)),
+        pa.array(np.bincount(at, minlength=n)), pa.array(np.bincount(at[new], minlength=n)),
+    ]
+
+
+def _group_words_counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for first, texts in slices(batch.column("text")):
+            found = words_of(texts)
+            yield pa.RecordBatch.from_arrays(
+                _by_group(batch, first, found.codes, found.counts, found.names), ["category", "kept", "term", "cf", "df"]
+            )
+
+
+def _group_pairs_counted(shared, wanted):
+    """Pairs of words that are both frequent in all rows, or in the kept rows of their category."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, (everywhere, categories, within) = shared.value, wanted.value
+        for batch in batches:
+            known = ids_of(batch.column("category"), categories)
+            known[~batch.column("kept").to_numpy(zero_copy_only=False)] = -1
+            for first, texts in slices(batch.column("text")):
+                found = words_of(texts)
+                pairs, counts = found.pairs(ids_of(found.names, held), len(held))
+                row = np.repeat(np.arange(len(counts)), counts)
+                sides, category = np.divmod(pairs, max(1, len(held))), known[first:][row]
+                good = everywhere[sides[0]] & everywhere[sides[1]]
+                rest = np.flatnonzero(~good & (category >= 0)) if len(within) else np.zeros(0, np.int64)
+                for side in sides if len(rest) else ():
+                    cell = category[rest] * len(held) + side[rest]
+                    rest = rest[within[np.minimum(np.searchsorted(within, cell), len(within) - 1)] == cell]
+                good[rest] = True
+                coded = pa.array(pairs[good]).dictionary_encode()
+                counts = np.bincount(row[good], minlength=len(counts))
+                yield pa.RecordBatch.from_arrays(
+                    _by_group(batch, first, coded.indices.to_numpy(zero_copy_only=False), counts, coded.dictionary),
+                    ["category", "kept", "pair", "cf", "df"],
+                )
+
+    return run
+
+
+def group_terms(docs: DataFrame, limits: DataFrame, top: str, within) -> DataFrame | None:
+    """(space, term, cf, df) of all terms that the vocabularies ``limits`` (space, max_features, min_df) can need.
+
+    ``docs`` has category, kept, and text, lower-cased and not null. The space ``top`` has the terms of all rows, that of a category,
+    ``within(category)``, those of its kept rows. None where the words that may be in such a pair are more than tasks hold.
+    """
+    sums = [F.sum(c).alias(c) for c in ("cf", "df")]
+
+    def spaces(counted: DataFrame) -> DataFrame:
+        own = counted.where("kept").select(within(F.col("category")).alias("space"), "category", "term", "cf", "df")
+        return counted.groupBy("term").agg(*sums).select(
+            F.lit(top).alias("space"), F.lit(None).cast("string").alias("category"), "term", "cf", "df"
+        ).unionByName(own)
+
+    docs = docs.select("category", "kept", "text")
+    keys = ["category", "kept"]
+    words = docs.mapInArrow(_group_words_counted, f"{GROUP}, {COUNTS}").groupBy(*keys, "term").agg(*sums)
+    bounds = F.broadcast(limits.select("space", "max_features", "min_df"))
+    words = durable(spaces(durable(words)).join(bounds, "space").where(F.col("df") >= F.col("min_df")))
+    # the frequency at which a space is full of words: words below it are in no pair that it needs
+    above = Window.partitionBy("space").orderBy(F.desc("cf"))
+    least = words.groupBy("space", "max_features", "cf").agg(F.count(F.lit(1)).alias("n")).withColumn("upto", F.sum("n").over(above)).where(
+        F.col("upto") >= F.col("max_features")
+    ).groupBy("space").agg(F.max("cf").alias("least"))
+    words = durable(words.join(F.broadcast(least), "space", "left").where(F.col("cf") >= F.coalesce("least", F.lit(0))))
+    if words.count() > HELD_WORDS:
+        return None
+    held = words.select("space", "category", "term").toArrow().combine_chunks()
+    names, is_top = pc.unique(held.column("term")), pc.is_null(held.column("category")).to_numpy()
+    names = names.combine_chunks() if isinstance(names, pa.ChunkedArray) else names
+    place = ids_of(held.column("term"), names)
+    everywhere = np.zeros(len(names), bool)
+    everywhere[place[is_top]] = True
+    categories = pc.unique(held.column("category").drop_null())
+    categories = categories.combine_chunks() if isinstance(categories, pa.ChunkedArray) else categories
+    own = np.sort(ids_of(held.column("category"), categories)[~is_top] * np.int64(len(names)) + place[~is_top])
+    context = docs.sparkSession.sparkContext
+    shared, wanted = context.broadcast(names), context.broadcast((everywhere, categories, own))
+    counted = docs.mapInArrow(_group_pairs_counted(shared, wanted), f"{GROUP}, pair bigint, cf bigint, df bigint").groupBy(*keys, "pair").agg(*sums)
+    pairs = spaces(durable(counted.mapInArrow(_named(shared), f"{GROUP}, {COUNTS}")))
+    columns = ["space", "term", "cf", "df"]
+    return durable(words.select(*columns).unionByName(pairs.select(*columns)))
+
+
+# -- looking terms up -----------------------------------------------------------------------------
+
+
 class HeldTerms:
     """A vocabulary of words and pairs as a task looks it up."""
 
@@ -261,3 +368,22 @@ class HeldTerms:
         raw = (1 + np.log(tf) if sublinear else tf) * idf[own[at]]
         length = np.sqrt(np.bincount(row, raw * raw, len(texts)))
         return own[at], raw / length[row], np.bincount(row, minlength=len(texts))
+
+
+def known_hashes(terms: DataFrame, text: Column) -> Column | None:
+    """The 64-bit hashes of the terms of a text that a table of terms has; None where tasks cannot hold the table."""
+    terms = durable(terms.select("term", F.xxhash64("term").alias("hash")).distinct())
+    if terms.count() > HELD_WORDS:
+        return None
+    own = terms.toArrow().combine_chunks()
+    names = pa.concat_arrays(own.column("term").chunks or [pa.array([], pa.string())])
+    shared = terms.sparkSession.sparkContext.broadcast((HeldTerms(names, ()), own.column("hash").to_numpy()))
+
+    @F.arrow_udf("array<bigint>")
+    def hashes(texts: pa.Array) -> pa.Array:
+        held, own = shared.value
+        parts = [held.found(some) for _, some in slices(texts)]
+        flat, counts = (np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in range(2))
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(own[flat]))
+
+    return hashes(lowered(text))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from casewise.functions.text import term_counts
-from casewise.operators import svm, tfidf
+from casewise.operators import grams, svm, tfidf
 from casewise.operators.dictionary import Sparse, packed_terms, ranked_terms, weighted
 from casewise.operators.joins import lookup
 from casewise.operators.metrics import per_class, summary
@@ -68,8 +68,10 @@ def _within(category: Column) -> Column:
     return F.concat(F.lit(WITHIN), category)
 
 
-def _hashes(terms: Column) -> Column:
-    return F.transform(terms, lambda t: F.xxhash64(t))
+def _hashes(text: Column, terms: DataFrame) -> Column:
+    """Hashes of the terms of a text: of those that the vocabularies have, or of all where tasks cannot hold these."""
+    known = grams.known_hashes(terms, text)
+    return F.transform(tfidf.text_terms(text), lambda t: F.xxhash64(t)) if known is None else known
 
 
 def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -179,12 +181,12 @@ class HierarchicalClassifier:
     ) -> list[HierarchicalClassifier]:
         """One model for each C, from one vocabulary, one packing of the rows and the same passes."""
         docs = df.select(
-            tfidf.text_terms(F.col(text)).alias("terms"), F.col(category).alias("category"), F.col(query_type).alias("query_type"),
+            grams.lowered(F.col(text)).alias("text"), F.col(category).alias("category"), F.col(query_type).alias("query_type"),
         ).where(F.col("category").isNotNull())
         sizes = durable(docs.groupBy("category", "query_type").agg(F.count(F.lit(1)).alias("n")))
         plan = durable(_plan(sizes, "category", "query_type", self.min_class_count))
         classes = durable(self._classes(sizes, plan))
-        # tokenised once for the vocabularies and the vectors; a lost part is computed again from the input
+        # read once for the vocabularies and the vectors; a lost part is computed again from the input
         docs = docs.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             terms, blocks = self._packed(docs, classes)
@@ -223,27 +225,20 @@ class HierarchicalClassifier:
         top = classes.where(F.col("space") == TOP).select(F.col("label").alias("category"), F.col("place").alias("top"))
         low = classes.where(F.col("space") != TOP).select("category", F.col("label").alias("query_type"), F.col("place").alias("low"))
         tagged = lookup(lookup(docs, top, ["category"], stored=True), low, ["category", "query_type"], stored=True)
-        counted = durable(
-            tagged.select("category", F.col("low").isNotNull().alias("kept"), F.inline(term_counts(F.col("terms"))))
-            .groupBy("category", "kept", "term").agg(F.sum("tf").alias("cf"), F.count(F.lit(1)).alias("df"))
-        )
-        sums = [F.sum(c).alias(c) for c in ("cf", "df")]
-        top_counts = durable(counted.groupBy("term").agg(*sums).where(F.col("df") >= TOP_MIN_DF))
-        stats = top_counts.select(F.lit(TOP).alias("space"), "term", "cf", "df").unionByName(
-            counted.where("kept").select(_within(F.col("category")).alias("space"), "term", "cf", "df")
-        )
         is_top = F.col("space") == TOP
         limits = classes.groupBy("space").agg(F.sum("n").alias("n_docs")).select(
             "space", "n_docs", F.when(is_top, TOP_TERMS).otherwise(TERMS).alias("max_features"),
             F.when(is_top, TOP_MIN_DF).otherwise(MIN_DF).alias("min_df"),
         )
-        terms = durable(ranked_terms(stats, limits))
+        limits = durable(limits)
+        stats = grams.group_terms(tagged.withColumn("kept", F.col("low").isNotNull()), limits, TOP, _within)
+        terms = durable(ranked_terms(self._all_terms(tagged) if stats is None else stats, limits))
         packed = durable(packed_terms(terms))
         spaces = F.array(
             F.struct(F.lit(TOP).alias("space"), F.col("top").alias("place")),
             F.struct(_within(F.col("category")).alias("space"), F.col("low").alias("place")),
         )
-        rows = tagged.select(F.inline(spaces), _hashes(F.col("terms")).alias("hashes")).where("place IS NOT NULL")
+        rows = tagged.withColumn("hashes", _hashes(F.col("text"), terms)).select(F.inline(spaces), "hashes").where("place IS NOT NULL")
 
         def prepare(found: list[dict]):
             return found[0] if found else None
@@ -257,6 +252,18 @@ class HierarchicalClassifier:
         size = packed.select("space", (F.size("hashes") * 20).alias("bytes"))
         return terms, durable(routed(rows, packed, size, prepare, run, svm.BLOCKS, self.broadcast_bytes, self.part_rows))
 
+    def _all_terms(self, tagged: DataFrame) -> DataFrame:
+        """(space, term, cf, df) of all terms, a stored table."""
+        counted = durable(
+            tagged.select("category", F.col("low").isNotNull().alias("kept"), F.inline(term_counts(tfidf.text_terms(F.col("text")))))
+            .groupBy("category", "kept", "term").agg(F.sum("tf").alias("cf"), F.count(F.lit(1)).alias("df"))
+        )
+        sums = [F.sum(c).alias(c) for c in ("cf", "df")]
+        top_counts = durable(counted.groupBy("term").agg(*sums).where(F.col("df") >= TOP_MIN_DF))
+        return top_counts.select(F.lit(TOP).alias("space"), "term", "cf", "df").unionByName(
+            counted.where("kept").select(_within(F.col("category")).alias("space"), "term", "cf", "df")
+        )
+
     def labels(self, category: str | None = None) -> list[str]:
         """The labels of a level in order: the categories, or a category's query types."""
         space = TOP if category is None else WITHIN + category
@@ -287,7 +294,7 @@ class HierarchicalClassifier:
         Confidence is null where a fallback label answered.
         """
         models, sizes = self._models()
-        rows = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"), _hashes(tfidf.text_terms(F.col(text))).alias("hashes"))
+        rows = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"), _hashes(F.col(text), self.terms).alias("hashes"))
         row = rows.schema["row"].dataType.simpleString()
         if (sizes.agg(F.sum("bytes")).first()[0] or 0) <= self.broadcast_bytes:
             found = _labelled_at_once(rows, models, f"row {row}, {PREDICTED}")

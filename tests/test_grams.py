@@ -4,7 +4,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from casewise.operators import grams, tfidf
+from casewise.operators import grams, hierarchy, tfidf
+from casewise.operators.hierarchy import HierarchicalClassifier
 
 rng = random.Random(3)
 TEXTS = [None, "", "a", "Éa éA b_1 x 𝒜𝒜 नमस्ते, éa"] + [
@@ -56,3 +57,29 @@ def test_F11_more_words_than_tasks_hold(docs, monkeypatch):
     expected = _sorted(tfidf.vocabulary(docs, 9, 1, "text", ()))
     monkeypatch.setattr(grams, "HELD_WORDS", 2)
     assert _sorted(tfidf.vocabulary(docs, 9, 1, "text", ())) == expected
+
+
+def test_F12_F15_F16_spaces_get_the_terms_of_a_full_count(spark, monkeypatch):
+    """Pairs of words that are rare everywhere are wanted where they are frequent in one category."""
+    rows = [(i, TEXTS[i % len(TEXTS)], ["a", "b", None][i % 3], f"t{i % 2}" if i % 5 else None) for i in range(120)]
+    rows += [(200 + i, "only here only here", "c", f"t{i % 2}") for i in range(8)]
+    calls = spark.createDataFrame(rows, "call_id int, question string, category string, query_type string").repartition(3)
+    for name, n in (("TOP_TERMS", 9), ("TERMS", 6)):
+        monkeypatch.setattr(hierarchy, name, n)
+    monkeypatch.setattr(hierarchy.svm, "solve", lambda *_: spark.createDataFrame([], hierarchy.svm.WEIGHTS))
+    found = HierarchicalClassifier().fit(calls).terms.select("space", "term", "idx", "idf")
+    spaces = {r["space"] for r in found.collect()}
+    assert spaces == {"categories", "within a", "within b", "within c"}
+    assert {r["term"] for r in found.where("space = 'within c'").collect()} == {"only", "here", "only here", "here only"}
+    found = _sorted(found)
+    monkeypatch.setattr(grams, "group_terms", lambda *_: None)
+    assert _sorted(HierarchicalClassifier().fit(calls).terms.select("space", "term", "idx", "idf")) == found
+
+
+def test_F4_only_known_terms_of_a_text_are_hashed(spark, docs):
+    terms = spark.createDataFrame([("rust",), ("leaf rust",), ("gone",)], "term string")
+    hashes = {r["term"]: r["h"] for r in terms.select("term", F.xxhash64("term").alias("h")).collect()}
+    known = docs.select("text", grams.known_hashes(terms, F.col("text")).alias("h")).collect()
+    every = {r["id"]: r["h"] for r in docs.select("id", F.transform(tfidf.text_terms(F.col("text")), lambda t: F.xxhash64(t)).alias("h")).collect()}
+    expected = sorted(sorted(x for x in every[i] if x in hashes.values()) for i in every)
+    assert sorted(sorted(r["h"]) for r in known) == expected and sum(map(len, expected)) > 10
