@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 
 from casewise.operators import inverted
@@ -57,3 +58,37 @@ def test_no_rows_or_no_common_term(spark, tmp_path):
     assert index.top_k(spark.createDataFrame([], SCHEMA), 2).collect() == []
     empty = inverted.build(spark.createDataFrame([], SCHEMA), str(tmp_path / "none"))
     assert empty.top_k(corpus, 2).collect() == []
+
+
+def test_repeated_ids_are_rows_of_their_own(spark, rows, tmp_path):
+    """Rows of one id do not add up to a bound that none of them has; rows without an id are no match."""
+    corpus = [(1, [0], [0.5]), (1, [0], [0.5]), (2, [0], [0.9]), (3, [0], [0.8]), (None, [0], [1.0])]
+    frames = [spark.createDataFrame(x, SCHEMA).coalesce(1) for x in (corpus, [(7, [0], [1.0])])]
+    found = inverted.build(frames[0], str(tmp_path / "index")).top_k(frames[1], 2)
+    assert rows(found) == rows(top_k(frames[0].where("id IS NOT NULL"), frames[1], 2))
+    assert sorted(r["id"] for r in found.collect()) == [2, 3]
+
+
+def test_shards_hold_each_row_once(monkeypatch):
+    monkeypatch.setattr(inverted, "SHARD_TERMS", 50)
+    draw = random.Random(3)
+    corpus = vectors(200, draw, 40) + [(500, list(range(120)), [0.1] * 120)]
+    names = ("id", "indices", "weights")
+    batches = pa.table({n: [row[i] for row in corpus] for i, n in enumerate(names)}).to_batches(max_chunksize=33)
+    shards = [s.to_pylist()[0] for s in inverted._sharded(iter(batches))]
+    assert [i for s in shards for i in s["ids"]] == [row[0] for row in corpus if row[1]]
+    assert all(len(s["terms"]) <= 50 or len(s["ids"]) == 1 for s in shards) and len(shards) > 5
+    for s in shards:
+        lists = [(s["terms"][at], -s["weights"][at]) for at in s["lists"]]
+        assert lists == sorted(lists) and sorted(s["lists"]) == list(range(len(lists)))
+
+
+def test_nothing_but_the_best_rows_is_shuffled(spark, rows, tmp_path, monkeypatch):
+    """Queries beyond those that travel at once are asked in blocks; no list is shuffled for any of them."""
+    draw = random.Random(5)
+    frames = [spark.createDataFrame(x, SCHEMA).repartition(3) for x in (vectors(300, draw, 60), vectors(40, draw, 60))]
+    index = inverted.build(frames[0], str(tmp_path / "index"), block=8)
+    assert "Exchange" not in index._best(frames[1], 3)._jdf.queryExecution().executedPlan().toString()
+    once = rows(index.top_k(frames[1], 3))
+    monkeypatch.setattr(inverted, "MAX_QUERIES", 7)
+    assert rows(index.top_k(frames[1], 3)) == once == rows(top_k(*frames, 3))
