@@ -370,7 +370,9 @@ def _solved(blocks: DataFrame, own: list[Slice], tolerance: float, max_iter: int
     first = True
     try:
         while trials:
-            sums = _pass(rows, tasks, {i: own[i] for i in trials}, trials, first)
+            still = {own[i].space for i in trials}  # blocks of solved spaces do not leave the cache
+            needed = rows.where(F.col("space").isin(list(still))) if len(still) < len(names) and len(still) <= 1000 else rows
+            sums = _pass(needed, tasks, {i: own[i] for i in trials}, trials, first)
             for i in list(trials):
                 n, shape = own[i].n, trials[i].shape
                 got = sums.get(i, np.zeros(n + shape[0] * shape[1] * (1 + first)))

@@ -77,6 +77,21 @@ def test_weights_equal_a_newton_solve(spark, data, tmp_path, own_work, most_weig
         assert np.abs(np.append(r["weights"], r["intercept"]) - exact).max() < 1e-4
 
 
+def test_blocks_of_solved_spaces_are_read_no_more(spark, data, tmp_path, monkeypatch):
+    blocks = table(spark, data, str(tmp_path / "blocks"))
+    info = [(name, SPACES[name][1], np.bincount(places, minlength=SPACES[name][2]).tolist()) for name, (places, _) in data.items()]
+    spaces, seen, one_pass = spark.createDataFrame(info, "space string, width int, sizes array<bigint>"), [], svm._pass
+
+    def noted(blocks, tasks, slices, *more):
+        seen.append(({r["space"] for r in blocks.select("space").distinct().collect()}, {s.space for s in slices.values()}))
+        return one_pass(blocks, tasks, slices, *more)
+
+    monkeypatch.setattr(svm, "_pass", noted)
+    svm.solve(blocks, spaces, (2.0,), 1e-3, 100, own_work=0).collect()
+    assert seen[0][0] == set(SPACES) and len(seen[-1][0]) < len(SPACES)
+    assert all(read == open_ for read, open_ in seen)
+
+
 def test_more_than_a_thousand_classes(spark, tmp_path):
     classes, width = 1_100, 1_100
     places = np.repeat(np.arange(classes), 2)
