@@ -191,7 +191,7 @@ def _searched(shards: Iterator[_Shard], asked: _Asked, k: int, block: int) -> tu
     for shard in shards:
         if not len(shard.names):
             continue
-        step = max(1, WORK // len(shard.ids))
+        step = max(1, WORK // max(len(shard.ids), len(shard.names)))
         for low in range(0, len(asked.ids), step):
             high = min(low + step, len(asked.ids))
             query, row, similarity, n = shard.search(asked, low, high, floor[low:high], k, block)
