@@ -29,7 +29,7 @@ from casewise.operators.topk import DIGITS, MAX_QUERIES, MAX_TASKS, WORK, _arrow
 from casewise.session import durable
 
 #: Rows in a block, terms of rows in a shard, and shards in a file.
-BLOCK, SHARD_TERMS, FILE_SHARDS = 128, 1 << 19, 8
+BLOCK, SHARD_TERMS, FILE_SHARDS = 128, 1 << 17, 8
 #: Room for rounding: similarities are compared after nine places.
 SLACK = 1e-8
 
