@@ -8,6 +8,8 @@ from collections.abc import Sequence
 
 import numpy as np
 
+from casewise.llm.common import Numbers, mixed
+
 #: Words of more symbols are merged one at a time with a heap.
 WIDEST = 64
 _NONE = np.int32(1 << 30)
@@ -43,48 +45,48 @@ class Merges:
         self.ranks: dict[tuple[int, int], tuple[int, int]] = {}
         for rank, ((a, b), whole_id) in enumerate(zip(pairs, joined)):
             self.ranks.setdefault((self.vocab[a], self.vocab[b]), (rank, whole_id))
-        keys = np.array([a << 32 | b for a, b in self.ranks], np.int64)
-        order = np.argsort(keys)
-        self.keys = keys[order]
-        self.rank = np.array([r for r, _ in self.ranks.values()], np.int32)[order]
-        self.result = np.array([w for _, w in self.ranks.values()], np.int32)[order]
+        self.pairs = Numbers()
+        self.pairs.add(_pair(*np.array([*self.ranks], np.int64).reshape(-1, 2).T))
+        # of pair -1, which is none: the last
+        self.rank = np.array([*(r for r, _ in self.ranks.values()), _NONE], np.int32)
+        self.result = np.array([*(w for _, w in self.ranks.values()), -1], np.int32)
 
     def _look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rank of each pair (``_NONE`` without one) and its place among the keys."""
-        keys = left.astype(np.int64) << 32 | right
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where((self.keys[at] == keys) & (right >= 0), self.rank[at], _NONE), at
+        """Rank of each pair (``_NONE`` without one) and what it becomes. A symbol of -1 is in no pair."""
+        number = self.pairs.find(_pair(left, right))
+        return self.rank[number], self.result[number]
 
     def _merge_block(self, symbols: np.ndarray) -> np.ndarray:
-        """Merge every row (padded with -1) to the end: always its lowest rank, the leftmost of equal ones."""
+        """Merge every row (padded with -1) to the end: always its lowest rank, the leftmost of equal ones.
+
+        A merged symbol stands in the place of its first part, and -1 in that of the second.
+        """
         rows, width = symbols.shape
         if width < 2:
             return symbols
-        ranks, _ = self._look_up(symbols[:, :-1].ravel(), symbols[:, 1:].ravel())
-        ranks = ranks.reshape(rows, width - 1)
-        active, columns = np.arange(rows), np.arange(width)
+        wide = np.full((rows, width + 2), -1, np.int32)  # a place on each side, so neighbours exist
+        wide[:, 1:-1] = symbols
+        step = width + 2
+        flat = wide.ravel()
+        ranks, becomes = np.full((rows, step), _NONE, np.int32), np.full(rows * step, -1, np.int32)
+        found = self._look_up(symbols[:, :-1].ravel(), symbols[:, 1:].ravel())
+        ranks[:, 1 : width], becomes.reshape(rows, step)[:, 1 : width] = (x.reshape(rows, width - 1) for x in found)
+        each = ranks.ravel()
+        after, before = np.arange(1, rows * step + 1), np.arange(-1, rows * step - 1)
+        active = np.arange(rows)
         while True:
-            best = ranks[active].argmin(1)
-            going = ranks[active, best] < _NONE
-            active, best = active[going], best[going]
+            at = ranks[active].argmin(1) + active * step
+            going = each[at] < _NONE
+            active, at = active[going], at[going]
             if not len(active):
-                return symbols
-            own = symbols[active]
-            at = np.arange(len(active))
-            _, place = self._look_up(own[at, best], own[at, best + 1])
-            moved = np.minimum(columns + (columns > best[:, None]), width - 1)
-            new = np.take_along_axis(own, moved, 1)
-            new[:, -1] = -1
-            new[at, best] = self.result[place]
-            symbols[active] = new
-            old = np.take_along_axis(ranks[active], np.minimum(moved[:, : width - 1], width - 2), 1)
-            old[:, -1] = _NONE
-            right = np.where(best + 1 < width, new[at, np.minimum(best + 1, width - 1)], -1)
-            inner = best < width - 1
-            old[at[inner], best[inner]] = self._look_up(new[at, best], right)[0][inner]
-            before = best > 0
-            old[at[before], best[before] - 1] = self._look_up(new[at, best - 1], new[at, best])[0][before]
-            ranks[active] = old
+                return wide[:, 1:-1]
+            gone = after[at]
+            right, left = after[gone], before[at]
+            flat[at], flat[gone] = becomes[at], -1
+            each[gone] = _NONE
+            after[at], before[right] = right, at
+            firsts = np.concatenate([at, left])
+            each[firsts], becomes[firsts] = self._look_up(flat[firsts], flat[np.concatenate([right, at])])
 
     def _merge_long(self, symbols: list[int]) -> list[int]:
         """One word, with a heap of (rank, place) and links between the symbols left."""
@@ -145,6 +147,11 @@ class Merges:
         return out[out >= 0], counts
 
 
+def _pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """A different hash for each pair of symbols."""
+    return mixed(left.astype(np.uint64) << np.uint64(32) | right.astype(np.uint64) & np.uint64(0xFFFFFFFF))
+
+
 def _blocks(rows: np.ndarray, width: int) -> tuple[np.ndarray, int]:
     """Blocks of about a million symbols."""
     return rows, max(1, len(rows) * width >> 20)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import uuid
 from collections.abc import Iterator
@@ -26,16 +27,32 @@ class Tables:
     def __init__(self, spark: SparkSession):
         self.spark, self.folder = spark, f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
 
-    def store(self, df: DataFrame, name: str) -> DataFrame:
+    def store(self, df: DataFrame, name: str, **options: str) -> DataFrame:
         path = f"{self.folder}/{name}"
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+    def drop(self, name: str = "") -> None:
+        """All tables, or the one of that name."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}" if name else self.folder)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextlib.contextmanager
+def short_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go when the query that wrote them ends, and not when the driver happens to collect its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -157,6 +174,55 @@ def chained(*hashes: np.ndarray) -> np.ndarray:
     return out
 
 
+class Numbers:
+    """Distinct 64-bit hashes, numbered from 0 as they come: open addressing in arrays, for many hashes at once."""
+
+    def __init__(self):
+        self.hashes = np.zeros(1 << 10, np.uint64)  # by number
+        self.n = 0
+        self._resize(1 << 11)
+
+    def _resize(self, size: int) -> None:
+        self.held, self.number = np.zeros(size, np.uint64), np.full(size, -1, np.int32)
+        self._place(self.hashes[: self.n], np.arange(self.n, dtype=np.int32))
+
+    def _place(self, hashes: np.ndarray, numbers: np.ndarray) -> None:
+        last = len(self.number) - 1
+        at = (hashes & np.uint64(last)).astype(np.int64)
+        while len(hashes):
+            free = self.number[at] < 0
+            self.number[at[free]] = numbers[free]  # of two for one place, one stays
+            left = self.number[at] != numbers
+            self.held[at[~left]] = hashes[~left]
+            hashes, numbers, at = hashes[left], numbers[left], (at[left] + 1) & last
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each hash, -1 if it has none."""
+        last = len(self.number) - 1
+        at = (hashes & np.uint64(last)).astype(np.int64)
+        out = self.number[at]
+        open_ = np.flatnonzero((out >= 0) & (self.held[at] != hashes))
+        at = at[open_]
+        while len(open_):
+            at = (at + 1) & last
+            out[open_] = self.number[at]
+            more = (out[open_] >= 0) & (self.held[at] != hashes[open_])
+            open_, at = open_[more], at[more]
+        return out
+
+    def add(self, hashes: np.ndarray) -> None:
+        """Number distinct hashes that have no number."""
+        total = self.n + len(hashes)
+        if total > len(self.hashes):
+            self.hashes = np.concatenate([self.hashes[: self.n], np.zeros(total, np.uint64)])
+        self.hashes[self.n : total] = hashes
+        before, self.n = self.n, total
+        if 2 * total > len(self.number):
+            self._resize(1 << (2 * total).bit_length())
+        else:
+            self._place(hashes, np.arange(before, total, dtype=np.int32))
+
+
 def lists_of(flat: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array:
     """A list array with ``counts`` elements a row."""
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(flat, kind))

@@ -25,9 +25,9 @@ from pyspark.sql.types import StructType
 
 from casewise.llm import pretokens
 from casewise.llm.bpe import Merges, gather
-from casewise.llm.common import Tables, added, pieces, span_hashes
+from casewise.llm.common import Numbers, Tables, added, pieces, span_hashes
 from casewise.llm.lexicon import Lexicon, compile_lexicon
-from casewise.llm.wordtable import WordTable
+from casewise.llm.wordtable import MOST_WORDS, WordTable
 
 #: Words of the lexicon; longer words are left to merging.
 LEXICON_WORDS, LONGEST_WORD = 65_536, 48
@@ -41,9 +41,19 @@ _WORD_BYTE = np.array([b >= 0x80 or chr(b).isalpha() for b in range(256)])
 
 
 def _count_words(batches):
-    """Runs of letters, A-Z lower-cased: what is worth a place in the lexicon need not be cut to the letter."""
+    """Runs of letters, A-Z lower-cased: what is worth a place in the lexicon need not be cut to the letter.
+
+    A task adds up its counts until it holds ``MOST_WORDS`` words.
+    """
     low = np.arange(256, dtype=np.uint8)
     low[65:91] += 32
+    numbers, counts, held = Numbers(), np.zeros(0, np.int64), []
+
+    def found():
+        data, sizes = (np.concatenate(x) for x in zip(*held))
+        words = _binary(data, np.concatenate([[0], np.cumsum(sizes)]), pa.binary())
+        return pa.RecordBatch.from_arrays([words, pa.array(counts, pa.int64())], ["word", "n"])
+
     for batch in batches:
         for _, _, data, offsets in pieces(batch.column(0)):
             data = low[data]
@@ -55,10 +65,22 @@ def _count_words(batches):
             ends = inside[1:-1] & (~inside[2:] | first[2:])
             start, end = np.flatnonzero(starts), np.flatnonzero(ends) + 1
             start, end = start[end - start <= LONGEST_WORD], end[end - start <= LONGEST_WORD]
-            _, at, counts = np.unique(span_hashes(data, start, end), return_index=True, return_counts=True)
-            whole = data.tobytes()
-            found = [whole[a:b] for a, b in zip(start[at].tolist(), end[at].tolist())]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), pa.array(counts, pa.int64())], ["word", "n"])
+            hashes = span_hashes(data, start, end)
+            at = numbers.find(hashes)
+            missing = np.flatnonzero(at < 0)
+            if len(missing):
+                new, first_at = np.unique(hashes[missing], return_index=True)
+                own = missing[first_at]
+                numbers.add(new)
+                held.append((gather(data, start[own], end[own] - start[own]), end[own] - start[own]))
+                at[missing] = numbers.find(hashes[missing])
+                counts = np.concatenate([counts, np.zeros(len(new), np.int64)])
+            counts += np.bincount(at, minlength=len(counts))
+            if len(counts) > MOST_WORDS:
+                yield found()
+                numbers, counts, held = Numbers(), np.zeros(0, np.int64), []
+    if held:
+        yield found()
 
 
 def frequent_words(docs: DataFrame, text_col: str = "text", most: int = LEXICON_WORDS) -> list[bytes]:

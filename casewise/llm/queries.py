@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casewise.llm import chat, cws, encoding, filter_audit, jaccard, langid, lm, mixing, negatives, prefix_counts, recipes, shards, simhash
-from casewise.llm.common import Tables
+from casewise.llm.common import Tables, short_shuffles
 
 #: Folder of the tokenizer files on all machines; unset, that of the installed package.
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "")
@@ -33,15 +33,14 @@ SEQUENCE, ID_BYTES = 256, 2
 
 def op1_training_order(spark: SparkSession, sf: str) -> DataFrame:
     """Token ids in shards: doc_id, part, slot, shard, row, n_ids, ids_sha256, all of them read back from the shard files."""
-    encoded, walk, written = Tables(spark), Tables(spark), Tables(spark)
+    held, written = Tables(spark), Tables(spark)
     docs = _documents(spark, sf).select("doc_id", "text")
-    ids = encoding.encoded(docs, tokenizer("word_bpe_49k.json"), decoded=False, width=ID_BYTES).select("doc_id", "ids")
     how = {"length": SEQUENCE, "width": ID_BYTES, "shard": 4 * shards.SHARD}
-    records = shards.materialised(encoded.store(ids, "ids"), tables=walk, **how)
     folder = f"{written.folder}/shards"
-    shards.write_shards(records, folder)
-    encoded.drop()
-    walk.drop()
+    with short_shuffles(spark):
+        ids = encoding.encoded(docs, tokenizer("word_bpe_49k.json"), decoded=False, width=ID_BYTES).select("doc_id", "ids")
+        shards.write_shards(shards.materialised(ids, tables=held, **how), folder)
+    held.drop()
     return shards.read_shards(spark, folder, **how).select(
         "doc_id", "part", "slot", "shard", "row", "n_ids",
         F.sha2(F.substring(F.col("record"), F.lit(5), ID_BYTES * F.col("n_ids")), 256).alias("ids_sha256"),

@@ -6,7 +6,7 @@ numbers; numbers that leave the range walk the cycle until they are inside. So e
 order, a function of key, number and count alone, without a sort of random numbers.
 
 Slots are dense, so ranges of slots are known beforehand: each task gets one range and ``write_shards`` writes its records in
-order, one file for each shard. A reader that stopped at slot s goes on at record s - first_slot of the shard that holds s:
+order, one file for each shard, in a few rounds so that the shuffle holds a part of the ids at a time. A reader that stopped at slot s goes on at record s - first_slot of the shard that holds s:
 ``read_shards`` gives what follows as a table, ``records_from`` one shard after the other. A record is the number of ids (4
 bytes), then ``length`` ids of ``width`` bytes each, all little-endian, padded with zeros. In a file, each record follows 13
 bytes that say where it comes from (1 or, for a null id of the document, 0; the id, 8 bytes; the part, 4 bytes) and ends with a
@@ -18,6 +18,7 @@ their own; among rows equal in id and ids the numbers are interchangeable. An em
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +33,10 @@ ROUNDS = 4
 #: Sequences in a shard.
 SHARD = 1024
 BUCKET_ROWS, MOST_BUCKETS = 512, 1 << 16
+#: How tables of ids are written.
+DENSE = {"compression": "zstd", "parquet.compression.codec.zstd.level": "1"}
+#: Shards are written in so many rounds, each with a part of the shards, so that only a part of the ids is in a shuffle at a time.
+ROUNDS_OF_SHARDS = 4
 
 
 def feistel(number: Column, key: int, half_bits: int) -> Column:
@@ -63,7 +68,14 @@ def slots(numbers: DataFrame, number: str, n: int, key: int, tables: Tables) ->
 
     def walk(value: Column) -> Column:
         step = lambda at, _: F.when(at < n, at).otherwise(feistel(at, key, half))
-        return F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), feistel(value, key, half), step)
+        # runs of 1, 1, 2, 4 ... steps, WALK in all: a number that is inside walks no more run
+        runs = [1]
+        while sum(runs) < WALK:
+            runs.append(min(WALK - sum(runs), sum(runs)))
+        return F.aggregate(
+            F.array(*map(F.lit, runs)), feistel(value, key, half),
+            lambda at, run: F.when(at < n, at).otherwise(F.aggregate(F.sequence(F.lit(1), run), at, step)),
+        )
 
     outside = numbers.sparkSession.range(n).select(F.col("id").alias(number), walk(F.col("id")).alias("slot"))
     left = tables.store(outside.where(F.col("slot") >= n), "walk-0")
@@ -118,7 +130,9 @@ def sequences(docs: DataFrame, id_col: str, bytes_col: str, length: int, width:
 
 def little_endian(number: Column, size: int = 4) -> Column:
     """An int of ``size`` bytes as binary."""
-    return F.unhex(F.concat(*(F.lpad(F.hex(F.shiftrightunsigned(number, 8 * i).bitwiseAND(F.lit(255)).cast("long")), 2, "0") for i in range(size))))
+    byte = lambda i: F.shiftrightunsigned(number.cast("long"), 8 * i).bitwiseAND(F.lit(255))
+    turned = functools.reduce(Column.bitwiseOR, (F.shiftleft(byte(i), 8 * (size - 1 - i)) for i in range(size)))
+    return F.unhex(F.lpad(F.hex(turned), 2 * size, "0"))
 
 
 def materialised(
@@ -127,21 +141,23 @@ def materialised(
 ) -> DataFrame:
     """slot, shard, row (in its shard), doc_id, part, n_ids, record: in slot order, one range of whole shards in each partition.
 
-    ``bytes_col`` holds the ids, ``width`` bytes each, little-endian. The result is read from ``tables`` and no more from ``docs``.
+    ``bytes_col`` holds the ids, ``width`` bytes each, little-endian. The result is read from ``tables`` and no more from ``docs``,
+    which is read once: the ids are stored with the columns that number them, then as sequences with their slots.
     """
     tables = tables or Tables(docs.sparkSession)
     step = length * width
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(bytes_col).alias("whole"),
     ).withColumns({"n_seqs": F.ceil(F.length("whole") / step).cast("long"), "content": F.xxhash64("whole")})
-    firsts, total = numbered(rows.where("n_seqs > 0"), tables)
+    firsts, total = numbered(tables.store(rows.where("n_seqs > 0"), "whole", **DENSE), tables)
     cut = firsts.withColumn("part", F.explode(F.sequence(F.lit(0), (F.col("n_seqs") - 1).cast("int")))).select(
         "doc_id", "part", (F.col("first") + F.col("part")).alias("number"),
         F.substring(F.col("whole"), F.col("part") * step + 1, F.lit(step)).alias("ids"),
     )
     n = partitions(docs.sparkSession)
     shards = -(-total // shard)
-    placed = slots(cut, "number", total, key, tables)
+    placed = tables.store(slots(cut, "number", total, key, tables).drop("number"), "placed", **DENSE)
+    tables.drop("whole")
     range_of = F.floor(F.floor(F.col("slot") / shard) * n / max(1, shards)).cast("int")
     n_ids = (F.length("ids") / width).cast("int")
     record = F.concat(little_endian(n_ids), F.rpad(F.col("ids"), step, F.lit(b"\0")))
@@ -169,13 +185,19 @@ HEAD, TAIL = 13, 1
 
 
 def write_shards(records: DataFrame, folder: str) -> None:
-    """Write what ``materialised`` gives: one file of records in slot order for each shard, in ``folder``/shard=<number>."""
+    """Write what ``materialised`` gives: one file of records in slot order for each shard, in ``folder``/shard=<number>.
+
+    In each of ``ROUNDS_OF_SHARDS`` rounds every task writes each so many-th shard of its range.
+    """
     known = F.when(F.col("doc_id").isNull(), F.lit(b"\0")).otherwise(F.lit(b"\1"))
     line = F.concat(known, little_endian(F.coalesce("doc_id", F.lit(0)), 8), little_endian(F.col("part")), F.col("record"))
-    (
-        records.select("shard", "slot", line.cast("string").alias("line")).sortWithinPartitions("shard", "slot")
-        .select("shard", "line").write.partitionBy("shard").option("lineSep", "\n").text(folder)
-    )
+    for turn in range(ROUNDS_OF_SHARDS):
+        (
+            records.where(F.col("shard") % ROUNDS_OF_SHARDS == turn)
+            .select("shard", "slot", line.cast("string").alias("line")).sortWithinPartitions("shard", "slot")
+            .select("shard", "line").write.mode("append" if turn else "errorifexists")
+            .partitionBy("shard").option("lineSep", "\n").text(folder)
+        )
 
 
 def read_shards(

@@ -7,6 +7,7 @@ from collections.abc import Callable
 import numpy as np
 
 from casewise.llm.bpe import gather
+from casewise.llm.common import Numbers
 from casewise.llm.pretokens import Words
 
 #: The table is emptied when it holds so many words or values; it is a store of results, so nothing else changes.
@@ -21,7 +22,7 @@ class WordTable:
         self._clear()
 
     def _clear(self) -> None:
-        self.at: dict[int, int] = {}
+        self.numbers = Numbers()
         self.values = np.zeros(1 << 16, self.kind)
         self.start = np.zeros(1 << 16, np.int64)
         self.count = np.zeros(1 << 16, np.int64)
@@ -42,19 +43,19 @@ class WordTable:
         """Place of each word in the table."""
         if self.n_words > MOST_WORDS or self.n_values > MOST_VALUES:
             self._clear()
-        distinct, first, inverse = np.unique(words.hashes(), return_index=True, return_inverse=True)
-        keys = distinct.tolist()
-        places = np.fromiter(map(self.at.get, keys, (-1 for _ in keys)), np.int64, len(keys))
-        new = np.flatnonzero(places < 0)
-        if len(new):
-            at = first[new]
+        hashes = words.hashes()
+        places = self.numbers.find(hashes)
+        missing = np.flatnonzero(places < 0)
+        if len(missing):
+            distinct, first = np.unique(hashes[missing], return_index=True)
+            at = missing[first]
             flat, counts = self.compute(
                 words.data, words.byte_at[words.start[at]], words.byte_at[words.end[at]], words.special[at]
             )
-            places[new] = self.n_words + np.arange(len(new))
+            self.numbers.add(distinct)
             self._append(flat, counts)
-            self.at.update(zip(distinct[new].tolist(), places[new].tolist()))
-        return places[inverse]
+            places[missing] = self.numbers.find(hashes[missing])
+        return places
 
     def runs(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(numbers of the words laid end to end, how many each word has)."""

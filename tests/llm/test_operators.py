@@ -13,6 +13,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from casewise.llm import chat, cws, encoding, jaccard, langid, lm, mixing, pretokens, queries, recipes, shards
+from casewise.llm.bpe import Merges
+from casewise.llm.common import Numbers
 from casewise.llm.lexicon import Lexicon, compile_lexicon
 from casewise.llm.prefix_counts import PrefixCounter, count_at, longest_prefix, prefix_tables
 
@@ -109,6 +111,47 @@ def test_training_order_has_all_token_ids(spark):
     assert sorted(r.slot for r in rows) == list(range(len(rows)))
 
 
+def _shuffle_files(spark):
+    """Names of the shuffle files that this session holds just now."""
+    return set(re.findall(r"shuffle_\d+_\d+_\d+\.data", spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ")))
+
+
+def test_training_order_leaves_no_shuffle_files(spark):
+    before = _shuffle_files(spark)
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting = spark.conf.get(name, None)
+    queries.op1_training_order(spark, "/root/testdata/sf0.001")
+    assert _shuffle_files(spark) <= before
+    assert spark.conf.get(name, None) == setting
+
+
+def test_ids_of_the_training_order_are_read_once(spark, docs, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    ids = docs.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("ids"))
+    records = shards.materialised(ids.mapInArrow(run, ids.schema), length=64, shard=16)
+    assert seen.value == ids.count()
+    wanted = sorted(tuple(r) for r in records.collect())
+    assert seen.value == ids.count()
+    shards.write_shards(records, f"file://{tmp_path}/shards")
+    assert sorted(tuple(r) for r in shards.read_shards(spark, f"file://{tmp_path}/shards", 64, 1, 16).collect()) == wanted
+
+
+def test_little_endian(spark):
+    numbers = [0, 1, 255, 256, -1, -2, 2**31 - 1, -(2**31), None]
+    pairs = [(n, None if n is None else n * 2**32 + abs(n) % 1000) for n in numbers]
+    rows = spark.createDataFrame(pairs, "a int, b long").select(
+        "a", "b", shards.little_endian(F.col("a")).alias("x"), shards.little_endian(F.col("b"), 8).alias("y")
+    ).collect()
+    for r in rows:
+        assert (r.x, r.y) == (None, None) if r.a is None else (struct.pack("<i", r.a), struct.pack("<q", r.b))
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 17, 1000])
 def test_feistel_walk_is_a_permutation(spark, n, monkeypatch):
     from casewise.llm.common import Tables
@@ -345,6 +388,51 @@ def test_encoding(docs, nothing):
         assert r.decoded == tool.decode(ids, skip_special_tokens=False)
 
 
+def test_merging_many_words_equals_merging_each():
+    with open(queries.tokenizer("word_bpe_49k.json"), encoding="utf-8") as file:
+        merges = Merges(file.read())
+    draw = random.Random(5)
+    words = ["".join(draw.choices("abeinrst" if i % 2 else "aeiouxqzé9-", k=1 + i % 70)).encode() for i in range(3000)]
+    ids, counts = merges.encode([b"", *words, b""])
+    assert counts[0] == counts[-1] == 0 and len(ids) == counts.sum()
+    ends = np.cumsum(counts)
+    for word, end, n in zip(words, ends[1:], counts[1:]):
+        data = np.frombuffer(word, np.uint8)
+        assert ids[end - n : end].tolist() == merges._merge_long(merges.symbols_of(data, np.array([len(data)])).tolist())
+
+
+def test_numbers_of_hashes_equal_a_dict():
+    draw, numbers, known = np.random.default_rng(4), Numbers(), {}
+    for turn in range(30):
+        # small ones too, which lie side by side, and many with one place
+        some = np.concatenate([draw.integers(0, 1 << 63, 400), draw.integers(0, 500, 100), draw.integers(0, 300, 100) << 40]).astype(np.uint64)
+        assert numbers.find(some).tolist() == [known.get(x, -1) for x in some.tolist()]
+        new = np.unique(some[numbers.find(some) < 0])
+        numbers.add(new)
+        known |= {x: len(known) + i for i, x in enumerate(new.tolist())}
+        assert numbers.find(some).tolist() == [known[x] for x in some.tolist()]
+
+
+def test_words_are_added_up_in_a_task(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(encoding, "MOST_WORDS", 10)
+    own = [*texts(), None, "", "a" * 49, "b" * 48]
+    batches = [pa.RecordBatch.from_arrays([pa.array(own[i : i + 7], pa.string())], ["text"]) for i in range(0, len(own), 7)]
+    found, rows = collections.Counter(), 0
+    for batch in encoding._count_words(iter(batches)):
+        names = batch.column(0).to_pylist()
+        rows += len(names)
+        assert len(set(names)) == len(names)
+        for word, n in zip(names, batch.column(1).to_pylist()):
+            found[word] += n
+    wanted = collections.Counter(w.lower() for t in own for w in re.findall(rb"[A-Za-z\x80-\xff]+", (t or "").encode()) if len(w) <= 48)
+    assert found == wanted
+    monkeypatch.setattr(encoding, "MOST_WORDS", 1 << 20)
+    assert sum(b.num_rows for b in encoding._count_words(iter(batches))) == len(wanted) < rows
+    assert not list(encoding._count_words(iter([])))
+
+
 def test_lexicon_numbers_its_words(tmp_path):
     words = sorted({w.lower().encode() for w in WORDS} | {b"houses", b"stones", b"rains"})
     path = tmp_path / "lexicon"
