@@ -90,8 +90,7 @@ def op4_lm(spark: SparkSession, sf: str) -> DataFrame:
     out = langid.held_out(F.col("doc_id"), 7, 2)
     model = lm.train(docs.where(~out))
     found = lm.scored(docs, model, out)
-    if model.broadcast_whole():
-        model.drop()
+    model.drop()
     return found
 
 

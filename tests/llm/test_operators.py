@@ -335,6 +335,32 @@ def test_scores_do_not_depend_on_the_cluster(spark, docs, monkeypatch):
     assert lm.n_segments(0) == 1 and lm.n_segments(10**14) == -(-(10**14) // lm.LARGE_SEGMENT_BYTES)
 
 
+def test_scores_that_are_not_broadcast_need_no_table_of_the_model(docs, monkeypatch):
+    out = langid.held_out(F.col("doc_id"), 7, 2)
+    wanted = model_rows(docs, out)
+    monkeypatch.setattr(lm, "RUN_TOKENS", 100)  # many runs in a task
+    model = lm.train(docs.where(~out), most_bits=64)
+    found = lm.scored(docs, model, out, most_words=0)
+    model.drop()
+    assert sorted((r.doc_id, r.base_score, r.score) for r in found.collect()) == wanted
+
+
+def test_words_and_pairs_of_a_run_are_asked_for_once(spark):
+    """Also if the texts of the run are more than what is worked on at once."""
+    from casewise.llm.common import PIECE_BYTES
+
+    text = " ".join(f"w{i % 977}" for i in range(100_000))
+    assert 6 * len(text) > 2 * PIECE_BYTES
+    table = spark.range(6, numPartitions=1).select("id", F.lit(True), F.lit(text))
+    runs = table.mapInArrow(lm._runs(1 << 20), "run bigint, ids array<bigint>, out array<boolean>, n binary, words binary, at binary")
+    asked = runs.select("run", "n", "words", "at").mapInArrow(
+        lm._asking(8), "part int, run bigint, kind string, bytes binary, n_bits bigint, keys binary, counts binary"
+    ).collect()
+    n = {kind: sum(len(r.bytes) // 8 for r in asked if r.kind == kind) for kind in ("word", "pair")}
+    assert n == {"word": 978, "pair": 979}  # with the end; from the end to the first word, and from the last word to the end
+    assert all(r.part == lm._part(lm._from_planes(r.bytes, 8, np.uint64), 8).max() for r in asked)
+
+
 def test_scores_equal_a_plain_model_with_few_false_hits(docs):
     """Counts read from the filter are never too small and rarely too large; scores are the formula over these counts."""
     from casewise.llm.common import lower, pieces
